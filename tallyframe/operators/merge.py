@@ -21,8 +21,13 @@ from tallyframe.operators.profile import STAT_FIELDS, ProfileOptions
 DEFAULT_BY = ("name", "session_id", "session_timestamp", "dataset_timestamp", "tags", "column")
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def _join_on_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Null-safe equi-join on ``keys``; the right side's copies are dropped."""
+    ren = right.select(*[F.col(k).alias(f"__r_{i}") for i, k in enumerate(keys)],
+                       *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(f"__r_{i}")) for i, k in enumerate(keys)])
+    return left.join(ren, cond).drop(*[f"__r_{i}" for i in range(len(keys))])
 
 
 def merge_profiles(profiles: DataFrame, by=DEFAULT_BY, options: ProfileOptions = ProfileOptions(),
@@ -61,12 +66,10 @@ def merge_profiles(profiles: DataFrame, by=DEFAULT_BY, options: ProfileOptions =
         return first
     # Pass two: centred second moments around the pooled mean of each group.
     pooled = first.select(*by, F.col("mean").alias("__pooled"))
-    joined = p.join(pooled, _null_safe_on(p, pooled, by)).select(
-        *[p[k] for k in by], p["n"], p["mean"], p["m2"], pooled["__pooled"])
+    joined = _join_on_keys(p.select(*by, "n", "mean", "m2"), pooled, by)
     term = F.when(F.col("n") > 0,
                   F.col("m2") + F.col("n") * (F.col("mean") - F.col("__pooled")) ** 2)
     second = joined.groupBy(*by).agg(F.sum(term).alias("m2"))
-    out = first.join(second, _null_safe_on(first, second, by)).select(
-        *[first[k] for k in by], *[first[n] for n in stats if n != "m2"], second["m2"])
+    out = _join_on_keys(first, second, by)
     ordered = [c for c in p.columns if c in set(by) | set(stats)]
     return out.select(*ordered)

@@ -42,14 +42,14 @@ def distinct_estimate(theta: Column | None = None, lg_k: int = 12):
     """(estimate, lower, upper) of the theta sketch.
 
     Theta sketches are exact while they hold fewer than 2^lg_k entries; past
-    that we report a two-standard-error band (relative error 1/sqrt(k)).
+    that we report a three-standard-error band (relative error 1/sqrt(k)).
     The band is our own choice; Spark exposes no bound function.
     """
     theta = F.col("theta") if theta is None else theta
     est = F.call_function("theta_sketch_estimate", theta)
     k = 2 ** lg_k
     exact = est < k
-    rel = 2.0 / math.sqrt(k)
+    rel = 3.0 / math.sqrt(k)
     lower = F.when(exact, est.cast("double")).otherwise(F.floor(est * (1 - rel)).cast("double"))
     upper = F.when(exact, est.cast("double")).otherwise(F.ceil(est * (1 + rel)).cast("double"))
     return est, lower, upper
@@ -125,13 +125,18 @@ def flat_summary(profiles: DataFrame, options: ProfileOptions = ProfileOptions()
     }
 
 
-def exact_view(profiles: DataFrame, extra_keys=(), mean_digits: int = 6,
-               sd_digits: int = 4) -> DataFrame:
-    """Exact profile fields, rounded the same way as the SQL twins."""
+def exact_view(profiles: DataFrame, extra_keys=(), sd_digits: int = 4) -> DataFrame:
+    """Exact profile fields in the form the SQL twins use.
+
+    The mean is reported as the column total ``mean * n`` rounded to cents:
+    means of decimal data are rationals that often sit exactly on a rounding
+    tie, where the last bits of two summation orders decide the digit; a
+    total of cent values never does.
+    """
     return profiles.select(
         *extra_keys, "column", "count", "null_count", "type_integral", "type_fractional",
         "type_boolean", "type_string", "type_unknown", "n", "min", "max",
-        F.round("mean", mean_digits).alias("mean"),
+        F.round(F.col("mean") * F.col("n"), 2).alias("total"),
         F.round(stddev_col(), sd_digits).alias("stddev"))
 
 

@@ -20,7 +20,7 @@ def _text_num(c: str) -> str:
 
 def column_select(name: str, kind: str, source: str, keys: list[tuple[str, str]] = (),
                   where: str | None = None, expr: str | None = None,
-                  mean_digits: int = 6, sd_digits: int = 4) -> str:
+                  sd_digits: int = 4) -> str:
     """One SELECT giving the exact profile fields of one column."""
     c = expr or q(name)
     nonnull = f"count({c})"
@@ -58,12 +58,12 @@ def column_select(name: str, kind: str, source: str, keys: list[tuple[str, str]]
             f"CAST(count({num}) AS BIGINT) AS n",
             f"CAST(min({num}) AS DOUBLE) AS \"min\"",
             f"CAST(max({num}) AS DOUBLE) AS \"max\"",
-            f"round(avg({num}), {mean_digits}) AS mean",
+            f"round(sum({num}), 2) AS total",
             f"round(stddev_samp({num}), {sd_digits}) AS stddev",
         ]
     else:
         parts += ["CAST(0 AS BIGINT) AS n", "CAST(NULL AS DOUBLE) AS \"min\"",
-                  "CAST(NULL AS DOUBLE) AS \"max\"", "CAST(NULL AS DOUBLE) AS mean",
+                  "CAST(NULL AS DOUBLE) AS \"max\"", "CAST(NULL AS DOUBLE) AS total",
                   "CAST(NULL AS DOUBLE) AS stddev"]
     sql = f"SELECT {', '.join(parts)} FROM {source}"
     if where:
@@ -98,3 +98,18 @@ KINDS = {
 
 def kinds(table: str, exclude=()) -> list[tuple[str, str]]:
     return [(n, k) for n, k in KINDS[table] if n not in exclude]
+
+
+def inferred_sql(ti="type_integral", tf="type_fractional", tb="type_boolean",
+                 ts="type_string", tu="type_unknown") -> str:
+    """Largest class, ties to the earlier of integral, fractional, boolean, string, unknown."""
+    g = f"greatest({ti}, {tf}, {tb}, {ts}, {tu})"
+    return (f"CASE WHEN {g} = 0 THEN 'null' WHEN {ti} = {g} THEN 'integral' "
+            f"WHEN {tf} = {g} THEN 'fractional' WHEN {tb} = {g} THEN 'boolean' "
+            f"WHEN {ts} = {g} THEN 'string' ELSE 'unknown' END")
+
+
+def month_range(col: str, month: str) -> str:
+    """``col`` inside the calendar month starting at ``month`` (YYYY-MM-01)."""
+    return (f"{col} >= TIMESTAMP '{month} 00:00:00' AND "
+            f"{col} < TIMESTAMP '{month} 00:00:00' + INTERVAL 1 MONTH")
