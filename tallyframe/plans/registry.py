@@ -36,5 +36,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every plan module so that its queries register."""
     from tallyframe.plans import (  # noqa: F401
+        constraint_plans,
+        drift_plans,
         profile_plans,
     )
