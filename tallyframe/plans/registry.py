@@ -39,4 +39,5 @@ def load_all() -> None:
         constraint_plans,
         drift_plans,
         profile_plans,
+        shape_plans,
     )
