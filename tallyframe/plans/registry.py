@@ -38,6 +38,9 @@ def load_all() -> None:
     from tallyframe.plans import (  # noqa: F401
         constraint_plans,
         drift_plans,
+        feature_plans,
+        io_plans,
         profile_plans,
+        series_plans,
         shape_plans,
     )
