@@ -163,6 +163,22 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
     return aggs, build
 
 
+def wide_plan(fields, options: ProfileOptions = ProfileOptions(), first_index: int = 0):
+    """Aggregate expressions of a set of columns and the generator to long form.
+
+    Returns ``(aggs, to_long)``: ``aggs`` go into one ``agg`` (batch or
+    streaming), ``to_long`` is an ``inline`` generator over the wide row
+    that yields one profile struct per column.
+    """
+    aggs, builders = [F.count(F.lit(1)).alias("__rows")], []
+    for i, fld in enumerate(fields, start=first_index):
+        a, b = _column_aggs(i, fld, options)
+        aggs += a
+        builders.append(b)
+    rows = F.col("__rows")
+    return aggs, F.inline(F.array(*[b(rows) for b in builders]))
+
+
 def _tags_column(tag_cols: list[str], static_tags: dict[str, str] | None) -> Column:
     entries = {k: F.lit(str(v)) for k, v in (static_tags or {}).items()}
     for t in tag_cols:
@@ -238,15 +254,9 @@ def profile(df: DataFrame, name: str = "dataset", *,
     step = max(1, options.columns_per_pass)
     out = None
     for start in range(0, len(fields), step):
-        chunk = fields[start:start + step]
-        aggs, builders = [F.count(F.lit(1)).alias("__rows")], []
-        for i, fld in enumerate(chunk, start=start):
-            a, b = _column_aggs(i, fld, options)
-            aggs += a
-            builders.append(b)
+        aggs, to_long = wide_plan(fields[start:start + step], options, first_index=start)
         wide = base.groupBy(*keys).agg(*aggs)
-        rows = F.col("__rows")
-        long = wide.select(*header, F.inline(F.array(*[b(rows) for b in builders])))
+        long = wide.select(*header, to_long)
         out = long if out is None else out.unionByName(long)
     if out is None:
         raise ValueError("no columns to profile")

@@ -43,4 +43,5 @@ def load_all() -> None:
         profile_plans,
         series_plans,
         shape_plans,
+        stream_plans,
     )
