@@ -41,6 +41,7 @@ def load_all() -> None:
         feature_plans,
         io_plans,
         profile_plans,
+        scoring_plans,
         series_plans,
         shape_plans,
         stream_plans,
