@@ -68,6 +68,9 @@ class ProfileOptions:
     kll_k: int = 200                 # KLL accuracy (~1.3% rank error at 200)
     theta_lg_k: int = 12             # theta nominal entries 2^12: exact below 4096
     top_k_items: int = 128           # frequent-item sketch capacity
+    # Frequent items are kept for text, boolean and date/time columns; with
+    # ``top_k_numeric`` also for numbers (costly: every value becomes text).
+    top_k_numeric: bool = False
     sketches: bool = True            # False: exact fields only
     columns_per_pass: int = 50       # split very wide tables into passes
     # Two-level (tree) aggregation.  With one global group every map task
@@ -76,6 +79,13 @@ class ProfileOptions:
     # fanout`` and then once more per group.  0 = choose from the input.
     tree_fanout: int = 0
     tree_threshold: int = 256
+    # Inputs with fewer partitions than the cluster has cores (a single
+    # row group, a gzip file) are spread round-robin first so that the
+    # partial aggregation runs on every core.  0 = default parallelism.
+    min_partitions: int = 0
+
+
+THETA_NATIVE = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.StringType)
 
 
 def quote(name: str) -> str:
@@ -112,10 +122,14 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
     if opts.sketches and num is not None:
         aggs.append(F.call_function("kll_sketch_agg_double", num, F.lit(opts.kll_k))
                     .alias(p + "kll"))
+    keep_topk = sketchable and (opts.top_k_numeric or num is None or is_text)
     if opts.sketches and sketchable:
         q = quote(fld.name)
-        aggs.append(F.call_function("theta_sketch_agg", c.cast("string"), F.lit(opts.theta_lg_k))
+        # Theta hashes numbers natively; other types go through their text form.
+        tv = c if isinstance(dt, THETA_NATIVE) else c.cast("string")
+        aggs.append(F.call_function("theta_sketch_agg", tv, F.lit(opts.theta_lg_k))
                     .alias(p + "theta"))
+    if opts.sketches and keep_topk:
         aggs.append(F.expr(
             f"approx_top_k_accumulate(CAST({q} AS STRING), {opts.top_k_items}) "
             f"FILTER (WHERE {q} IS NOT NULL)").alias(p + "topk"))
@@ -153,6 +167,7 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
             vals["kll"] = g("kll")
         if opts.sketches and sketchable:
             vals["theta"] = g("theta")
+        if opts.sketches and keep_topk:
             vals["topk"] = g("topk")
         parts = [F.lit(fld.name).alias("column")]
         for name, ftype in STAT_FIELDS:
@@ -189,10 +204,17 @@ def _tags_column(tag_cols: list[str], static_tags: dict[str, str] | None) -> Col
                      for k in sorted(entries)]).cast(TAGS_TYPE)
 
 
-def _fanout(df: DataFrame, opts: ProfileOptions) -> int:
+def _spread(df: DataFrame, opts: ProfileOptions) -> tuple[DataFrame, int]:
+    parts = df.rdd.getNumPartitions()
+    target = opts.min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if parts < target:
+        return df.repartition(target), target
+    return df, parts
+
+
+def _fanout(parts: int, opts: ProfileOptions) -> int:
     if opts.tree_fanout:
         return opts.tree_fanout
-    parts = df.rdd.getNumPartitions()
     if parts <= opts.tree_threshold:
         return 1
     return max(2, int(math.sqrt(parts)))
@@ -234,7 +256,8 @@ def profile(df: DataFrame, name: str = "dataset", *,
         order = {c: k for k, c in enumerate(columns)}
         fields.sort(key=lambda f: order[f.name])
 
-    fanout = _fanout(df, options)
+    df, parts = _spread(df, options)
+    fanout = _fanout(parts, options)
     base = df.select(ts.alias("__ts"), _tags_column(tags, static_tags).alias("__tags"),
                      *[F.col(quote(f.name)) for f in fields])
     keys = ["__ts", "__tags"]
