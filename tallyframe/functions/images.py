@@ -31,7 +31,8 @@ def _hsv_counts(data: bytes, n_channels: int) -> tuple[list[int], list[int]]:
     return (np.bincount(s, minlength=CELLS).tolist(), np.bincount(v, minlength=CELLS).tolist())
 
 
-@F.pandas_udf("saturation array<bigint>, brightness array<bigint>")
+@F.pandas_udf(T.StructType([T.StructField("saturation", T.ArrayType(T.LongType())),
+                            T.StructField("brightness", T.ArrayType(T.LongType()))]))
 def hsv_histograms(data: pd.Series, n_channels: pd.Series) -> pd.DataFrame:
     sat, bri = [], []
     for d, c in zip(data, n_channels):
@@ -60,7 +61,7 @@ def image_histograms(images: DataFrame) -> DataFrame:
         .agg(F.sum("count").cast("bigint").alias("count"))
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _channel_values(data: pd.Series, n_channels: pd.Series, offset: pd.Series) -> pd.Series:
     return pd.Series([np.frombuffer(bytes(d), dtype=np.uint8)[int(o)::int(c)].astype(np.int32)
                       .tolist() for d, c, o in zip(data, n_channels, offset)])
@@ -71,7 +72,3 @@ def pixel_channel(images: DataFrame, offset: int = 0) -> DataFrame:
     i = F.col("image")
     return images.select(i["origin"].alias("origin"),
                          _channel_values(i["data"], i["nChannels"], F.lit(offset)).alias("values"))
-
-
-IMAGE_FEATURES = T.StructType([T.StructField("saturation", T.ArrayType(T.LongType())),
-                               T.StructField("brightness", T.ArrayType(T.LongType()))])

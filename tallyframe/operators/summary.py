@@ -86,23 +86,29 @@ def summary_table(profiles: DataFrame, options: ProfileOptions = ProfileOptions(
     return profiles.select(*cols)
 
 
-def histogram_table(profiles: DataFrame, bins: int = 30) -> DataFrame:
-    """Equal-width histogram per numeric column from the KLL sketch.
-
-    Bins are (edge_j, edge_j+1], the first one closed on the left; counts
-    are rank differences times n (estimates, within the KLL rank error).
+def histogram_table(profiles: DataFrame, bins: int = 30, grid: int = 1000) -> DataFrame:
+    """Equal-width histogram per numeric column, read from the KLL sketch.
+
+    Spark's KLL rank function needs constant split points, and equal-width
+    edges differ per profile row, so the sketch is read through its inverse:
+    quantiles at ``grid`` fixed ranks ((i + 0.5) / grid) are placed into the
+    equal-width bins and each bin gets its share of n.  Counts are
+    estimates (KLL rank error plus 1/grid).
     """
     keys = [k for k in profiles.columns if k in PROFILE_KEYS]
     p = profiles.filter(F.col("n") > 0).filter(F.col("kll").isNotNull())
-    width = (F.col("max") - F.col("min")) / bins
+    lo, hi = F.col("min"), F.col("max")
+    width = (hi - lo) / bins
     edges = F.transform(F.sequence(F.lit(0), F.lit(bins)),
-                        lambda j: F.when(j == bins, F.col("max")).otherwise(F.col("min") + j * width))
-    inner = F.slice(edges, 2, bins - 1)
-    ranks = F.call_function("kll_sketch_get_rank_double", F.col("kll"), inner)
-    cum = F.concat(F.array(F.lit(0.0)), ranks, F.array(F.lit(1.0)))
-    counts = F.transform(F.sequence(F.lit(1), F.lit(bins)),
-                         lambda j: F.round((F.element_at(cum, j + 1) - F.element_at(cum, j))
-                                           * F.col("n")).cast("bigint"))
+                        lambda j: F.when(j == bins, hi).otherwise(lo + j * width))
+    ranks = F.array(*[F.lit((i + 0.5) / grid) for i in range(grid)])
+    qs = F.call_function("kll_sketch_get_quantile_double", F.col("kll"), ranks)
+    cell = lambda q: F.when(width > 0, F.least(F.floor((q - lo) / width), F.lit(bins - 1)))\
+        .otherwise(F.lit(0))
+    cells = F.transform(qs, cell)
+    counts = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)),
+                         lambda j: F.round(F.size(F.filter(cells, lambda c: c == j))
+                                           * F.col("n") / grid).cast("bigint"))
     return p.select(*keys, "column", edges.alias("bin_edges"), counts.alias("counts"))
 
 
