@@ -38,7 +38,8 @@ def is_fractional_text(c: Column) -> Column:
 
 
 def is_boolean_text(c: Column) -> Column:
-    return F.lower(c).isin(*BOOLEAN_WORDS)
+    # Length guard first: long texts are never lower-cased in full.
+    return (F.length(c) <= max(len(w) for w in BOOLEAN_WORDS)) & F.lower(c).isin(*BOOLEAN_WORDS)
 
 
 def type_class(c: Column, dtype: T.DataType) -> Column:

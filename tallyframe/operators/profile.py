@@ -79,10 +79,13 @@ class ProfileOptions:
     # fanout`` and then once more per group.  0 = choose from the input.
     tree_fanout: int = 0
     tree_threshold: int = 256
-    # Inputs with fewer partitions than the cluster has cores (a single
-    # row group, a gzip file) are spread round-robin first so that the
-    # partial aggregation runs on every core.  0 = default parallelism.
+    # Inputs with very few partitions (a single row group, one gzip file)
+    # are spread round-robin first so that the partial aggregation runs on
+    # many cores: below ``spread_below`` partitions, to
+    # min(default parallelism, ``min_partitions`` or 256) partitions.  Larger
+    # inputs are aggregated where they are read (no extra shuffle).
     min_partitions: int = 0
+    spread_below: int = 32
 
 
 THETA_NATIVE = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.StringType)
@@ -206,8 +209,8 @@ def _tags_column(tag_cols: list[str], static_tags: dict[str, str] | None) -> Col
 
 def _spread(df: DataFrame, opts: ProfileOptions) -> tuple[DataFrame, int]:
     parts = df.rdd.getNumPartitions()
-    target = opts.min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if parts < target:
+    target = min(df.sparkSession.sparkContext.defaultParallelism, opts.min_partitions or 256)
+    if parts < opts.spread_below and parts < target:
         return df.repartition(target), target
     return df, parts
 

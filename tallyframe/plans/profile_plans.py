@@ -34,6 +34,22 @@ def profile_lineitem(spark, sf_dir):
     return exact_view(profile(table(spark, sf_dir, "lineitem"), "lineitem"))
 
 
+@register("profile_documents", sql=profile_sql("documents", kinds("documents")))
+def profile_documents(spark, sf_dir):
+    """A1 on whole texts: type classes, counts and lengths of the documents table."""
+    return exact_view(profile(table(spark, sf_dir, "documents"), "documents"))
+
+
+@register("profile_conversations", sql=profile_sql(
+    "conversations", kinds("conversations", exclude=("role",)),
+    keys=[("'role=' || role", "segment")]))
+def profile_conversations(spark, sf_dir):
+    """A2 with a tag only: conversation turns profiled per role."""
+    c = table(spark, sf_dir, "conversations")
+    p = profile(c, "conversations", tags=["role"])
+    return exact_view(p, extra_keys=[segment_label().alias("segment")])
+
+
 # --- A5: counts with nulls made by a stated predicate ----------------------
 
 NULLED_SQL = ("(SELECT l_orderkey, nullif(l_discount, 0.05) AS l_discount, "

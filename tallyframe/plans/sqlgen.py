@@ -91,6 +91,9 @@ KINDS = {
                ("o_totalprice", "float"), ("o_orderdate", "other"), ("o_orderpriority", "text")],
     "customer": [("c_custkey", "int"), ("c_name", "text"), ("c_nationkey", "int"),
                  ("c_acctbal", "float"), ("c_mktsegment", "text")],
+    "documents": [("doc_id", "int"), ("text", "text"), ("lang", "text"), ("source", "text"),
+                  ("n_chars", "int")],
+    "conversations": [("conv_id", "int"), ("turn", "int"), ("role", "text"), ("text", "text")],
     "events": [("event_id", "int"), ("ts", "other"), ("user_id", "int"), ("event_type", "text"),
                ("value", "float"), ("props", "text")],
 }

@@ -43,7 +43,7 @@ def _stream(spark, sf_dir, per_trigger=1):
     keys=[("date_trunc('day', ts)", "dataset_timestamp")]))
 def stream_profile(spark, sf_dir):
     """Streaming profile per day window (complete mode) equals the batch profile."""
-    s = _stream(spark, sf_dir, per_trigger=3)
+    s = _stream(spark, sf_dir, per_trigger=5)
     p = PS.stream_profile_table(spark, s, "events", "ts", "1 day", "1 day", mode="complete")
     return exact_view(p, extra_keys=[F.col("dataset_timestamp").cast("timestamp")
                                      .alias("dataset_timestamp")])

@@ -56,8 +56,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        # Only for local runs and tests: a cluster names a shared folder.
         conf_dir = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
+            pass
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
