@@ -44,20 +44,22 @@ def exact_distinct(df: DataFrame, columns) -> DataFrame:
 def top_values(df: DataFrame, columns, k: int = 10) -> DataFrame:
     """Exact k most frequent values per column; ties by smaller value.
 
-    One bounded ``orderBy().limit(k)`` per column (Spark plans each as a
-    take-ordered with k rows per task), instead of a window that would put
-    every distinct value of a column in one task.
+    Per column: one grouped count (a scan that reads only that column) and
+    one bounded ``orderBy().limit(k)`` (take-ordered, k rows per task),
+    instead of a window that would put every distinct value of a column in
+    one task.
     """
-    counts = value_counts(df, columns)
     parts = []
     for c in columns:
-        top = (counts.filter(F.col("column") == c)
-               .orderBy(F.desc("count"), F.asc("value")).limit(k))
-        parts.append(top)
+        v = F.col(quote(c)).cast("string")
+        counts = (df.select(v.alias("value")).filter(F.col("value").isNotNull())
+                  .groupBy("value").agg(F.count(F.lit(1)).alias("count")))
+        parts.append(counts.orderBy(F.desc("count"), F.asc("value")).limit(k)
+                     .select(F.lit(c).alias("column"), "value", "count"))
     out = reduce(DataFrame.unionByName, parts)
+    # At most k rows per column reach this window.
     w_rank = F.row_number().over(
         Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value")))
-    # At most k rows per column reach this window.
     return out.select("column", "value", "count", w_rank.alias("rank"))
 
 
