@@ -100,18 +100,34 @@ def _typed_null(dtype: T.DataType) -> Column:
 
 
 def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
-    """Aggregate expressions for one column and a builder of its stat struct."""
+    """Per-column derived values, aggregate expressions and a builder of its stat struct.
+
+    Derived values (regex class flags, the numeric view) are projected once
+    per row before the aggregate: sketch aggregates run in the
+    (non-codegen) ObjectHashAggregate, which would otherwise evaluate the
+    same regex once per aggregate function.
+    """
     c = F.col(quote(fld.name))
     dt = fld.dataType
     p = f"__c{i}_"
-    aggs: list[Column] = [F.count_if(c.isNull()).alias(p + "nulls")]
     is_text = isinstance(dt, T.StringType)
-    num = tc.numeric_value(c, dt)
+    has_num = tc.numeric_value(c, dt) is not None
+    stage1: list[Column] = []
+    stage2: list[Column] = []
+    if is_text:
+        stage1 += [tc.is_integral_text(c).alias(p + "isint"),
+                   c.rlike(tc.FRACTIONAL_RE).alias(p + "isnum"),
+                   tc.is_boolean_text(c).alias(p + "isbool")]
+        stage2.append(F.when(F.col(p + "isnum"), c.try_cast("double")).alias(p + "x"))
+    elif has_num:
+        stage1.append(c.cast("double").alias(p + "x"))
+    num = F.col(p + "x") if has_num else None
+    aggs: list[Column] = [F.count_if(c.isNull()).alias(p + "nulls")]
     if is_text:
         aggs += [
-            F.count_if(tc.is_integral_text(c)).alias(p + "ti"),
-            F.count_if(tc.is_fractional_text(c)).alias(p + "tf"),
-            F.count_if(tc.is_boolean_text(c)).alias(p + "tb"),
+            F.count_if(F.col(p + "isint")).alias(p + "ti"),
+            F.count_if(F.col(p + "isnum") & ~F.col(p + "isint")).alias(p + "tf"),
+            F.count_if(F.col(p + "isbool")).alias(p + "tb"),
         ]
     if num is not None:
         aggs += [
@@ -126,8 +142,8 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
         aggs.append(F.call_function("kll_sketch_agg_double", num, F.lit(opts.kll_k))
                     .alias(p + "kll"))
     keep_topk = sketchable and (opts.top_k_numeric or num is None or is_text)
+    q = quote(fld.name)
     if opts.sketches and sketchable:
-        q = quote(fld.name)
         # Theta hashes numbers natively; other types go through their text form.
         tv = c if isinstance(dt, THETA_NATIVE) else c.cast("string")
         aggs.append(F.call_function("theta_sketch_agg", tv, F.lit(opts.theta_lg_k))
@@ -178,23 +194,38 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
             parts.append((v.cast(ftype) if v is not None else _typed_null(ftype)).alias(name))
         return F.struct(*parts)
 
-    return aggs, build
+    return stage1, stage2, aggs, build
 
 
-def wide_plan(fields, options: ProfileOptions = ProfileOptions(), first_index: int = 0):
-    """Aggregate expressions of a set of columns and the generator to long form.
+@dataclass
+class WidePlan:
+    """How a set of columns becomes profile rows.
 
-    Returns ``(aggs, to_long)``: ``aggs`` go into one ``agg`` (batch or
-    streaming), ``to_long`` is an ``inline`` generator over the wide row
-    that yields one profile struct per column.
+    ``derive(df)`` adds the per-row derived values, ``aggs`` go into one
+    ``agg`` (batch or streaming), ``to_long`` is an ``inline`` generator
+    over the wide row that yields one profile struct per column.
     """
-    aggs, builders = [F.count(F.lit(1)).alias("__rows")], []
+
+    stage1: list
+    stage2: list
+    aggs: list
+    to_long: Column
+
+    def derive(self, df: DataFrame) -> DataFrame:
+        out = df.select("*", *self.stage1) if self.stage1 else df
+        return out.select("*", *self.stage2) if self.stage2 else out
+
+
+def wide_plan(fields, options: ProfileOptions = ProfileOptions(), first_index: int = 0) -> WidePlan:
+    s1, s2, aggs, builders = [], [], [F.count(F.lit(1)).alias("__rows")], []
     for i, fld in enumerate(fields, start=first_index):
-        a, b = _column_aggs(i, fld, options)
+        a1, a2, a, b = _column_aggs(i, fld, options)
+        s1 += a1
+        s2 += a2
         aggs += a
         builders.append(b)
     rows = F.col("__rows")
-    return aggs, F.inline(F.array(*[b(rows) for b in builders]))
+    return WidePlan(s1, s2, aggs, F.inline(F.array(*[b(rows) for b in builders])))
 
 
 def _tags_column(tag_cols: list[str], static_tags: dict[str, str] | None) -> Column:
@@ -280,9 +311,9 @@ def profile(df: DataFrame, name: str = "dataset", *,
     step = max(1, options.columns_per_pass)
     out = None
     for start in range(0, len(fields), step):
-        aggs, to_long = wide_plan(fields[start:start + step], options, first_index=start)
-        wide = base.groupBy(*keys).agg(*aggs)
-        long = wide.select(*header, to_long)
+        plan = wide_plan(fields[start:start + step], options, first_index=start)
+        wide = plan.derive(base).groupBy(*keys).agg(*plan.aggs)
+        long = wide.select(*header, plan.to_long)
         out = long if out is None else out.unionByName(long)
     if out is None:
         raise ValueError("no columns to profile")

@@ -58,12 +58,12 @@ def profile_stream(stream: DataFrame, name: str, time_column: str, grain: str =
     s = event_time(stream, time_column)
     fields = [f for f in s.schema.fields if f.name != time_column and f.name not in tags
               and (columns is None or f.name in columns)]
-    aggs, to_long = wide_plan(fields, options)
-    wide = (s.withWatermark(time_column, watermark)
+    plan = wide_plan(fields, options)
+    wide = (plan.derive(s.withWatermark(time_column, watermark))
             .groupBy(F.window(F.col(quote(time_column)), grain).alias("__window"),
                      _tags_column(list(tags), None).alias("__tags"))
-            .agg(*aggs))
-    return StreamProfile(wide, to_long, name)
+            .agg(*plan.aggs))
+    return StreamProfile(wide, plan.to_long, name)
 
 
 def run_available_now(writer_df: DataFrame, mode: str, batch_fn, checkpoint: str,
