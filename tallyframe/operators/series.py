@@ -29,12 +29,13 @@ def distribution(profiles: DataFrame, column: str, quantiles=SERIES_QUANTILES) -
 
 def distribution_exact(df: DataFrame, *, time_expr, column: str,
                        quantiles=SERIES_QUANTILES) -> DataFrame:
-    """Exact twin: interpolated percentiles per time bucket from the data."""
-    x = F.col(column).cast("double")
-    g = df.groupBy(time_expr.alias("dataset_timestamp")).agg(
-        F.percentile(x, list(quantiles)).alias("qs"))
+    """Exact twin: interpolated quantiles per time bucket from the data
+    (range-narrowing order statistics; no bucket is held in one task)."""
+    from tallyframe.operators.quantiles import exact_quantiles
+    d = df.select(time_expr.alias("dataset_timestamp"), F.col(column))
+    g = exact_quantiles(d, column, list(quantiles), by=["dataset_timestamp"])
     return g.select("dataset_timestamp", F.lit(column).alias("column"),
-                    *[F.col("qs")[i].alias(n) for i, n in enumerate(quantile_names(quantiles))])
+                    *[F.col(f"q{i}").alias(n) for i, n in enumerate(quantile_names(quantiles))])
 
 
 def types(profiles: DataFrame) -> DataFrame:

@@ -177,16 +177,21 @@ def nulls_from_codes(df: DataFrame, code: str = "?", columns=None) -> DataFrame:
 
 
 def impute_median(df: DataFrame, columns, exact: bool = True, accuracy: int = 100000) -> DataFrame:
-    """Fill nulls with the column median.
+    """Fill nulls with the column median (interpolated, as pandas ``median``).
 
-    ``exact`` uses the interpolated ``percentile`` (state grows with the
-    distinct values of a column); for high-cardinality columns at scale use
-    ``exact=False`` (``percentile_approx``, bounded state).  The medians are
-    a handful of scalars, taken to the driver and folded in as literals.
+    ``exact`` finds the median by range-narrowing order statistics (bounded
+    memory, a few filtered passes); ``exact=False`` uses one
+    ``percentile_approx`` pass.  The medians are a handful of scalars,
+    taken to the driver and folded in as literals.
     """
-    aggs = [(F.percentile(F.col(quote(c)), 0.5) if exact
-             else F.percentile_approx(F.col(quote(c)), 0.5, accuracy)).alias(c) for c in columns]
-    med = df.agg(*aggs).first().asDict()
+    from tallyframe.operators.quantiles import exact_quantiles_columns
+    med = {}
+    if exact:
+        for r in exact_quantiles_columns(df, columns, [0.5]).collect():   # one row per column
+            med[r["column"]] = r["q0"]
+    else:
+        aggs = [F.percentile_approx(F.col(quote(c)), 0.5, accuracy).alias(c) for c in columns]
+        med = df.agg(*aggs).first().asDict()
     return df.fillna({c: float(v) for c, v in med.items() if v is not None})
 
 

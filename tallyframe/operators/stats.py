@@ -117,30 +117,36 @@ def describe_numeric(df: DataFrame, columns, exact: bool = True,
                      quantiles=(0.25, 0.5, 0.75), accuracy: int = 10000) -> DataFrame:
     """count, mean, std, min, quartiles, max per column (pandas ``describe``).
 
-    ``exact`` uses Spark's interpolated ``percentile``, whose state grows
-    with the number of distinct values of a column; ``exact=False`` uses
-    ``percentile_approx`` (bounded state) for high-cardinality columns at
-    scale.
+    Moments come from one aggregate over all columns.  Quartiles are exact
+    and interpolated like Spark's ``percentile`` (``exact``: range-narrowing
+    order statistics, a few filtered passes, no group held in one task) or
+    ``percentile_approx`` (one pass, bounded sketch).
     """
+    from tallyframe.operators.quantiles import exact_quantiles_columns
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(quote(c)).cast("double")
-        qs = (F.percentile(x, list(quantiles)) if exact
-              else F.percentile_approx(x, list(quantiles), accuracy))
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}"), qs.alias(f"q{i}")]
+                 F.max(x).alias(f"hi{i}")]
+        if not exact:
+            aggs.append(F.percentile_approx(x, list(quantiles), accuracy).alias(f"q{i}"))
     wide = df.agg(*aggs)
+    qnames = [f"p{int(q * 100)}" for q in quantiles]
     structs = []
     for i, c in enumerate(columns):
         fields = [F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
                   F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-                  F.col(f"lo{i}").alias("min")]
-        fields += [F.col(f"q{i}")[j].cast("double").alias(f"p{int(q * 100)}")
-                   for j, q in enumerate(quantiles)]
-        fields.append(F.col(f"hi{i}").alias("max"))
+                  F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max")]
+        if not exact:
+            fields += [F.col(f"q{i}")[j].cast("double").alias(n) for j, n in enumerate(qnames)]
         structs.append(F.struct(*fields))
-    return wide.select(F.inline(F.array(*structs)))
+    moments = wide.select(F.inline(F.array(*structs)))
+    if not exact:
+        return moments
+    qs = exact_quantiles_columns(df, columns, quantiles).select(
+        "column", *[F.col(f"q{j}").alias(n) for j, n in enumerate(qnames)])
+    return moments.join(qs, "column")
 
 
 def describe_text(df: DataFrame, columns) -> DataFrame:
