@@ -238,8 +238,17 @@ def _tags_column(tag_cols: list[str], static_tags: dict[str, str] | None) -> Col
                      for k in sorted(entries)]).cast(TAGS_TYPE)
 
 
+def _num_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+        return None
+
+
 def _spread(df: DataFrame, opts: ProfileOptions) -> tuple[DataFrame, int]:
-    parts = df.rdd.getNumPartitions()
+    parts = _num_partitions(df)
+    if parts is None:
+        return df, 0
     target = min(df.sparkSession.sparkContext.defaultParallelism, opts.min_partitions or 256)
     if parts < opts.spread_below and parts < target:
         return df.repartition(target), target

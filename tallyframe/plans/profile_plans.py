@@ -40,6 +40,18 @@ def profile_documents(spark, sf_dir):
     return exact_view(profile(table(spark, sf_dir, "documents"), "documents"))
 
 
+@register("profile_pages", sql=profile_sql("pages", kinds("pages")))
+def profile_pages(spark, sf_dir):
+    """A1 on raw web pages (whole html texts)."""
+    return exact_view(profile(table(spark, sf_dir, "pages"), "pages"))
+
+
+@register("profile_embeddings", sql=profile_sql("embeddings", kinds("embeddings")))
+def profile_embeddings(spark, sf_dir):
+    """A1 with an array column: arrays keep count and null count only."""
+    return exact_view(profile(table(spark, sf_dir, "embeddings"), "embeddings"))
+
+
 @register("profile_conversations", sql=profile_sql(
     "conversations", kinds("conversations", exclude=("role",)),
     keys=[("'role=' || role", "segment")]))

@@ -94,6 +94,8 @@ KINDS = {
     "documents": [("doc_id", "int"), ("text", "text"), ("lang", "text"), ("source", "text"),
                   ("n_chars", "int")],
     "conversations": [("conv_id", "int"), ("turn", "int"), ("role", "text"), ("text", "text")],
+    "pages": [("page_id", "int"), ("url", "text"), ("html", "text")],
+    "embeddings": [("vec_id", "int"), ("embedding", "other"), ("label", "int")],
     "events": [("event_id", "int"), ("ts", "other"), ("user_id", "int"), ("event_type", "text"),
                ("value", "float"), ("props", "text")],
 }
