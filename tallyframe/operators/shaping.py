@@ -131,18 +131,40 @@ def hash_split(df: DataFrame, keys, share: float = 0.75, seed=123,
 
 
 def random_batches(df: DataFrame, keys, batches: int = 20, size: int = 5,
-                   seed=123) -> DataFrame:
+                   seed=123, oversample: int = 10) -> DataFrame:
     """``batches`` draws of ``size`` rows each: no repeat inside a batch,
     repeats across batches allowed.  Draw b = the ``size`` rows with the
-    smallest md5(key, seed, b): one take-ordered of ``size`` rows per batch.
+    smallest md5(key, seed, b).
+
+    One pass computes every row's ``batches`` hashes and keeps only rows
+    whose hash for some batch falls under a threshold sized for about
+    ``oversample * size`` candidates per batch; per-batch candidate counts
+    (``batches`` numbers) are checked and the threshold widened until every
+    batch has at least ``size`` candidates.  All rows with a smaller hash are
+    candidates, so the pick is exact; the final ranking runs over the
+    counted candidates only (no cross join, no per-batch scan of the table).
     """
-    parts = []
-    for b in range(batches):
-        h = F.md5(F.concat_ws("|", *[F.col(quote(k)).cast("string") for k in keys],
-                              F.lit(str(seed)), F.lit(str(b))))
-        parts.append(df.withColumn("__h", h).orderBy("__h").limit(size)
-                     .drop("__h").withColumn("batch", F.lit(b)))
-    return reduce(DataFrame.unionByName, parts)
+    n = df.count()
+    cols = [F.col(quote(k)).cast("string") for k in keys]
+    hashes = F.array(*[F.struct(F.lit(b).alias("batch"),
+                                F.md5(F.concat_ws("|", *cols, F.lit(str(seed)), F.lit(str(b))))
+                                .alias("h")) for b in range(batches)])
+    exploded = df.select("*", F.explode(hashes).alias("__bh")) \
+        .select(*[F.col(quote(c)) for c in df.columns],
+                F.col("__bh.batch").alias("batch"), F.col("__bh.h").alias("__h"))
+    need = min(size, n)
+    share = min(1.0, oversample * size / max(n, 1))
+    while True:
+        cut = format(min(int(share * 16 ** 8), 16 ** 8 - 1), "08x") if share < 1.0 else None
+        cand = exploded if cut is None else exploded.filter(F.substring("__h", 1, 8) <= F.lit(cut))
+        counts = {r["batch"]: r["n"] for r in
+                  cand.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if cut is None or all(counts.get(b, 0) >= need for b in range(batches)):
+            break
+        share = min(1.0, share * 4)
+    # The windows below rank only the counted candidates of each batch.
+    rank = F.row_number().over(Window.partitionBy("batch").orderBy("__h"))
+    return cand.withColumn("__rn", rank).filter(F.col("__rn") <= size).drop("__rn", "__h")
 
 
 def row_positions(df: DataFrame, order_by, partitions: int | None = None,
