@@ -142,7 +142,8 @@ def metrics(cells: DataFrame, n_bins: int) -> DataFrame:
     # ``cells`` has one row per cell (about n_bins): a bounded running window.
     w = Window.partitionBy(F.lit(0)).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     c = cells.select("cell", "na", "nb", "p", "q",
-                     F.sum("p").over(w).alias("cp"), F.sum("q").over(w).alias("cq"))
+                     F.sum("p").over(w).alias("cp"), F.sum("q").over(w).alias("cq"),
+                     _mi_term().alias("mi_term"))
     base = c.agg(
         F.sum(F.least("p", "q")).alias("intersection"),
         F.sum(F.when(F.col("cell") < n_bins, F.least("p", "q"))).alias("intersection_ref"),
@@ -151,29 +152,26 @@ def metrics(cells: DataFrame, n_bins: int) -> DataFrame:
         F.sum((F.col("p") - F.col("q")) * F.ln(F.greatest("p", eps) / F.greatest("q", eps)))
         .alias("psi"),
         F.max(F.abs(F.col("cp") - F.col("cq"))).alias("ks"),
+        F.sum("mi_term").alias("mutual_info"),
         F.count(F.lit(1)).alias("cells"))
-    mi = mutual_info(c)
-    one = F.lit(0).alias("__one")
-    return base.select("*", one).join(mi.select("*", one), "__one").select(
-        "cells", "intersection", "intersection_ref", "kl", "psi", "ks", "mutual_info")
+    return base.select("cells", "intersection", "intersection_ref", "kl", "psi", "ks",
+                       "mutual_info")
 
 
-def mutual_info(c: DataFrame) -> DataFrame:
-    """MI of label sequences (na per cell, nb per cell), natural log.
+def _mi_term() -> Column:
+    """Each cell's share of the mutual information of the label sequences.
 
-    Equal shares have equal counts, so grouping by counts avoids float
-    equality.  All inputs have one row per cell (bounded by the bin count).
+    A pair of labels (na, nb) shared by n_ij cells contributes
+    n_ij/N ln(N n_ij / (a_i b_j)); spread over its cells that is
+    1/N ln(N n_ij / (a_i b_j)) per cell, with the counts taken by windows
+    over the (bounded) cell table, so no join is needed.
     """
-    all_w = Window.partitionBy(F.lit(0))
-    joint = c.groupBy("na", "nb").agg(F.count(F.lit(1)).alias("nij"))
-    j = joint.select(
-        "nij",
-        F.sum("nij").over(all_w).alias("N"),
-        F.sum("nij").over(Window.partitionBy("na")).alias("ai"),
-        F.sum("nij").over(Window.partitionBy("nb")).alias("bj"))
-    return j.agg(F.sum(F.col("nij") / F.col("N")
-                       * F.ln(F.col("N") * F.col("nij") / (F.col("ai") * F.col("bj"))))
-                 .alias("mutual_info"))
+    one = F.lit(1)
+    n_all = F.count(one).over(Window.partitionBy(F.lit(0)))
+    nij = F.count(one).over(Window.partitionBy("na", "nb"))
+    ai = F.count(one).over(Window.partitionBy("na"))
+    bj = F.count(one).over(Window.partitionBy("nb"))
+    return F.ln(n_all * nij / (ai * bj)) / n_all
 
 
 def two_sided(df: DataFrame, column: str, side: Column, n_bins: int,
