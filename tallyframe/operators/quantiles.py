@@ -131,15 +131,17 @@ def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int =
     """Interpolated quantiles per group, equal to Spark's ``percentile``.
 
     Returns (by..., n, q0, q1, ...) - one row per group.  With no ``by``
-    a constant group key stands in (the joins stay equi-joins).
+    the column name (from an unpivot) is the group key, so the joins stay
+    equi-joins on a data column.
     """
     from tallyframe.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
     by = list(by)
+    if not by:
+        return exact_quantiles_columns(df, [column], quantiles, buckets).drop("column")
     x = F.col(quote(column)).cast("double")
-    keys = by or ["__all"]
-    key_cols = [F.col(quote(k)) for k in by] if by else [F.lit(0).alias("__all")]
-    data = df.select(*key_cols, x.alias("__x")).filter(F.col("__x").isNotNull())
+    keys = by
+    data = df.select(*[F.col(quote(k)) for k in by], x.alias("__x")).filter(F.col("__x").isNotNull())
     groups = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("lo"),
                                      F.max("__x").alias("hi")).checkpoint(eager=True)
     n_groups = groups.count()
@@ -164,7 +166,7 @@ def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int =
     per_q = vals.groupBy(*keys, "n", "qi").agg(interp.alias("v"))
     out = per_q.groupBy(*keys, "n").agg(*[F.max(F.when(F.col("qi") == i, F.col("v"))).alias(f"q{i}")
                                           for i in range(len(quantiles))])
-    return out.drop("__all") if not by else out
+    return out
 
 
 def exact_quantiles_columns(df: DataFrame, columns, quantiles, buckets: int = 16384) -> DataFrame:
