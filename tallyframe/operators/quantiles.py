@@ -54,7 +54,7 @@ def _bucket(x: Column, lo: Column, hi: Column, buckets: int) -> Column:
 
 
 def order_statistics(data: DataFrame, by, targets: DataFrame, buckets: int = 4096,
-                     max_rounds: int = 12) -> DataFrame:
+                     max_rounds: int = 12, small_range: int = SMALL_RANGE) -> DataFrame:
     """Exact values at 0-based ranks.
 
     ``data``: (by..., __x) non-null doubles.  ``targets``: (by..., tid, r,
@@ -74,13 +74,13 @@ def order_statistics(data: DataFrame, by, targets: DataFrame, buckets: int = 409
         j = _join_keys(data, a, by, n_active)
         inside = j.filter((F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
         # Ranges with few values (bounded by the counted ``cnt``): sort and pick.
-        few = (inside.filter(F.col("cnt") <= SMALL_RANGE)
+        few = (inside.filter(F.col("cnt") <= small_range)
                .groupBy("tid").agg(F.sort_array(F.collect_list("__x")).alias("vals"),
                                    F.first("r").alias("r"))
                .select("tid", F.element_at("vals", (F.col("r") + 1).cast("int")).alias("v")))
-        finished = active.filter(F.col("cnt") <= SMALL_RANGE).join(few, "tid").select(
+        finished = active.filter(F.col("cnt") <= small_range).join(few, "tid").select(
             *by, "tid", "r", "lo", "hi", "cnt", F.lit(True).alias("done"), F.col("v").alias("value"))
-        inside = inside.filter(F.col("cnt") > SMALL_RANGE)
+        inside = inside.filter(F.col("cnt") > small_range)
         cells = (inside.groupBy("tid", _bucket(F.col("__x"), F.col("lo"), F.col("hi"), buckets)
                                 .alias("cell"))
                  .agg(F.count(F.lit(1)).alias("cnt"), F.min("__x").alias("cmin"),
@@ -96,7 +96,7 @@ def order_statistics(data: DataFrame, by, targets: DataFrame, buckets: int = 409
                 .select("tid", (F.col("r") - (F.col("upto") - F.col("cnt"))).alias("r2"),
                         F.col("cmin").alias("lo2"), F.col("cmax").alias("hi2"),
                         F.col("cnt").alias("cnt2")))
-        nxt = active.filter(F.col("cnt") > SMALL_RANGE).join(pick, "tid").select(
+        nxt = active.filter(F.col("cnt") > small_range).join(pick, "tid").select(
             *by, "tid", F.col("r2").alias("r"), F.col("lo2").alias("lo"), F.col("hi2").alias("hi"),
             F.col("cnt2").alias("cnt"), (F.col("lo2") == F.col("hi2")).alias("done"),
             F.when(F.col("lo2") == F.col("hi2"), F.col("lo2")).alias("value"))
@@ -127,7 +127,8 @@ def _first_round(data: DataFrame, groups: DataFrame, by, targets: DataFrame,
     return pick
 
 
-def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int = 16384) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int = 16384,
+                    small_range: int = SMALL_RANGE) -> DataFrame:
     """Interpolated quantiles per group, equal to Spark's ``percentile``.
 
     Returns (by..., n, q0, q1, ...) - one row per group.  With no ``by``
@@ -138,7 +139,8 @@ def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int =
     checkpoint_dir(df.sparkSession)
     by = list(by)
     if not by:
-        return exact_quantiles_columns(df, [column], quantiles, buckets).drop("column")
+        return exact_quantiles_columns(df, [column], quantiles, buckets,
+                                       small_range).drop("column")
     x = F.col(quote(column)).cast("double")
     keys = by
     data = df.select(*[F.col(quote(k)) for k in by], x.alias("__x")).filter(F.col("__x").isNotNull())
@@ -156,7 +158,7 @@ def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int =
                                       F.lit(qi).alias("qi"), F.lit(side).alias("side")))
     targets = reduce(DataFrame.unionByName, rows).checkpoint(eager=True)
     narrowed = _first_round(data, groups, keys, targets, n_groups, buckets)
-    stats = order_statistics(data, keys, narrowed, buckets)
+    stats = order_statistics(data, keys, narrowed, buckets, small_range=small_range)
     vals = targets.join(stats, "tid")
     lower = F.max(F.when(F.col("side") == "lo", F.col("value")))
     upper = F.max(F.when(F.col("side") == "hi", F.col("value")))
@@ -169,7 +171,8 @@ def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int =
     return out
 
 
-def exact_quantiles_columns(df: DataFrame, columns, quantiles, buckets: int = 16384) -> DataFrame:
+def exact_quantiles_columns(df: DataFrame, columns, quantiles, buckets: int = 16384,
+                            small_range: int = SMALL_RANGE) -> DataFrame:
     """Exact quantiles of several columns in one search: (column, n, q0, q1, ...).
 
     The columns are unpivoted to (column, value) and searched as groups, so
@@ -178,4 +181,5 @@ def exact_quantiles_columns(df: DataFrame, columns, quantiles, buckets: int = 16
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(quote(c)).cast("double").alias("value"))
         for c in columns])).alias("kv")).select("kv.column", "kv.value")
-    return exact_quantiles(long, "value", quantiles, by=["column"], buckets=buckets)
+    return exact_quantiles(long, "value", quantiles, by=["column"], buckets=buckets,
+                           small_range=small_range)

@@ -16,7 +16,7 @@ def test_global_and_hot_value(spark):
     hot = li.select(F.when(F.col("l_linenumber") <= 2, F.lit(7.0))
                     .otherwise(F.col("l_extendedprice")).alias("v"))
     for df, c in ((li, "l_extendedprice"), (hot, "v")):
-        got = exact_quantiles(df, c, QS, buckets=64).first()
+        got = exact_quantiles(df, c, QS, buckets=64, small_range=5).first()
         want = df.agg(F.percentile(c, QS)).first()[0]
         assert _close([got[f"q{i}"] for i in range(len(QS))], want)
 
@@ -25,7 +25,8 @@ def test_grouped(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet") \
         .withColumn("day", F.date_trunc("day", "ts"))
     got = {r["day"]: [r[f"q{i}"] for i in range(len(QS))]
-           for r in exact_quantiles(ev, "value", QS, by=["day"], buckets=16).collect()}
+           for r in exact_quantiles(ev, "value", QS, by=["day"], buckets=16,
+                                    small_range=3).collect()}
     want = {r[0]: r[1] for r in ev.groupBy("day").agg(F.percentile("value", QS)).collect()}
     assert got.keys() == want.keys()
     assert all(_close(got[d], want[d]) for d in want)
