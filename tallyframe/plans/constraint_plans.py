@@ -80,15 +80,15 @@ def _lineitem_profile(li):
 
 @register("value_constraints", sql="""
 SELECT 'value LT 548250' AS name, 'l_extendedprice' AS "column", 'LT' AS op, 548250.0::DOUBLE AS value,
-  count(l_extendedprice) AS total, count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice < 548250.0)) AS failures,
+  count(l_extendedprice) AS total, CAST(count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice < 548250.0)) AS BIGINT) AS failures,
   count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice < 548250.0)) = 0 AS passed FROM lineitem
 UNION ALL
 SELECT 'value GT 2500.0', 'l_extendedprice', 'GT', 2500.0::DOUBLE, count(l_extendedprice),
-  count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice > 2500.0)),
+  CAST(count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice > 2500.0)) AS BIGINT),
   count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice > 2500.0)) = 0 FROM lineitem
 UNION ALL
 SELECT 'value GT 4000', 'l_quantity', 'LT', 4000.0::DOUBLE, count(l_quantity),
-  count_if(l_quantity IS NOT NULL AND NOT (l_quantity < 4000.0)),
+  CAST(count_if(l_quantity IS NOT NULL AND NOT (l_quantity < 4000.0)) AS BIGINT),
   count_if(l_quantity IS NOT NULL AND NOT (l_quantity < 4000.0)) = 0 FROM lineitem""")
 def value_constraints(spark, sf_dir):
     """Every value compared with a literal, all constraints in one pass."""

@@ -47,7 +47,7 @@ def kafka_encode(spark, sf_dir):
 
 @register("poll_counts", sql=f"""
 SELECT '{TOPIC}' AS topic, CAST(event_id % {PARTS} AS INTEGER) AS "partition", count(*) AS records,
-  sum(count(*)) OVER () AS total FROM events GROUP BY 2""")
+  CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM events GROUP BY 2""")
 def poll_counts(spark, sf_dir):
     """Records per topic partition and the total."""
     records, _ = _records(spark, sf_dir)

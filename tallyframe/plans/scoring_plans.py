@@ -66,8 +66,8 @@ def _runs(spark, sf_dir):
 
 
 @register("run_log", sql=f"""
-SELECT printf('run-%02d', batch) AS run_id, '{EXPERIMENT}' AS experiment, 1.0 AS reg_param,
-  0.7 AS elastic_net_param, round(avg(abs(l_extendedprice - {PRICE_PER_UNIT} * l_quantity)), 6) AS mae,
+SELECT printf('run-%02d', batch) AS run_id, '{EXPERIMENT}' AS experiment, CAST(1.0 AS DOUBLE) AS reg_param,
+  CAST(0.7 AS DOUBLE) AS elastic_net_param, round(avg(abs(l_extendedprice - {PRICE_PER_UNIT} * l_quantity)), 6) AS mae,
   TIMESTAMP '2024-02-01 00:00:00' + batch * INTERVAL 1 MINUTE AS start_time
 FROM {BATCHES_SQL} GROUP BY batch""")
 def run_log(spark, sf_dir):
