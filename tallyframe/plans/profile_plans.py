@@ -308,14 +308,21 @@ def profile_merge(spark, sf_dir):
     return exact_view(merge_profiles(a.unionByName(b)))
 
 
+def _stored(spark, profiles, label):
+    """Profiles written to the shared folder and read back (a stored profile table)."""
+    path = scratch_path(spark, label)
+    profiles.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("profile_merge_all", sql=profile_sql("lineitem", kinds("lineitem")))
 def profile_merge_all(spark, sf_dir):
-    """N-way merge of monthly profiles back to one profile."""
+    """N-way merge of stored monthly profiles back to one profile."""
     li = table(spark, sf_dir, "lineitem").withColumn("month", F.date_trunc("month", "l_shipdate"))
     monthly = profile(li, "lineitem", time_column="month", grain=None, tags=[],
                       columns=[c for c in li.columns if c != "month"])
-    # l_shipdate is profiled too; merge over every month.
-    merged = merge_profiles(monthly, by=("name", "column"))
+    # l_shipdate is profiled too; merge over every stored month.
+    merged = merge_profiles(_stored(spark, monthly, "monthly-profiles"), by=("name", "column"))
     return exact_view(merged)
 
 
@@ -325,7 +332,7 @@ def profile_merge_all(spark, sf_dir):
 def profile_rollup_day(spark, sf_dir):
     """Hourly profiles rolled up to one profile per day."""
     e = table(spark, sf_dir, "events")
-    hourly = profile(e, "events", time_column="ts", grain="hour")
+    hourly = _stored(spark, profile(e, "events", time_column="ts", grain="hour"), "hourly-profiles")
     daily = merge_profiles(hourly, key_exprs={
         "dataset_timestamp": F.date_trunc("day", F.col("dataset_timestamp"))})
     return exact_view(daily, extra_keys=[_ts_key()])
