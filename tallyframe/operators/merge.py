@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyframe.operators.profile import STAT_FIELDS, ProfileOptions
 
@@ -30,19 +31,7 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     return left.join(ren, cond).drop(*[f"__r_{i}" for i in range(len(keys))])
 
 
-def merge_profiles(profiles: DataFrame, by=DEFAULT_BY, options: ProfileOptions = ProfileOptions(),
-                   key_exprs: dict[str, Column] | None = None) -> DataFrame:
-    """Merge all profile rows that share ``by``.
-
-    ``key_exprs`` may re-define key columns before grouping, e.g.
-    ``{"dataset_timestamp": date_trunc('day', ...)}`` for a day roll-up.
-    """
-    by = list(by)
-    p = profiles
-    for k, e in (key_exprs or {}).items():
-        p = p.withColumn(k, e)
-    present = {f.name for f in p.schema.fields}
-    stats = [n for n, _ in STAT_FIELDS if n in present]
+def _simple_aggs(stats, options: ProfileOptions) -> list[Column]:
     aggs: list[Column] = []
     for n in stats:
         c = F.col(n)
@@ -61,7 +50,47 @@ def merge_profiles(profiles: DataFrame, by=DEFAULT_BY, options: ProfileOptions =
             aggs.append(F.expr(f"theta_union_agg(theta, {options.theta_lg_k})").alias("theta"))
         elif n == "topk":
             aggs.append(F.expr(f"approx_top_k_combine(topk, {options.top_k_items})").alias("topk"))
-    first = p.groupBy(*by).agg(*aggs)
+    return aggs
+
+
+def merge_bounded(profiles: DataFrame, by, options: ProfileOptions = ProfileOptions()) -> DataFrame:
+    """One-pass merge for inputs with a small, bounded number of rows per key
+    (the partial profiles of a tree aggregation: at most ``fanout`` per key).
+
+    The pooled mean comes from a window over the key (bounded rows), and the
+    aggregate on the same key reuses that partitioning: one shuffle, one
+    read of the input.
+    """
+    by = list(by)
+    present = {f.name for f in profiles.schema.fields}
+    stats = [n for n, _ in STAT_FIELDS if n in present]
+    w = Window.partitionBy(*by)
+    pooled = (F.sum(F.when(F.col("n") > 0, F.col("n") * F.col("mean"))).over(w)
+              / F.sum(F.when(F.col("n") > 0, F.col("n"))).over(w))
+    p = profiles.withColumn("__pooled", pooled)
+    aggs = [a for a in _simple_aggs([n for n in stats if n != "m2"], options)]
+    if "m2" in stats:
+        aggs.append(F.sum(F.when(F.col("n") > 0, F.col("m2") + F.col("n")
+                                 * (F.col("mean") - F.col("__pooled")) ** 2)).alias("m2"))
+    out = p.groupBy(*by).agg(*aggs)
+    ordered = [c for c in profiles.columns if c in set(by) | set(stats)]
+    return out.select(*ordered)
+
+
+def merge_profiles(profiles: DataFrame, by=DEFAULT_BY, options: ProfileOptions = ProfileOptions(),
+                   key_exprs: dict[str, Column] | None = None) -> DataFrame:
+    """Merge all profile rows that share ``by``.
+
+    ``key_exprs`` may re-define key columns before grouping, e.g.
+    ``{"dataset_timestamp": date_trunc('day', ...)}`` for a day roll-up.
+    """
+    by = list(by)
+    p = profiles
+    for k, e in (key_exprs or {}).items():
+        p = p.withColumn(k, e)
+    present = {f.name for f in p.schema.fields}
+    stats = [n for n, _ in STAT_FIELDS if n in present]
+    first = p.groupBy(*by).agg(*_simple_aggs(stats, options))
     if "m2" not in stats:
         return first
     # Pass two: centred second moments around the pooled mean of each group.

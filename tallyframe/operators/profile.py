@@ -327,10 +327,11 @@ def profile(df: DataFrame, name: str = "dataset", *,
     if out is None:
         raise ValueError("no columns to profile")
     if fanout > 1:
-        from tallyframe.operators.merge import merge_profiles
-        out = merge_profiles(out.drop("__salt"), by=("name", "session_id", "session_timestamp",
-                                                     "dataset_timestamp", "tags", "column"),
-                             options=options)
+        # At most ``fanout`` partial rows per key: the one-pass bounded merge.
+        from tallyframe.operators.merge import merge_bounded
+        out = merge_bounded(out.drop("__salt"), by=("name", "session_id", "session_timestamp",
+                                                    "dataset_timestamp", "tags", "column"),
+                            options=options)
     return out
 
 
