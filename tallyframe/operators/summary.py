@@ -109,7 +109,7 @@ def histogram_table(profiles: DataFrame, bins: int = 30, grid: int = 1000) -> Da
     counts = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)),
                          lambda j: F.round(F.size(F.filter(cells, lambda c: c == j))
                                            * F.col("n") / grid).cast("bigint"))
-    return p.select(*keys, "column", edges.alias("bin_edges"), counts.alias("counts"))
+    return p.select(*keys, "column", "n", edges.alias("bin_edges"), counts.alias("counts"))
 
 
 def frequent_strings_table(profiles: DataFrame, top: int = 10) -> DataFrame:

@@ -44,5 +44,6 @@ def load_all() -> None:
         scoring_plans,
         series_plans,
         shape_plans,
+        sketch_plans,
         stream_plans,
     )
