@@ -21,6 +21,9 @@ def register(name: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # Results are compared as naive UTC wall-clock values.
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            # Sketch aggregates run in ObjectHashAggregate: keep hashing past
+            # 128 keys per task before falling back to sort-based aggregation.
+            spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
