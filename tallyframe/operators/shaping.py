@@ -64,23 +64,27 @@ class Sample:
     size: int
 
 
-def kth_smallest_hash(hashed: DataFrame, k: int, col: str = "__h",
+def kth_smallest_hash(hashed: DataFrame, k, col: str = "__h",
                       step: int = 4, small: int = 100_000) -> str | None:
     """Exact k-th smallest hex hash (1-based) by prefix refinement.
 
     Each round counts rows per next ``step`` hex digits inside the current
     prefix (at most 16^step groups back to the driver), keeps the bucket
     holding rank k, and stops once that bucket has at most ``small`` rows,
-    which are ordered to pick the exact value.
+    which are ordered to pick the exact value.  ``k`` may be a function of
+    the row count; the first round's bucket counts give that count, so no
+    separate counting pass is needed.
     """
-    if k <= 0:
-        return None
-    prefix, rank = "", k
+    prefix, rank = "", None
     while True:
         plen = len(prefix) + step
         sub = hashed.filter(F.col(col).startswith(prefix)) if prefix else hashed
         buckets = (sub.groupBy(F.substring(col, 1, plen).alias("b"))
                    .agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect())
+        if rank is None:
+            rank = k(sum(b["n"] for b in buckets)) if callable(k) else k
+            if rank <= 0:
+                return None
         seen = 0
         chosen = None
         for b in buckets:
@@ -105,16 +109,20 @@ def exact_sample(df: DataFrame, keys, fraction: float | None = None, size: int |
     defaults to ``int(count * fraction)``.  The complement is the rest.
     """
     hashed = df.withColumn("__h", row_hash(keys, seed))
-    if size is None:
-        size = int(df.count() * fraction)
-    thr = kth_smallest_hash(hashed.select("__h"), size)
+    sizes = []
+
+    def want(n: int) -> int:
+        sizes.append(size if size is not None else int(n * fraction))
+        return sizes[-1]
+
+    thr = kth_smallest_hash(hashed.select("__h"), want)
     if thr is None:
         rows = hashed.limit(0)
         rest = hashed
     else:
         rows = hashed.filter(F.col("__h") <= F.lit(thr))
         rest = hashed.filter(F.col("__h") > F.lit(thr))
-    return Sample(rows.drop("__h"), rest.drop("__h"), thr, size)
+    return Sample(rows.drop("__h"), rest.drop("__h"), thr, sizes[-1] if sizes else 0)
 
 
 def anti_complement(df: DataFrame, sample: DataFrame, keys) -> DataFrame:
