@@ -10,13 +10,15 @@ from tallyframe.sources.tables import table
 
 
 @register("feature_avg", sql="""
-SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) / len(embedding), 5) AS "AvgValue"
+SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) / len(embedding), 5)
+  + CAST(0 AS DOUBLE) AS "AvgValue"
 FROM embeddings""")
 def feature_avg(spark, sf_dir):
     """AvgValue, the mean over all values of each item."""
     e = table(spark, sf_dir, "embeddings")
     out = X.apply_features(e, "embedding", [X.AvgValue], keep=["vec_id"])
-    return out.withColumn("AvgValue", F.round("AvgValue", 5))
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (same in the SQL twin).
+    return out.withColumn("AvgValue", F.round("AvgValue", 5) + F.lit(0.0))
 
 
 @register("feature_channel", sql="""
@@ -29,11 +31,13 @@ def feature_channel(spark, sf_dir):
 
 @register("feature_compose", sql="""
 SELECT vec_id, label, round(list_sum(list_transform(list_slice(embedding, 1, len(embedding), 3),
-  lambda x: CAST(x AS DOUBLE))) / len(list_slice(embedding, 1, len(embedding), 3)), 5) AS "AvgValue"
+  lambda x: CAST(x AS DOUBLE))) / len(list_slice(embedding, 1, len(embedding), 3)), 5)
+  + CAST(0 AS DOUBLE) AS "AvgValue"
 FROM embeddings""")
 def feature_compose(spark, sf_dir):
     """transforms composed in order: AvgValue(MyBlue(x))."""
     e = table(spark, sf_dir, "embeddings")
     out = X.apply_features(e, "embedding", [X.compose(X.MyBlue, X.AvgValue)],
                            keep=["vec_id", "label"])
-    return out.withColumn("AvgValue", F.round("AvgValue", 5))
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (same in the SQL twin).
+    return out.withColumn("AvgValue", F.round("AvgValue", 5) + F.lit(0.0))
