@@ -245,7 +245,7 @@ def _num_partitions(df: DataFrame) -> int | None:
         return None
 
 
-def _spread(df: DataFrame, opts: ProfileOptions) -> tuple[DataFrame, int]:
+def spread_input(df: DataFrame, opts: ProfileOptions) -> tuple[DataFrame, int]:
     parts = _num_partitions(df)
     if parts is None:
         return df, 0
@@ -299,7 +299,7 @@ def profile(df: DataFrame, name: str = "dataset", *,
         order = {c: k for k, c in enumerate(columns)}
         fields.sort(key=lambda f: order[f.name])
 
-    df, parts = _spread(df, options)
+    df, parts = spread_input(df, options)
     fanout = _fanout(parts, options)
     base = df.select(ts.alias("__ts"), _tags_column(tags, static_tags).alias("__tags"),
                      *[F.col(quote(f.name)) for f in fields])

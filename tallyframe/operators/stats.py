@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyframe.operators.profile import ProfileOptions, _spread, quote
+from tallyframe.operators.profile import ProfileOptions, spread_input, quote
 
 
 def _unpivot_text(df: DataFrame, columns) -> DataFrame:
@@ -31,7 +31,7 @@ def value_counts(df: DataFrame, columns) -> DataFrame:
     Partial aggregation on the map side collapses repeated values before
     the shuffle; a value holding a third of the rows is one row per task.
     """
-    df, _ = _spread(df.select(*[F.col(quote(c)) for c in columns]), ProfileOptions())
+    df, _ = spread_input(df.select(*[F.col(quote(c)) for c in columns]), ProfileOptions())
     return _unpivot_text(df, columns).groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("count"))
 
