@@ -49,6 +49,19 @@ def stream_profile(spark, sf_dir):
                                      .alias("dataset_timestamp")])
 
 
+@register("stream_profile_tags", sql=profile_sql(
+    "events", kinds("events", exclude=("ts", "event_type")),
+    keys=[("date_trunc('day', ts)", "dataset_timestamp"), ("'event_type=' || event_type", "segment")]))
+def stream_profile_tags(spark, sf_dir):
+    """T1 with tags: streaming profile per (day window, event type)."""
+    from tallyframe.operators.profile import segment_label
+    s = _stream(spark, sf_dir, per_trigger=5)
+    p = PS.stream_profile_table(spark, s, "events", "ts", "1 day", "1 day", mode="complete",
+                                tags=("event_type",))
+    return exact_view(p, extra_keys=[F.col("dataset_timestamp").cast("timestamp")
+                                     .alias("dataset_timestamp"), segment_label().alias("segment")])
+
+
 @register("stream_drain", sql="""
 SELECT date_trunc('day', ts) AS day, CAST(count(*) AS BIGINT) AS rows FROM events GROUP BY 1""")
 def stream_drain(spark, sf_dir):
