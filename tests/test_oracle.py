@@ -15,7 +15,8 @@ FAST = ["profile_lineitem", "profile_types", "profile_grouped", "profile_merge",
         "describe_text", "value_constraints", "summary_constraints", "constraint_verdict",
         "drift_intersection", "drift_mutual_info", "drift_ks", "pmf_overlay", "baseline_trailing",
         "sample_exact", "slice_rows", "row_positions", "kafka_decode", "feature_compose",
-        "series_unique", "stream_drain", "run_log"]
+        "series_unique", "stream_drain", "run_log", "pmf_sketch", "quantile_sketch",
+        "stream_profile_tags"]
 
 
 def _norm(v):
