@@ -54,3 +54,16 @@ def test_flat_summary_shapes(spark):
     q = h["l_quantity"]
     assert len(q["bin_edges"]) == 31 and len(q["counts"]) == 30
     assert abs(sum(q["counts"]) - s["l_quantity"]["count"]) <= 30
+
+
+def test_describe_approx_path(spark):
+    from tallyframe.operators.stats import describe_numeric
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    exact = {r["column"]: r for r in describe_numeric(li, ["l_extendedprice"]).collect()}
+    approx = {r["column"]: r for r in describe_numeric(li, ["l_extendedprice"], exact=False).collect()}
+    e, a = exact["l_extendedprice"], approx["l_extendedprice"]
+    assert e["count"] == a["count"] and e["min"] == a["min"] and e["max"] == a["max"]
+    n = e["count"]
+    for q, col in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+        rank = li.filter(li["l_extendedprice"] <= a[col]).count() / n
+        assert abs(rank - q) <= 0.01, (col, rank)
