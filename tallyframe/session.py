@@ -35,8 +35,11 @@ def get_session(master: str | None = None, app: str = "tallyframe",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    active = SparkSession.getActiveSession()
+    known = dict(active.sparkContext.getConf().getAll()) if active else {}
     for k, v in conf.items():
-        builder = builder.config(k, v)
+        if k not in known or k in (extra or {}):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
@@ -47,21 +50,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the
-    cluster (a shared file system path).  Only when nothing is configured
-    (local tests) do we create a scratch folder of our own.
+    cluster (a shared file system path); without it a cluster run fails
+    here, since executors cannot read each other's local folders.  Only a
+    local master, where all tasks share one machine, gets a folder of ours.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Only for local runs and tests: a cluster names a shared folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", conf_dir)
-        except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
-            pass
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
