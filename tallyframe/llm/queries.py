@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ann, packing, quality, sharding, simhash, url_filter
+from tallyframe.llm import ann, lm, packing, quality, sharding, simhash, suffix_dedup, url_filter
 from tallyframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,13 @@ def tokenizer_paths() -> tuple[str, str, str]:
 @query("op9_packing")
 def op9_packing(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_paths())
+
+
+@query("op8_lm")
+def op8_lm(spark, sf_dir):
+    return lm.lm_scores(read_table(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=100, with_text=False)

@@ -9,14 +9,13 @@ join, which removes false positives, and the longest rule wins.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm.bloom import BlockedBloom
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORDS = 8                      # 64-bit words of a block, one bit set in each
-MAX_FILTER_BYTES = 64 << 20    # bound of the broadcast filter
 
 
 def url_host(url: Column) -> Column:
@@ -33,45 +32,6 @@ def _key_hash(host: Column, path: Column) -> Column:
     return F.xxhash64(host, path)
 
 
-class BlockedBloom:
-    """Split-block Bloom filter over 64-bit key hashes; probing is vectorised."""
-
-    def __init__(self, blocks: np.ndarray):
-        self.blocks = blocks          # (n, WORDS) uint64
-
-    @staticmethod
-    def size_for(n_keys: int, bits_per_key: int = 16) -> int:
-        want = max(1, n_keys * bits_per_key // (64 * WORDS))
-        return min(1 << max(0, (want - 1).bit_length()), MAX_FILTER_BYTES // (8 * WORDS))
-
-    @staticmethod
-    def bits(i: int, h: Column) -> Column:
-        """Bit that word ``i`` of the block has for the hash."""
-        return F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63))
-
-    @classmethod
-    def build(cls, hashes: DataFrame, col: str) -> BlockedBloom:
-        """One aggregate over the listed keys; at most MAX_FILTER_BYTES reach the driver."""
-        n = cls.size_for(hashes.count())
-        mixed = F.xxhash64(F.col(col), F.lit(7))
-        block = F.shiftrightunsigned(mixed, 16).bitwiseAND(F.lit(n - 1))
-        words = [F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({col}, {6 * i}) & 63 as int))")).alias(f"w{i}")
-                 for i in range(WORDS)]
-        out = np.zeros((n, WORDS), dtype=np.uint64)
-        for r in hashes.groupBy(block.alias("b")).agg(*words).collect():
-            out[r["b"]] = np.array([r[f"w{i}"] for i in range(WORDS)], dtype=np.int64).view(np.uint64)
-        return cls(out)
-
-    def probe(self, h: np.ndarray, mixed: np.ndarray) -> np.ndarray:
-        u = h.astype(np.int64).view(np.uint64)
-        b = (mixed.astype(np.int64).view(np.uint64) >> np.uint64(16)) & np.uint64(len(self.blocks) - 1)
-        hit = np.ones(len(u), dtype=bool)
-        for i in range(WORDS):
-            bit = (u >> np.uint64(6 * i)) & np.uint64(63)
-            hit &= ((self.blocks[b, i] >> bit) & np.uint64(1)).astype(bool)
-        return hit
-
-
 def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",
                default: str = "allow") -> DataFrame:
     """(id, host, path, rule, verdict) for every row of ``pages``.
@@ -100,8 +60,8 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     bloom = spark.sparkContext.broadcast(BlockedBloom.build(listed.select("_kh"), "_kh"))
 
     @F.pandas_udf("boolean")
-    def maybe(h: pd.Series, mixed: pd.Series) -> pd.Series:
-        return pd.Series(bloom.value.probe(h.to_numpy(), mixed.to_numpy()))
+    def maybe(h: pd.Series) -> pd.Series:
+        return pd.Series(bloom.value.probe(h.to_numpy()))
 
     # candidates of each distinct (host, path): every other url part is irrelevant to the verdict
     labels = F.split("host", r"\.")
@@ -114,7 +74,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
                                             lambda x: F.substring(F.col("path"), F.lit(1), x)))
              .withColumn("_h", F.explode("_hs")).withColumn("_p", F.explode("_ps"))
              .select("host", "path", "_h", "_p", _key_hash(F.col("_h"), F.col("_p")).alias("_kh")))
-    hits = spots.where(maybe("_kh", F.xxhash64(F.col("_kh"), F.lit(7))))
+    hits = spots.where(maybe("_kh"))
     found = (hits.join(listed, (hits["_kh"] == listed["_kh"]) & (F.col("_h") == F.col("_rh")) & (F.col("_p") == F.col("_rp")))
              .groupBy("host", "path")
              .agg(F.max(F.struct(F.length(F.concat("_rh", "_rp")).alias("n"), F.length("_rh").alias("hn"),
