@@ -10,11 +10,14 @@ import tallyframe
 from tallyframe.session import scratch_path
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers import this package from where the driver has it; a
-    # cluster that has it installed elsewhere finds it on its own path first or later.
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if they have no path of their own."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(tallyframe.__file__)))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

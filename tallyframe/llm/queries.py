@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ann, lm, packing, quality, sharding, simhash, suffix_dedup, url_filter
+from tallyframe.llm import ann, decontaminate, lm, packing, pii, quality, sharding, simhash, suffix_dedup, url_filter
 from tallyframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,15 @@ def op8_lm(spark, sf_dir):
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=100, with_text=False)
+
+
+@query("op5_decontaminate")
+def op5_decontaminate(spark, sf_dir):
+    leaks = decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return leaks.withColumn("contaminated", F.lit(True))
+
+
+@query("op10_pii")
+def op10_pii(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_personal_data(docs)
