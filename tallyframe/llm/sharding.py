@@ -32,10 +32,10 @@ def _lexical(c: Column) -> Column:
 
 
 def _points(rows: DataFrame) -> tuple[DataFrame, list[str]]:
-    """One weighted point per group of equal texts, dimensions scaled to 31 bits."""
+    """One weighted point per group of equal texts, dimensions scaled to 31 bits, all in the root node."""
     raw = rows.groupBy("_k1", "_k2").agg(
         F.sum("size").alias("w"), F.max("size").cast("double").alias("d0"),
-        F.min("_id").cast("double").alias("d1"), F.min("_lang").alias("d2"), F.min("_source").alias("d3"))
+        F.min("_id").cast("double").alias("d1"), F.min("_lang").alias("d2"), F.min("_source").alias("d3"), F.lit(1).cast("long").alias("node"))
     raw = materialise(raw, "shard-groups")
     dims = ["d0", "d1", "d2", "d3"]
     low = raw.agg(*[F.min(d).alias(f"lo_{d}") for d in dims], *[F.max(d).alias(f"hi_{d}") for d in dims]).first()
@@ -46,7 +46,7 @@ def _points(rows: DataFrame) -> tuple[DataFrame, list[str]]:
         scaled.append(F.coalesce(F.floor((F.col(d) - F.lit(lo)) / span * (2 ** DIM_BITS - 1)), F.lit(0))
                       .cast("long").alias(d))
     tie = F.shiftrightunsigned("_k2", 64 - DIM_BITS).alias("tie")
-    return raw.select("_k1", "_k2", "w", tie, *scaled), dims
+    return raw.select("_k1", "_k2", "w", "node", tie, *scaled), dims
 
 
 def _values(spark, rows: list[tuple], cols: list[str]) -> DataFrame:
@@ -121,7 +121,6 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int |
     if n_shards is None:
         n_shards = max(1, math.ceil((total or 0) / target_bytes))
     pts, dims = _points(rows)
-    pts = pts.withColumn("node", F.lit(1).cast("long"))
     leaves, first = {1: n_shards}, {1: 0}   # node -> leaves under it, its first shard
     while any(n > 1 for n in leaves.values()) and n_rows:
         cuts = _split_points(pts, dims, leaves, tolerance)
