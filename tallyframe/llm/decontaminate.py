@@ -90,12 +90,14 @@ def budget(n: int, rate: float = EDIT_RATE, q: int = Q) -> int:
 def banded_distance(passage: np.ndarray, text: np.ndarray, low: int, width: int, most: int) -> tuple[int, int]:
     """Least edits (over ``most``: most + 1) between the passage and any stretch of the text whose diagonals
     lie in [low, low + width), and where that stretch ends."""
+    if not len(text):
+        return min(len(passage), most + 1), 0
     span = np.arange(width)
     row = np.where((low + span >= 0) & (low + span <= len(text)), 0, most + 1)   # free start in the text
     for i in range(1, len(passage) + 1):
         at = low + i + span                      # text characters used so far on each diagonal
         inside = (at >= 1) & (at <= len(text))
-        same = inside & (text[np.clip(at - 1, 0, max(len(text) - 1, 0))] == passage[i - 1])
+        same = inside & (text[np.clip(at - 1, 0, len(text) - 1)] == passage[i - 1])
         new = row + np.where(inside, ~same, most + 1)
         new[:-1] = np.minimum(new[:-1], row[1:] + 1)              # passage character left out
         new = np.where((at >= 0) & (at <= len(text)), new, most + 1)

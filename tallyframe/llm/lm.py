@@ -96,8 +96,17 @@ def build_vocab(counts: DataFrame, n_frequent: int, kept: int = KEPT_WORDS) -> V
     """At most ``kept`` words and one number per rest class reach the driver."""
     n, v = counts.agg(F.sum("n"), F.count("*")).first()
     n, v = n or 0, v or 0
-    n_frequent = min(n_frequent, v) // CLASS_WORDS * CLASS_WORDS
-    top = counts.orderBy(F.desc("n"), "word").limit(kept).toPandas()
+    # smallest count that at most ``kept`` words reach, read from a histogram of the counts
+    coarse = F.when(F.col("n") < 1024, F.col("n")).otherwise(F.expr("shiftleft(1L, cast(floor(log2(n)) as int))"))
+    least, so_far = None, 0
+    for r in sorted(counts.groupBy(coarse.alias("c")).count().collect(), reverse=True):
+        so_far += r["count"]
+        if so_far > kept:
+            break
+        least = r["c"]
+    top = counts.where(F.col("n") >= least) if least is not None else counts.limit(0)
+    top = top.toPandas().sort_values(["n", "word"], ascending=[False, True])
+    n_frequent = min(n_frequent, len(top)) // CLASS_WORDS * CLASS_WORDS
     ids = {w: i for i, w in enumerate(top["word"].tolist())}
     all_rest = {r["c"]: r["s"] for r in counts.groupBy(rest_class_column(F.col("word")).alias("c"))
                 .agg(F.sum(F.col("n") + 1).alias("s")).collect()}
