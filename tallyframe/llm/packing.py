@@ -192,6 +192,6 @@ def pack(docs: DataFrame, paths: tuple[str, str | None, str], id_col: str = "doc
     within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = (thin.withColumn("_run", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(base, "_part")
               .select("_row", (F.col("_base") + F.col("_run")).alias("_at")))
-    pieces = tokens.join(placed, "_row").select("_id", "_n", "_ids", "_at").mapInArrow(
+    pieces = tokens.join(placed.hint("merge"), "_row").select("_id", "_n", "_ids", "_at").mapInArrow(
         _cut(seq_len), ", ".join(f"{c} long" for c in PIECE))
     return pieces.withColumnRenamed("_id", id_col)

@@ -207,7 +207,8 @@ def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "s
                                      + _pour("m", "s[0].kind", "s[0].surrogate") + ")")))
     maps = materialise(whole.groupBy("_pii_k1", "_pii_k2").agg(
         F.map_from_entries(F.collect_list(F.struct("m", "r"))).alias("_pii_map")), "pii-maps")
-    joined = named.select("*", *keys).join(maps, ["_pii_k1", "_pii_k2"], "left")
+    # one join plan at every size: the maps grow with the input
+    joined = named.select("*", *keys).join(maps.hint("merge"), ["_pii_k1", "_pii_k2"], "left")
     rebuilt = F.expr(f"if(_pii_map is null, {text_col}, array_join(flatten(zip_with(split({text_col}, {_lit(ANY)}, -1), "
                      f"regexp_extract_all({text_col}, {_lit(ANY)}, 0), (t, m) -> array(t, coalesce(_pii_map[m], m, '')))), ''))")
     count = F.expr(f"if(_pii_map is null, 0, size(regexp_extract_all({text_col}, {_lit(ANY)}, 0)))")

@@ -206,7 +206,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     groups = simhash_groups(docs, id_col, text_col, **kw).where(F.col(id_col).eqNullSafe(F.col("component_id")))
     kept = groups.groupBy(F.col(id_col).alias("_kid")).agg(F.count("*").alias("_n"))
     kept = materialise(kept, "simhash-kept")
-    out = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kid")), "left_semi")
+    # one join plan at every size: the kept ids grow with the input
+    out = docs.join(kept.hint("merge"), F.col(id_col).eqNullSafe(F.col("_kid")), "left_semi")
     if kept.where("_n > 1").isEmpty():
         return out
     return out.dropDuplicates([id_col, text_col])
