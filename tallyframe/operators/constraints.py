@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.operators.profile import quote
+from tallyframe.operators.profile import TAGS_TYPE, quote
 
 # Comparison operators of the constraint documents.
 OPS = ("LT", "LE", "EQ", "NE", "GE", "GT")
@@ -102,30 +102,45 @@ def parse_constraints(doc) -> list[Constraint]:
     return out
 
 
-def _value_pred(c: Constraint) -> Column:
-    return compare(F.col(quote(c.column)), c.op, F.lit(c.value))
+def _checked_value(df: DataFrame, c: Constraint) -> Column | None:
+    """The value a constraint compares: the numeric view of a text column for a number
+    (other text there is skipped, like nulls), text for a text value; None if the column is missing."""
+    if c.column not in df.columns:
+        return None
+    col = F.col(quote(c.column))
+    kind = df.schema[c.column].dataType
+    if isinstance(c.value, str):
+        return col.cast("string")
+    return col.try_cast("double") if isinstance(kind, T.StringType) else col
 
 
 def value_report(df: DataFrame, constraints: list[Constraint]) -> DataFrame:
     """One row per value constraint: total checked, failures, passed.
 
-    All constraints are counted in a single aggregate over ``df``.
+    All constraints are counted in a single aggregate over ``df``.  A
+    constraint passes if it checked some value and none failed, so a missing
+    column and a column without values fail.  ``value`` is null for text values.
     """
     vcs = [c for c in constraints if c.kind == "value"]
     if not vcs:
         return _empty_value_report(df.sparkSession)
     aggs = []
     for i, c in enumerate(vcs):
-        col = F.col(quote(c.column))
-        aggs.append(F.count(col).alias(f"t{i}"))
-        aggs.append(F.count_if(col.isNotNull() & ~_value_pred(c)).alias(f"f{i}"))
+        x = _checked_value(df, c)
+        if x is None:
+            aggs += [F.count_if(F.lit(False)).alias(f"t{i}"), F.count_if(F.lit(False)).alias(f"f{i}")]
+            continue
+        aggs.append(F.count(x).alias(f"t{i}"))
+        aggs.append(F.count_if(x.isNotNull() & ~compare(x, c.op, F.lit(c.value))).alias(f"f{i}"))
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c.label).alias("name"), F.lit(c.column).alias("column"),
-                     F.lit(c.op).alias("op"), F.lit(float(c.value)).alias("value"),
+                     F.lit(c.op).alias("op"),
+                     F.lit(None if isinstance(c.value, str) else float(c.value)).cast("double").alias("value"),
                      F.col(f"t{i}").cast("bigint").alias("total"),
                      F.col(f"f{i}").cast("bigint").alias("failures"))
             for i, c in enumerate(vcs)]
-    return wide.select(F.inline(F.array(*rows))).withColumn("passed", F.col("failures") == 0)
+    return wide.select(F.inline(F.array(*rows))).withColumn(
+        "passed", (F.col("total") > 0) & (F.col("failures") == 0))
 
 
 def _empty_value_report(spark: SparkSession) -> DataFrame:
@@ -136,8 +151,9 @@ def _empty_value_report(spark: SparkSession) -> DataFrame:
 def summary_fields(profile_rows: DataFrame) -> DataFrame:
     """The fields summary constraints may name, one row per profiled column."""
     from tallyframe.operators.summary import stddev_col
+    keys = [k for k in ("dataset_timestamp", "tags") if k in profile_rows.columns]
     return profile_rows.select(
-        "column",
+        "column", *keys,
         F.struct(
             F.col("count").cast("double").alias("count"),
             F.col("null_count").cast("double").alias("null_count"),
@@ -152,22 +168,27 @@ def summary_fields(profile_rows: DataFrame) -> DataFrame:
 
 
 def summary_report(profile_rows: DataFrame, constraints: list[Constraint]) -> DataFrame:
-    """One row per summary constraint, evaluated on (merged) profile rows."""
+    """One row per summary constraint and profile of its column, with that profile's time and tags.
+
+    A constraint on a column that no profile has gives one failed row.
+    """
     scs = [c for c in constraints if c.kind == "summary"]
     spark = profile_rows.sparkSession
     if not scs:
         return spark.createDataFrame([], "name string, column string, first_field string, "
                                          "op string, value double, second_field string, "
-                                         "actual double, other double, passed boolean")
+                                         "actual double, other double, passed boolean, "
+                                         "dataset_timestamp timestamp, tags " + TAGS_TYPE.simpleString())
     spec = spark.createDataFrame(
         [(c.label, c.column, c.first_field, c.op,
           None if c.value is None else float(c.value), c.second_field) for c in scs],
         "name string, column string, first_field string, op string, value double, "
         "second_field string")
     fields = summary_fields(profile_rows)
-    # The spec has one row per constraint (a handful): a broadcast of a
-    # driver-built list whose size is that of the constraints file.
-    j = fields.join(F.broadcast(spec), "column")
+    for k, t in (("dataset_timestamp", T.TimestampType()), ("tags", TAGS_TYPE)):
+        if k not in fields.columns:
+            fields = fields.withColumn(k, F.lit(None).cast(t))
+    j = spec.join(fields, "column", "left")
     names = [f.name for f in fields.schema["f"].dataType.fields]
 
     def pick(field: Column) -> Column:
@@ -181,7 +202,7 @@ def summary_report(profile_rows: DataFrame, constraints: list[Constraint]) -> Da
                    .otherwise(acc), OPS, F.lit(None).cast("boolean"))
     return j.select("name", "column", "first_field", "op", "value", "second_field",
                     actual.alias("actual"), other.alias("other"),
-                    F.coalesce(by_op, F.lit(False)).alias("passed"))
+                    F.coalesce(by_op, F.lit(False)).alias("passed"), "dataset_timestamp", "tags")
 
 
 def failures(df: DataFrame, constraints: list[Constraint], key_columns=(),
@@ -192,36 +213,40 @@ def failures(df: DataFrame, constraints: list[Constraint], key_columns=(),
     optional cap for logging only.
     """
     vcs = [c for c in constraints if c.kind == "value" and (c.verbose or not only_verbose)]
-    parts = []
+    found = []
     for c in vcs:
-        col = F.col(quote(c.column))
-        parts.append(df.filter(col.isNotNull() & ~_value_pred(c)).select(
-            F.lit(c.label).alias("name"), F.lit(c.column).alias("column"),
-            col.cast("string").alias("value"), *key_columns))
-    if not parts:
+        x = _checked_value(df, c)
+        if x is not None:
+            found.append(F.when(x.isNotNull() & ~compare(x, c.op, F.lit(c.value)), F.struct(
+                F.lit(c.label).alias("name"), F.lit(c.column).alias("column"),
+                F.col(quote(c.column)).cast("string").alias("value"))))
+    if not found:
         return df.sparkSession.createDataFrame([], "name string, column string, value string")
-    out = reduce(DataFrame.unionByName, parts)
+    # one scan: each row's failed checks, filtered inside the array
+    out = (df.select(*key_columns, F.explode(F.filter(F.array(*found), lambda f: f.isNotNull())).alias("__f"))
+           .select("__f.*", *key_columns))
     return out.limit(limit) if limit else out
 
 
 def failure_messages(failures_df: DataFrame) -> DataFrame:
-    """Log lines in the documented form: ``value constraint <name> failed on value <v>``."""
-    return failures_df.select(F.concat(F.lit("value constraint "), F.col("name"),
-                                       F.lit(" failed on value "), F.col("value")).alias("message"))
+    """Log lines, one per failing value."""
+    return failures_df.select(F.concat(F.col("column"), F.lit(": "), F.col("value"), F.lit(" fails "),
+                                       F.col("name")).alias("message"))
 
 
 def report(df: DataFrame, profile_rows: DataFrame, constraints: list[Constraint]) -> DataFrame:
-    """Value and summary checks in one table: (kind, name, column, op, passed)."""
-    v = value_report(df, constraints).select(F.lit("value").alias("kind"), "name", "column",
-                                             "op", "passed")
-    s = summary_report(profile_rows, constraints).select(F.lit("summary").alias("kind"), "name",
-                                                         "column", "op", "passed")
+    """Value and summary checks in one table: (kind, name, column, op, passed, dataset_timestamp, tags)."""
+    v = value_report(df, constraints).select(
+        F.lit("value").alias("kind"), "name", "column", "op", "passed",
+        F.lit(None).cast("timestamp").alias("dataset_timestamp"), F.lit(None).cast(TAGS_TYPE).alias("tags"))
+    s = summary_report(profile_rows, constraints).select(
+        F.lit("summary").alias("kind"), "name", "column", "op", "passed", "dataset_timestamp", "tags")
     return v.unionByName(s)
 
 
 def verdict(report_df: DataFrame, expect_failure: bool = False) -> DataFrame:
     """Overall result; with ``expect_failure`` the action succeeds when a check fails."""
-    passed = F.coalesce(F.bool_and("passed"), F.lit(True))
+    passed = F.coalesce(F.bool_and("passed"), F.lit(True))   # no constraints: nothing fails
     return report_df.agg(passed.alias("passed")).select(
         "passed", F.lit(expect_failure).alias("expect_failure"),
         (F.col("passed") != F.lit(expect_failure)).alias("action_ok"))
@@ -230,12 +255,14 @@ def verdict(report_df: DataFrame, expect_failure: bool = False) -> DataFrame:
 def observe_failures(df: DataFrame, constraints: list[Constraint], name: str = "constraints"):
     """Inline check while writing: returns (observed df, Observation).
 
-    The counts arrive with the first action on the returned DataFrame
-    (e.g. its write), with no extra pass over the data.
+    The counts, one per ``<column>: <label>``, arrive with the first action on the
+    returned DataFrame (e.g. its write), with no extra pass over the data.
     """
     from pyspark.sql import Observation
     obs = Observation(name)
-    vcs = [c for c in constraints if c.kind == "value"]
-    exprs = [F.count_if(F.col(quote(c.column)).isNotNull() & ~_value_pred(c)).alias(c.label)
-             for c in vcs]
+    exprs = []
+    for c in (c for c in constraints if c.kind == "value"):
+        x = _checked_value(df, c)
+        bad = F.count_if(F.lit(False)) if x is None else F.count_if(x.isNotNull() & ~compare(x, c.op, F.lit(c.value)))
+        exprs.append(bad.alias(f"{c.column}: {c.label}"))
     return df.observe(obs, *exprs), obs

@@ -17,13 +17,14 @@ cell is closed on the left or right; this is our choice.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyframe.operators.profile import quote
+from tallyframe.operators.profile import numeric_view, quote
 
 # Own choice: floor for zero shares inside the logarithms of KL and PSI.
 EPSILON = 1e-9
@@ -54,6 +55,8 @@ def shared_bins(lo: float, hi: float, n_bins: int) -> Bins:
     narrower than ``n_bins``) makes the reference raise, we fall back to
     ``n_bins`` float cells.
     """
+    if lo is None or hi is None:     # no values on any side
+        lo = hi = 0.0
     step = int((hi - lo) / n_bins)
     if step > 0:
         edges = tuple(float(e) for e in range(int(lo), int(hi), step))
@@ -87,7 +90,7 @@ def cell_of(x: Column, bins: Bins) -> Column:
 
 
 def side_ranges(df: DataFrame, column: str, side: Column) -> DataFrame:
-    x = F.col(quote(column)).cast("double")
+    x = numeric_view(F.col(quote(column)))
     return df.groupBy(side.alias("side")).agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
 
 
@@ -103,7 +106,7 @@ def cell_table(df: DataFrame, column: str, side: Column, bins: Bins, sides) -> D
     One grouped aggregate over the data; the grid of sides x cells is
     generated from the (short) side list and the cell count, not joined.
     """
-    x = F.col(quote(column)).cast("double")
+    x = numeric_view(F.col(quote(column)))
     counts = (df.filter(x.isNotNull())
               .groupBy(side.alias("side"), cell_of(x, bins).alias("cell"))
               .agg(F.count(F.lit(1)).alias("n")))
@@ -114,7 +117,7 @@ def cell_table(df: DataFrame, column: str, side: Column, bins: Bins, sides) -> D
         "side", "cell", F.coalesce("n", F.lit(0)).cast("bigint").alias("count"))
     # Each side has ``cells`` rows (about n_bins): bounded windows.
     total = F.sum("count").over(Window.partitionBy("side"))
-    return dense.select("side", "cell", "count", (F.col("count") / total).alias("pmf"))
+    return dense.select("side", "cell", "count", F.try_divide("count", total).alias("pmf"))
 
 
 def pair(cells_long: DataFrame, a: str, b: str) -> DataFrame:
@@ -188,13 +191,41 @@ def binned_scatter(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     from tallyframe.operators.stats import equal_width_bin, min_max
     xlo, xhi = min_max(df, x)
     ylo, yhi = min_max(df, y)
-    xc, yc = F.col(quote(x)).cast("double"), F.col(quote(y)).cast("double")
+    xc, yc = numeric_view(F.col(quote(x))), numeric_view(F.col(quote(y)))
+    if None in (xlo, xhi, ylo, yhi):
+        xlo = xhi = ylo = yhi = 0.0
     return (df.filter(xc.isNotNull() & yc.isNotNull())
             .groupBy(equal_width_bin(xc, xlo, xhi, bins).alias("bin_x"),
                      equal_width_bin(yc, ylo, yhi, bins).alias("bin_y"))
             .agg(F.count(F.lit(1)).alias("count")))
 
 
+def compare(profiles_a: DataFrame, profiles_b: DataFrame, column: str, n_bins: int = 20):
+    """Drift of profile ``b`` from profile ``a``, from their stored rows alone.
+
+    The shared range comes from the two summaries, the PMFs from the two KLL
+    sketches at the shared points; returns (bins, one row of ``metrics``).
+    Each side must be one profile of the column (merge grouped profiles
+    first).  A side without values has null PMFs and so null metrics.
+    """
+    rows_a, rows_b = (p.filter(F.col("column") == column) for p in (profiles_a, profiles_b))
+    r = rows_a.select("min", "max").unionByName(rows_b.select("min", "max")).agg(
+        F.min("min").alias("lo"), F.max("max").alias("hi")).first()
+    bins = shared_bins(r["lo"], r["hi"], n_bins)
+    # sketch ranks count x <= p: points just below the edges give the cells p_i <= x < p_i+1
+    points = [math.nextafter(p, -math.inf) for p in bins.points]
+    grid = profiles_a.sparkSession.range(0, bins.cells).select(F.col("id").cast("int").alias("cell"))
+
+    def side(rows, share, count):
+        n = rows.agg(F.sum("n").alias("n")).select(F.coalesce("n", F.lit(0)).alias("n")).first()["n"]
+        pmf = sketch_pmf(rows, points).select("cell", F.col("pmf").alias(share))
+        return pmf.withColumn(count, F.round(F.col(share) * F.lit(n)).cast("bigint"))
+
+    cells = (grid.join(side(rows_a, "p", "na"), "cell", "left").join(side(rows_b, "q", "nb"), "cell", "left")
+             .select("cell", "na", "nb", "p", "q"))
+    return bins, metrics(cells, n_bins)
+
+
 def sketch_pmf(profile_rows: DataFrame, points) -> DataFrame:
     """PMF from each profile's KLL sketch at the given points (rank differences).
 
@@ -207,5 +238,5 @@ def sketch_pmf(profile_rows: DataFrame, points) -> DataFrame:
     cells = F.transform(F.sequence(F.lit(1), F.lit(len(points) + 1)),
                         lambda j: F.element_at(cum, j + 1) - F.element_at(cum, j))
     keys = [k for k in ("name", "dataset_timestamp", "tags") if k in profile_rows.columns]
-    return (profile_rows.filter(F.col("kll").isNotNull())
+    return (profile_rows.filter(F.col("kll").isNotNull() & (F.col("n") > 0))
             .select(*keys, "column", F.posexplode(cells).alias("cell", "pmf")))

@@ -95,6 +95,11 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def numeric_view(c: Column) -> Column:
+    """A column as double; NaN, the missing marker of many sources, counts as null."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+
+
 def _typed_null(dtype: T.DataType) -> Column:
     return F.lit(None).cast(dtype)
 
@@ -109,6 +114,8 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
     """
     c = F.col(quote(fld.name))
     dt = fld.dataType
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        c = F.nanvl(c, F.lit(None).cast(dt))
     p = f"__c{i}_"
     is_text = isinstance(dt, T.StringType)
     has_num = tc.numeric_value(c, dt) is not None
@@ -143,6 +150,8 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
                     .alias(p + "kll"))
     keep_topk = sketchable and (opts.top_k_numeric or num is None or is_text)
     q = quote(fld.name)
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        q = f"nanvl({q}, null)"
     if opts.sketches and sketchable:
         # Theta hashes numbers natively; other types go through their text form.
         tv = c if isinstance(dt, THETA_NATIVE) else c.cast("string")
@@ -238,17 +247,26 @@ def _tags_column(tag_cols: list[str], static_tags: dict[str, str] | None) -> Col
                      for k in sorted(entries)]).cast(TAGS_TYPE)
 
 
-def _num_partitions(df: DataFrame) -> int | None:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+def _scan_partitions(df: DataFrame) -> int | None:
+    """About how many tasks a plain file scan has; None for any other plan.
+
+    Read from the plan alone: no job runs, and no shuffle stage of ``df``.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    nodes = [line.strip(" +-:") for line in plan.toString().splitlines() if line.strip()]
+    if not nodes or not all(n.startswith(("Project", "Filter", "Relation")) for n in nodes):
+        return None
+    files = len(df.inputFiles())
+    if not files:
         return None
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return max(files, int(str(plan.stats().sizeInBytes())) // split)
 
 
 def spread_input(df: DataFrame, opts: ProfileOptions) -> tuple[DataFrame, int]:
-    parts = _num_partitions(df)
+    parts = _scan_partitions(df)
     if parts is None:
-        return df, 0
+        return df, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     target = min(df.sparkSession.sparkContext.defaultParallelism, opts.min_partitions or 256)
     if parts < opts.spread_below and parts < target:
         return df.repartition(target), target
@@ -321,7 +339,12 @@ def profile(df: DataFrame, name: str = "dataset", *,
     out = None
     for start in range(0, len(fields), step):
         plan = wide_plan(fields[start:start + step], options, first_index=start)
-        wide = plan.derive(base).groupBy(*keys).agg(*plan.aggs)
+        if time_column is None and not tags and fanout == 1 and not isinstance(dataset_timestamp, Column):
+            # one profile whatever the input: an empty frame has rows with count 0
+            wide = plan.derive(base.drop(*keys)).agg(*plan.aggs).select(
+                "*", ts.alias("__ts"), _tags_column(tags, static_tags).alias("__tags"))
+        else:
+            wide = plan.derive(base).groupBy(*keys).agg(*plan.aggs)
         long = wide.select(*header, plan.to_long)
         out = long if out is None else out.unionByName(long)
     if out is None:

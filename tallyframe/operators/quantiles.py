@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyframe.operators.profile import quote
+from tallyframe.operators.profile import numeric_view, quote
 
 BROADCAST_ROWS = 100_000   # a target table below this size is broadcast (counted first)
 # A range known (from the previous round's counts) to hold at most this many
@@ -47,14 +47,19 @@ def _join_keys(big: DataFrame, small: DataFrame, keys, small_rows: int) -> DataF
 
 
 def _bucket(x: Column, lo: Column, hi: Column, buckets: int) -> Column:
-    w = (hi - lo) / F.lit(float(buckets))
-    b = F.floor((x - lo) / w)
+    # ranges of one sign are cut evenly in the logarithm, so that a range over many
+    # powers of ten closes in a few rounds; any monotone cut gives exact ranks
+    def scale(v):
+        return F.when(lo > 0, F.ln(v)).when(hi < 0, -F.ln(-v)).otherwise(v)
+
+    b = F.floor((scale(x) - scale(lo)) / ((scale(hi) - scale(lo)) / F.lit(float(buckets))))
+    b = F.when(b.isNull() | F.isnan((scale(x) - scale(lo))), F.lit(0)).otherwise(b)
     return F.when(hi > lo, F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))) \
         .otherwise(F.lit(0)).cast("int")
 
 
 def order_statistics(data: DataFrame, by, targets: DataFrame, buckets: int = 4096,
-                     max_rounds: int = 12, small_range: int = SMALL_RANGE) -> DataFrame:
+                     small_range: int = SMALL_RANGE) -> DataFrame:
     """Exact values at 0-based ranks.
 
     ``data``: (by..., __x) non-null doubles.  ``targets``: (by..., tid, r,
@@ -64,7 +69,7 @@ def order_statistics(data: DataFrame, by, targets: DataFrame, buckets: int = 409
     by = list(by)
     t = targets.withColumn("done", F.col("lo") == F.col("hi")) \
         .withColumn("value", F.when(F.col("done"), F.col("lo")))
-    for _ in range(max_rounds):
+    while True:      # each round narrows every open range to one of its cells
         t = t.checkpoint(eager=True)
         active = t.filter(~F.col("done"))
         n_active = active.count()
@@ -101,9 +106,6 @@ def order_statistics(data: DataFrame, by, targets: DataFrame, buckets: int = 409
             F.col("cnt2").alias("cnt"), (F.col("lo2") == F.col("hi2")).alias("done"),
             F.when(F.col("lo2") == F.col("hi2"), F.col("lo2")).alias("value"))
         t = t.filter(F.col("done")).unionByName(finished).unionByName(nxt)
-    left = t.filter(~F.col("done")).count()
-    if left:
-        raise RuntimeError(f"{left} order statistics did not converge")
     return t.select("tid", "value")
 
 
@@ -141,7 +143,7 @@ def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int =
     if not by:
         return exact_quantiles_columns(df, [column], quantiles, buckets,
                                        small_range).drop("column")
-    x = F.col(quote(column)).cast("double")
+    x = numeric_view(F.col(quote(column)))
     keys = by
     data = df.select(*[F.col(quote(k)) for k in by], x.alias("__x")).filter(F.col("__x").isNotNull())
     groups = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("lo"),

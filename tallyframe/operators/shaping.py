@@ -29,25 +29,46 @@ def head(df: DataFrame, order_by, n: int) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
+def _row_order(df: DataFrame) -> Column:
+    """Tie-break over the whole row: only identical rows share it."""
+    return F.xxhash64(*[F.col(quote(c)).cast("string") for c in df.columns])
+
+
 def slices(df: DataFrame, order_by, cuts=(200, 231, 262), label: str = "slice") -> DataFrame:
     """Label rows by positional slice: [:c0] -> 0, [c0:c1] -> 1, ..., [c_last:] -> len(cuts).
 
     The bounded prefix (``max(cuts)`` rows) is taken ordered and numbered
-    inside that small set; every other row is in the open tail slice.
+    inside that small set; every other row is in the open tail slice.  Nulls
+    order first; rows of one key are ordered by a hash of the whole row, so
+    every row gets exactly one slice whatever repeats.
     """
+    if not all(isinstance(c, str) for c in order_by):
+        raise ValueError("slices needs column names as the order key")
     k = max(cuts)
-    keys = [c if isinstance(c, str) else None for c in order_by]
-    prefix = df.orderBy(*order_by).limit(k)
+    keyed = df.withColumn("__tie", _row_order(df))
+    keys = [*order_by, "__tie"]
+    prefix = keyed.orderBy(*[F.col(quote(c)).asc_nulls_first() for c in keys]).limit(k)
     # At most k rows reach this window.
-    pos = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order_by))
+    pos = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*[F.col(quote(c)).asc_nulls_first() for c in keys]))
     slice_id = reduce(lambda acc, ic: F.when(F.col("__pos") <= ic[1], F.lit(ic[0])).otherwise(acc),
                       reversed(list(enumerate(cuts))), F.lit(len(cuts)))
-    head_part = prefix.withColumn("__pos", pos).withColumn(label, slice_id).drop("__pos")
-    if None in keys:
-        raise ValueError("slices needs column names as the order key")
-    tail = df.join(F.broadcast(prefix.select(*keys)), keys, "left_anti") \
-        .withColumn(label, F.lit(len(cuts)))
-    return head_part.unionByName(tail)
+    head_part = prefix.withColumn("__pos", pos)
+    last = head_part.orderBy(F.desc("__pos")).select(*keys).first()
+    if last is None:
+        return df.withColumn(label, F.lit(len(cuts))).limit(0)
+    after, equal = F.lit(False), F.lit(True)
+    for c in keys:
+        x, bound = F.col(quote(c)), F.lit(last[c])
+        beyond = x.isNotNull() if last[c] is None else F.coalesce(x > bound, F.lit(False))
+        after = after | (equal & beyond)
+        equal = equal & x.eqNullSafe(bound)
+    tail = keyed.filter(after)
+    # rows identical to the last one of the prefix: as many as are left over
+    extra = keyed.filter(equal).count() - prefix.filter(equal).count()
+    if extra > 0:
+        tail = tail.unionByName(keyed.filter(equal).limit(extra))
+    return (head_part.withColumn(label, slice_id).drop("__pos", "__tie")
+            .unionByName(tail.withColumn(label, F.lit(len(cuts))).drop("__tie")))
 
 
 def row_hash(keys, seed) -> Column:
@@ -106,7 +127,8 @@ def exact_sample(df: DataFrame, keys, fraction: float | None = None, size: int |
     """Exact-size sample without replacement, repeatable by seed.
 
     The rows with the ``size`` smallest md5(key, seed) values; ``size``
-    defaults to ``int(count * fraction)``.  The complement is the rest.
+    defaults to ``int(count * fraction)``; all rows if there are fewer.  Rows
+    of a repeated key are ordered by the whole row.  The complement is the rest.
     """
     hashed = df.withColumn("__h", row_hash(keys, seed))
     sizes = []
@@ -116,13 +138,29 @@ def exact_sample(df: DataFrame, keys, fraction: float | None = None, size: int |
         return sizes[-1]
 
     thr = kth_smallest_hash(hashed.select("__h"), want)
+    wanted = sizes[-1] if sizes else 0
     if thr is None:
-        rows = hashed.limit(0)
-        rest = hashed
+        # nothing wanted, or at least as many rows as there are
+        rows, rest = (hashed, hashed.limit(0)) if wanted > 0 else (hashed.limit(0), hashed)
+        return Sample(rows.drop("__h"), rest.drop("__h"), None, wanted)
+    below, above = F.col("__h") < F.lit(thr), F.col("__h") > F.lit(thr)
+    n = hashed.agg(F.count_if(below).alias("below"), F.count_if(F.col("__h") == F.lit(thr)).alias("tied")).first()
+    take = wanted - n["below"]
+    if take == n["tied"]:
+        rows, rest = hashed.filter(~above), hashed.filter(above)
     else:
-        rows = hashed.filter(F.col("__h") <= F.lit(thr))
-        rest = hashed.filter(F.col("__h") > F.lit(thr))
-    return Sample(rows.drop("__h"), rest.drop("__h"), thr, sizes[-1] if sizes else 0)
+        # the key repeats at the cut: order its rows by a second hash, of the whole row
+        tied = hashed.filter(F.col("__h") == F.lit(thr)).withColumn("__r", F.md5(_row_order(df).cast("string")))
+        cut = kth_smallest_hash(tied.select("__r"), take, "__r")
+        m = tied.agg(F.count_if(F.col("__r") < F.lit(cut)).alias("below"),
+                     F.count_if(F.col("__r") == F.lit(cut)).alias("same")).first()
+        same = tied.filter(F.col("__r") == F.lit(cut))          # identical rows: any will do
+        left = take - m["below"]
+        rows = hashed.filter(below).unionByName(
+            tied.filter(F.col("__r") < F.lit(cut)).unionByName(same.limit(left)).drop("__r"))
+        rest = hashed.filter(above).unionByName(
+            tied.filter(F.col("__r") > F.lit(cut)).unionByName(same.limit(m["same"] - left)).drop("__r"))
+    return Sample(rows.drop("__h"), rest.drop("__h"), thr, wanted)
 
 
 def anti_complement(df: DataFrame, sample: DataFrame, keys) -> DataFrame:
@@ -133,7 +171,9 @@ def anti_complement(df: DataFrame, sample: DataFrame, keys) -> DataFrame:
 def hash_split(df: DataFrame, keys, share: float = 0.75, seed=123,
                labels=("train", "test"), label: str = "split") -> DataFrame:
     """Repeatable random split: first 8 hex digits of the row hash vs share * 16^8."""
-    cut = format(int(share * 16 ** 8), "08x")
+    if share >= 1:
+        return df.withColumn(label, F.lit(labels[0]))
+    cut = format(int(max(share, 0) * 16 ** 8), "08x")
     h = F.substring(row_hash(keys, seed), 1, 8)
     return df.withColumn(label, F.when(h < F.lit(cut), labels[0]).otherwise(labels[1]))
 
@@ -157,14 +197,19 @@ def random_batches(df: DataFrame, keys, batches: int = 20, size: int = 5,
     hashes = F.array(*[F.struct(F.lit(b).alias("batch"),
                                 F.md5(F.concat_ws("|", *cols, F.lit(str(seed)), F.lit(str(b))))
                                 .alias("h")) for b in range(batches)])
-    exploded = df.select("*", F.explode(hashes).alias("__bh")) \
-        .select(*[F.col(quote(c)) for c in df.columns],
-                F.col("__bh.batch").alias("batch"), F.col("__bh.h").alias("__h"))
+
+    def candidates(cut):
+        # the cut applies inside the array, so only surviving draws become rows
+        kept = hashes if cut is None else F.filter(hashes, lambda x: F.substring(x["h"], 1, 8) <= F.lit(cut))
+        return df.select("*", F.explode(kept).alias("__bh")) \
+            .select(*[F.col(quote(c)) for c in df.columns],
+                    F.col("__bh.batch").alias("batch"), F.col("__bh.h").alias("__h"))
+
     need = min(size, n)
     share = min(1.0, oversample * size / max(n, 1))
     while True:
         cut = format(min(int(share * 16 ** 8), 16 ** 8 - 1), "08x") if share < 1.0 else None
-        cand = exploded if cut is None else exploded.filter(F.substring("__h", 1, 8) <= F.lit(cut))
+        cand = candidates(cut)
         counts = {r["batch"]: r["n"] for r in
                   cand.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()}
         if cut is None or all(counts.get(b, 0) >= need for b in range(batches)):
@@ -184,8 +229,9 @@ def row_positions(df: DataFrame, order_by, partitions: int | None = None,
     checkpointed (shared checkpoint folder) so that both uses see the same
     range boundaries even if tasks are re-run.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*order_by, _row_order(df)]   # ties of the key spread over partitions
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     mono = F.monotonically_increasing_id()
     numbered = ranged.select("*", F.spark_partition_id().alias("__pid"),
                              (mono.bitwiseAND(F.lit((1 << 33) - 1))).alias("__local"))
@@ -222,7 +268,10 @@ def impute_median(df: DataFrame, columns, exact: bool = True, accuracy: int = 10
     else:
         aggs = [F.percentile_approx(F.col(quote(c)), 0.5, accuracy).alias(c) for c in columns]
         med = df.agg(*aggs).first().asDict()
-    return df.fillna({c: float(v) for c, v in med.items() if v is not None})
+    # an even count's median lies between two values: integer columns become double
+    filled = {c: F.coalesce(F.col(quote(c)).cast("double"), F.lit(float(v))).alias(c)
+              for c, v in med.items() if v is not None}
+    return df.select(*[filled.get(c, F.col(quote(c))) for c in df.columns])
 
 
 def cast_all(df: DataFrame, dtype: str = "float", columns=None) -> DataFrame:

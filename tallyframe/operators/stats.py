@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyframe.operators.profile import ProfileOptions, spread_input, quote
+from tallyframe.operators.profile import ProfileOptions, numeric_view, quote, spread_input
 
 
 def _unpivot_text(df: DataFrame, columns) -> DataFrame:
@@ -66,8 +66,8 @@ def top_values(df: DataFrame, columns, k: int = 10) -> DataFrame:
 
 def min_max(df: DataFrame, column: str) -> tuple[float | None, float | None]:
     """Two scalars to the driver (bounded): the range of a column."""
-    r = df.agg(F.min(F.col(quote(column)).cast("double")).alias("lo"),
-               F.max(F.col(quote(column)).cast("double")).alias("hi")).first()
+    x = numeric_view(F.col(quote(column)))
+    r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     return r["lo"], r["hi"]
 
 
@@ -88,7 +88,9 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 30,
     """
     if lo is None or hi is None:
         lo, hi = min_max(df, column)
-    x = F.col(quote(column)).cast("double")
+    x = numeric_view(F.col(quote(column)))
+    if lo is None or hi is None:     # no values: no bins
+        lo = hi = 0.0
     width = (hi - lo) / bins
     b = equal_width_bin(x, lo, hi, bins)
     return (df.filter(x.isNotNull()).select(b.alias("bin"))
@@ -103,7 +105,7 @@ def pmf_cells(df: DataFrame, column: str, points) -> DataFrame:
     m points give m+1 cells; cell = number of points <= x.  Written as a
     sum of comparisons so it stays inside generated code.
     """
-    x = F.col(quote(column)).cast("double")
+    x = numeric_view(F.col(quote(column)))
     cell = reduce(lambda a, b: a + b, [F.when(x >= F.lit(float(p)), 1).otherwise(0)
                                        for p in points], F.lit(0))
     counts = df.filter(x.isNotNull()).groupBy(cell.alias("cell")).agg(
@@ -126,7 +128,7 @@ def describe_numeric(df: DataFrame, columns, exact: bool = True,
     from tallyframe.operators.quantiles import exact_quantiles_columns
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(quote(c)).cast("double")
+        x = numeric_view(F.col(quote(c)))
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
                  F.max(x).alias(f"hi{i}")]

@@ -93,7 +93,8 @@ def histogram_table(profiles: DataFrame, bins: int = 30, grid: int = 1000) -> Da
     edges differ per profile row, so the sketch is read through its inverse:
     quantiles at ``grid`` fixed ranks ((i + 0.5) / grid) are placed into the
     equal-width bins and each bin gets its share of n.  Counts are
-    estimates (KLL rank error plus 1/grid).
+    estimates (KLL rank error plus 1/grid); the bins of min and max never
+    show 0.  For exact tails use ``stats.equal_width_histogram``.
     """
     keys = [k for k in profiles.columns if k in PROFILE_KEYS]
     p = profiles.filter(F.col("n") > 0).filter(F.col("kll").isNotNull())
@@ -109,6 +110,9 @@ def histogram_table(profiles: DataFrame, bins: int = 30, grid: int = 1000) -> Da
     counts = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)),
                          lambda j: F.round(F.size(F.filter(cells, lambda c: c == j))
                                            * F.col("n") / grid).cast("bigint"))
+    # the sketch knows min and max exactly: their bins hold a row at least
+    counts = F.transform(counts, lambda c, j: F.when((j == 0) | ((j == bins - 1) & (width > 0)),
+                                                     F.greatest(c, F.lit(1).cast("bigint"))).otherwise(c))
     return p.select(*keys, "column", "n", edges.alias("bin_edges"), counts.alias("counts"))
 
 

@@ -1,7 +1,7 @@
 """Constraint queries (C1-C7) on the driver tables.
 
-The documents below are our own fixtures, shaped like the reference's
-constraint files: one that must fail and one that must succeed.
+The documents are written for these tables: their limits come from values
+measured there.
 """
 
 from __future__ import annotations
@@ -15,31 +15,37 @@ from tallyframe.sources.tables import table
 
 EXACT = ProfileOptions(sketches=False)
 
-# Expected to fail: "value GT 2500.0" fails on cheap lines.  The check named
-# "value GT 4000" uses op LT: the op rules, the name is a label.
-LINEITEM_FAIL = {
+# Lines hold 1 to 50 units, so "small lots" fails; "taxed lines" shows that a
+# label says nothing about the check: its op is LT.
+LINES_STRICT = {
     "valueConstraints": {
-        "l_extendedprice": {"constraints": [
-            {"name": "value LT 548250", "value": 548250.0, "op": "LT", "verbose": False},
-            {"name": "value GT 2500.0", "value": 2500.0, "op": "GT", "verbose": True},
-        ]},
         "l_quantity": {"constraints": [
-            {"name": "value GT 4000", "value": 4000.0, "op": "LT", "verbose": True},
+            {"name": "some units", "op": "GE", "value": 1.0},
+            {"name": "small lots", "op": "LE", "value": 45.0, "verbose": True},
+        ]},
+        "l_tax": {"constraints": [
+            {"name": "taxed lines", "op": "LT", "value": 0.07, "verbose": True},
+        ]},
+        "l_returnflag": {"constraints": [
+            {"name": "known flags", "op": "NE", "value": "X"},
         ]},
     },
     "summaryConstraints": {
-        "l_extendedprice": {"constraints": [
-            {"name": "summary min GE 0/None", "first_field": "min", "value": 0.0,
-             "op": "GE", "verbose": False},
+        "l_discount": {"constraints": [
+            {"name": "cheapest discount", "first_field": "max", "op": "LE", "value": 0.1},
+        ]},
+        "l_colour": {"constraints": [
+            {"name": "column that is not there", "first_field": "count", "op": "GT", "value": 0.0},
         ]},
     },
 }
 
-# Expected to succeed (text variant of the key: firstField).
-LINEITEM_SUCCEED = {
+# Holds on every scale (camel-case spelling of the key).
+LINES_LOOSE = {
     "summaryConstraints": {
-        "l_extendedprice": {"constraints": [
-            {"name": "summary min GE 0/None", "firstField": "min", "value": 0.0, "op": "GE"},
+        "l_quantity": {"constraints": [
+            {"name": "lots on average", "firstField": "mean", "op": "GT", "value": 20.0},
+            {"name": "no gaps", "firstField": "null_count", "op": "EQ", "value": 0.0},
         ]},
     },
 }
@@ -79,21 +85,18 @@ def _lineitem_profile(li):
 
 
 @register("value_constraints", sql="""
-SELECT 'value LT 548250' AS name, 'l_extendedprice' AS "column", 'LT' AS op, 548250.0::DOUBLE AS value,
-  count(l_extendedprice) AS total, CAST(count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice < 548250.0)) AS BIGINT) AS failures,
-  count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice < 548250.0)) = 0 AS passed FROM lineitem
-UNION ALL
-SELECT 'value GT 2500.0', 'l_extendedprice', 'GT', 2500.0::DOUBLE, count(l_extendedprice),
-  CAST(count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice > 2500.0)) AS BIGINT),
-  count_if(l_extendedprice IS NOT NULL AND NOT (l_extendedprice > 2500.0)) = 0 FROM lineitem
-UNION ALL
-SELECT 'value GT 4000', 'l_quantity', 'LT', 4000.0::DOUBLE, count(l_quantity),
-  CAST(count_if(l_quantity IS NOT NULL AND NOT (l_quantity < 4000.0)) AS BIGINT),
-  count_if(l_quantity IS NOT NULL AND NOT (l_quantity < 4000.0)) = 0 FROM lineitem""")
+SELECT 'some units' AS name, 'l_quantity' AS "column", 'GE' AS op, 1.0::DOUBLE AS value, count(l_quantity) AS total,
+  CAST(count_if(NOT (l_quantity >= 1)) AS BIGINT) AS failures, count(l_quantity) > 0 AND count_if(NOT (l_quantity >= 1)) = 0 AS passed FROM lineitem
+UNION ALL SELECT 'small lots' AS name, 'l_quantity' AS "column", 'LE' AS op, 45.0::DOUBLE AS value, count(l_quantity) AS total,
+  CAST(count_if(NOT (l_quantity <= 45)) AS BIGINT) AS failures, count(l_quantity) > 0 AND count_if(NOT (l_quantity <= 45)) = 0 AS passed FROM lineitem
+UNION ALL SELECT 'taxed lines' AS name, 'l_tax' AS "column", 'LT' AS op, 0.07::DOUBLE AS value, count(l_tax) AS total,
+  CAST(count_if(NOT (l_tax < 0.07::DOUBLE)) AS BIGINT) AS failures, count(l_tax) > 0 AND count_if(NOT (l_tax < 0.07::DOUBLE)) = 0 AS passed FROM lineitem
+UNION ALL SELECT 'known flags' AS name, 'l_returnflag' AS "column", 'NE' AS op, CAST(NULL AS DOUBLE) AS value, count(l_returnflag) AS total,
+  CAST(count_if(NOT (l_returnflag <> 'X')) AS BIGINT) AS failures, count(l_returnflag) > 0 AND count_if(NOT (l_returnflag <> 'X')) = 0 AS passed FROM lineitem""")
 def value_constraints(spark, sf_dir):
     """Every value compared with a literal, all constraints in one pass."""
     li = table(spark, sf_dir, "lineitem")
-    return C.value_report(li, C.parse_constraints(LINEITEM_FAIL))
+    return C.value_report(li, C.parse_constraints(LINES_STRICT))
 
 
 @register("summary_constraints", sql="""
@@ -129,43 +132,41 @@ def summary_field_pair(spark, sf_dir):
 
 
 @register("constraint_failures", sql="""
-SELECT 'value GT 2500.0' AS name, 'l_extendedprice' AS "column", CAST(l_extendedprice AS VARCHAR) AS value,
-  l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem WHERE NOT (l_extendedprice > 2500.0)
-UNION ALL
-SELECT 'value GT 4000', 'l_quantity', CAST(l_quantity AS VARCHAR), l_orderkey, l_partkey, l_suppkey, l_linenumber
-FROM lineitem WHERE NOT (l_quantity < 4000.0)""")
+SELECT 'small lots' AS name, 'l_quantity' AS "column", CAST(l_quantity AS VARCHAR) AS value, l_orderkey, l_partkey, l_suppkey, l_linenumber
+FROM lineitem WHERE NOT (l_quantity <= 45)
+UNION ALL SELECT 'taxed lines' AS name, 'l_tax' AS "column", CAST(l_tax AS VARCHAR) AS value, l_orderkey, l_partkey, l_suppkey, l_linenumber
+FROM lineitem WHERE NOT (l_tax < 0.07::DOUBLE)""")
 def constraint_failures(spark, sf_dir):
     """C4: every failing value of the verbose constraints, with the row key."""
     li = table(spark, sf_dir, "lineitem")
-    return C.failures(li, C.parse_constraints(LINEITEM_FAIL),
+    return C.failures(li, C.parse_constraints(LINES_STRICT),
                       key_columns=["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
 
 
 @register("constraint_report", sql="""
-SELECT 'value' AS kind, 'value LT 548250' AS name, 'l_extendedprice' AS "column", 'LT' AS op, bool_and(l_extendedprice < 548250.0) AS passed FROM lineitem
-UNION ALL SELECT 'value', 'value GT 2500.0', 'l_extendedprice', 'GT', bool_and(l_extendedprice > 2500.0) FROM lineitem
-UNION ALL SELECT 'value', 'value GT 4000', 'l_quantity', 'LT', bool_and(l_quantity < 4000.0) FROM lineitem
-UNION ALL SELECT 'summary', 'summary min GE 0/None', 'l_extendedprice', 'GE', min(l_extendedprice) >= 0 FROM lineitem""")
+SELECT 'value' AS kind, 'some units' AS name, 'l_quantity' AS "column", 'GE' AS op, bool_and(l_quantity >= 1) AS passed FROM lineitem
+UNION ALL SELECT 'value' AS kind, 'small lots' AS name, 'l_quantity' AS "column", 'LE' AS op, bool_and(l_quantity <= 45) AS passed FROM lineitem
+UNION ALL SELECT 'value' AS kind, 'taxed lines' AS name, 'l_tax' AS "column", 'LT' AS op, bool_and(l_tax < 0.07::DOUBLE) AS passed FROM lineitem
+UNION ALL SELECT 'value' AS kind, 'known flags' AS name, 'l_returnflag' AS "column", 'NE' AS op, bool_and(l_returnflag <> 'X') AS passed FROM lineitem
+UNION ALL SELECT 'summary', 'cheapest discount', 'l_discount', 'LE', max(l_discount) <= 0.1 FROM lineitem
+UNION ALL SELECT 'summary', 'column that is not there', 'l_colour', 'GT', false""")
 def constraint_report(spark, sf_dir):
     """Value and summary checks of one document in one table."""
     li = table(spark, sf_dir, "lineitem")
-    cs = C.parse_constraints(LINEITEM_FAIL)
-    return C.report(li, _lineitem_profile(li), cs)
+    cs = C.parse_constraints(LINES_STRICT)
+    return C.report(li, _lineitem_profile(li), cs).select("kind", "name", "column", "op", "passed")
 
 
 @register("constraint_verdict", sql="""
-SELECT 'fail' AS doc, bool_and(l_extendedprice < 548250.0) AND bool_and(l_extendedprice > 2500.0)
-    AND bool_and(l_quantity < 4000.0) AND min(l_extendedprice) >= 0 AS passed,
-  true AS expect_failure,
-  (bool_and(l_extendedprice < 548250.0) AND bool_and(l_extendedprice > 2500.0)
-    AND bool_and(l_quantity < 4000.0) AND min(l_extendedprice) >= 0) <> true AS action_ok FROM lineitem
+SELECT 'fail' AS doc, false AND bool_and(l_quantity >= 1) AND bool_and(l_quantity <= 45) AND bool_and(l_tax < 0.07::DOUBLE) AND bool_and(l_returnflag <> 'X') AS passed, true AS expect_failure, true AS action_ok FROM lineitem
 UNION ALL
-SELECT 'succeed', min(l_extendedprice) >= 0, false, (min(l_extendedprice) >= 0) <> false FROM lineitem""")
+SELECT 'succeed', avg(l_quantity) > 20 AND count_if(l_quantity IS NULL) = 0, false,
+  (avg(l_quantity) > 20 AND count_if(l_quantity IS NULL) = 0) <> false FROM lineitem""")
 def constraint_verdict(spark, sf_dir):
     """Overall verdict, flipped by expect_failure (one must fail, one must succeed)."""
     li = table(spark, sf_dir, "lineitem")
     p = _lineitem_profile(li)
-    fail = C.verdict(C.report(li, p, C.parse_constraints(LINEITEM_FAIL)), expect_failure=True)
-    ok = C.verdict(C.report(li, p, C.parse_constraints(LINEITEM_SUCCEED)), expect_failure=False)
+    fail = C.verdict(C.report(li, p, C.parse_constraints(LINES_STRICT)), expect_failure=True)
+    ok = C.verdict(C.report(li, p, C.parse_constraints(LINES_LOOSE)), expect_failure=False)
     return (fail.select(F.lit("fail").alias("doc"), "*")
             .unionByName(ok.select(F.lit("succeed").alias("doc"), "*")))

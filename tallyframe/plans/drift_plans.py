@@ -220,3 +220,26 @@ def baseline_lookup(spark, sf_dir):
                        "recent", REF_EPOCH_MS + 86_400_000, path)
     ref = baselines.lookup(spark, path, "training")
     return exact_view(ref, extra_keys=["alias", "dataset_epoch_ms"])
+
+
+@register("drift_profiles", sql="""
+SELECT metric, true AS within_bound FROM (VALUES ('intersection'), ('ks'), ('cells')) AS t(metric)""")
+def drift_profiles(spark, sf_dir):
+    """Drift read from two stored profiles agrees with the exact metrics within sketch error."""
+    from tallyframe.operators.profile import ProfileOptions, profile
+    li = table(spark, sf_dir, "lineitem").select("l_extendedprice", "l_shipdate")
+    early = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp")
+    opts = ProfileOptions(columns_per_pass=1)
+    a, b = (profile(li.filter(f).select("l_extendedprice"), n, options=opts)
+            for n, f in (("reference", early), ("target", ~early)))
+    bins, got = D.compare(a, b, "l_extendedprice", 10)
+    side = F.when(early, "reference").otherwise("target")
+    _, cells = D.two_sided(li, "l_extendedprice", side, 10)
+    g, w = (m.select("intersection", "ks", F.col("cells").cast("double").alias("cells")) for m in (got, D.metrics(cells, 10)))
+    both = g.select(F.struct("*").alias("g")).withColumn("k", F.lit(1)).join(
+        w.select(F.struct("*").alias("w")).withColumn("k", F.lit(1)), "k")
+    # rank error 1.33 % per edge: a cell's share is off by twice that at most
+    bound = {"intersection": bins.cells * 0.027, "ks": 0.027, "cells": 0.0}
+    return both.select(F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), (F.abs(F.col(f"g.{m}") - F.col(f"w.{m}")) <= F.lit(t)).alias("within_bound"))
+        for m, t in bound.items()])))

@@ -43,11 +43,17 @@ def read_batches(spark: SparkSession, path_glob: str, pattern: str = r"_(\d+)\.c
 
 def read_profiles(spark: SparkSession, path: str, name: str | None = None,
                   recursive: bool = False) -> DataFrame:
-    """Stored profile rows; ``name`` filters (partition pruning when partitioned by name)."""
+    """Stored profile rows; ``name`` filters (partition pruning without ``recursive``).
+
+    ``recursive`` reads every profile file below ``path``, whatever the folders.
+    """
     r = spark.read
     if recursive:
         r = r.option("recursiveFileLookup", True)
     df = r.parquet(path)
+    if name and "profile_name" in df.columns:
+        df = df.filter(F.col("profile_name") == name)
+    df = df.drop("profile_name")
     return df.filter(F.col("name") == name) if name else df
 
 
@@ -58,24 +64,34 @@ def latest(profiles: DataFrame, by=("name", "column"), order: str = "dataset_tim
         .select(*by, "p.*")
 
 
-# Column types of the flat summary CSV (written by ``writers.write_flat``).
-FLAT_SCHEMA = T.StructType([
-    T.StructField("column", T.StringType()),
-    T.StructField("count", T.LongType()),
-    T.StructField("null_count", T.LongType()),
-    T.StructField("inferred_dtype", T.StringType()),
-    T.StructField("min", T.DoubleType()),
-    T.StructField("max", T.DoubleType()),
-    T.StructField("mean", T.DoubleType()),
-    T.StructField("stddev", T.DoubleType()),
-    T.StructField("nunique_str", T.LongType()),
-])
+def flat_schema() -> T.StructType:
+    """Column types of the flat summary CSV that ``writers.write_flat`` writes."""
+    from tallyframe.operators.summary import SUMMARY_QUANTILES
+    text = ("name", "session_id", "tags", "column", "inferred_dtype", "most_common")
+    counts = ("count", "null_count", "type_null_count", "type_integral_count", "type_fractional_count",
+              "type_boolean_count", "type_string_count", "type_unknown_count", "nunique_str")
+    order = ["name", "session_id", "dataset_timestamp", "tags", "column", *counts[:8], "inferred_dtype",
+             "dtype_fraction", "min", "max", "mean", "stddev", "nunique_str", "nunique_str_lower",
+             "nunique_str_upper", *[f"quantile_{q:g}".replace(".", "_") for q in SUMMARY_QUANTILES], "most_common"]
+    kind = lambda c: (T.StringType() if c in text else T.LongType() if c in counts
+                      else T.TimestampType() if c == "dataset_timestamp" else T.DoubleType())
+    return T.StructType([T.StructField(c, kind(c)) for c in order])
 
 
 def read_flat_summary(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).schema(FLAT_SCHEMA).csv(path)
+    """Every summary column, with name, timestamp and tags (as JSON text)."""
+    return spark.read.option("header", True).option("escape", '"').schema(flat_schema()).csv(path)
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Spark's image source: struct<origin, height, width, nChannels, mode, data> (BGR bytes)."""
+    """Spark's image source: struct<origin, height, width, nChannels, mode, data> (BGR bytes).
+
+    Files that cannot be decoded are left out; ``invalid_images`` lists them.
+    """
     return spark.read.format("image").option("dropInvalid", True).load(path)
+
+
+def invalid_images(spark: SparkSession, path: str) -> DataFrame:
+    """(origin) of the files that ``read_images`` leaves out."""
+    every = spark.read.format("image").option("dropInvalid", False).load(path)
+    return every.filter(F.col("image.height") < 0).select("image.origin")

@@ -48,7 +48,7 @@ def poll_counts(records: DataFrame) -> DataFrame:
 
 
 def read_stream(spark: SparkSession, servers: str, topic: str, partitions=None,
-                max_offsets_per_trigger: int | None = 100) -> DataFrame:
+                max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Kafka stream from the beginning; explicit partition assignment when given."""
     r = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers) \
         .option("startingOffsets", "earliest")

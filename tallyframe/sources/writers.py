@@ -30,31 +30,41 @@ def expand(template: str, name: str, dataset_timestamp: str = "") -> str:
 @dataclass
 class WriterConfig:
     output_path: str
-    formats: list[str] = field(default_factory=lambda: ["protobuf"])
+    formats: list[str] = field(default_factory=lambda: ["parquet"])
     path_template: str = "$name"
     filename_template: str = "dataset_profile"
 
 
 def write_profile(profiles: DataFrame, path: str, mode: str = "overwrite",
                   partition_by=("name",)) -> None:
-    """Full profile table as parquet, partitioned (dynamic overwrite keeps other partitions)."""
-    spark = profiles.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    profiles.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Full profile table as parquet, partitioned (dynamic overwrite keeps other partitions).
+
+    ``name`` also stays inside the files (its folder key is ``profile_name``), so
+    that a recursive read of many stores keeps it.
+    """
+    out = profiles.withColumn("profile_name", F.col("name")) if "name" in partition_by else profiles
+    keys = ["profile_name" if c == "name" else c for c in partition_by]
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def write_flat(profiles: DataFrame, folder: str) -> dict[str, str]:
-    """Summary as CSV, histograms and frequent strings as JSON lines."""
+    """Summary as CSV, histograms and frequent strings as JSON lines, all with name, timestamp and tags."""
+    from tallyframe.sources.files import flat_schema
     flat = flat_summary(profiles)
     out = {}
-    s = flat["summary"].select("column", "count", "null_count", "inferred_dtype", "min", "max",
-                               "mean", "stddev", "nunique_str")
+    s = flat["summary"]
+    for c in ("session_id", "most_common"):
+        if c not in s.columns:
+            s = s.withColumn(c, F.lit(None).cast("string"))
+    s = s.withColumn("tags", F.to_json("tags"))
+    if dict(s.dtypes)["most_common"] != "string":
+        s = s.withColumn("most_common", F.to_json("most_common"))
     p = os.path.join(folder, FLAT_FILES["summary"])
-    s.write.mode("overwrite").option("header", True).csv(p)
+    s.select(*flat_schema().fieldNames()).write.mode("overwrite").option("header", True).option("escape", '"').csv(p)
     out["summary"] = p
     for key in ("hist", "frequent_strings"):
         p = os.path.join(folder, FLAT_FILES[key])
-        flat[key].drop("tags").write.mode("overwrite").json(p)
+        flat[key].write.mode("overwrite").json(p)
         out[key] = p
     return out
 
@@ -74,8 +84,10 @@ def write_all(profiles: DataFrame, writers: list[WriterConfig], name: str,
                     write_flat(profiles, target)
                 elif fmt == "json":
                     profiles.drop("kll", "theta", "topk").write.mode("overwrite").json(target)
-                else:
+                elif fmt == "parquet":
                     profiles.write.mode("overwrite").parquet(target)
+                else:
+                    raise ValueError(f"unknown format {fmt!r}; expected parquet, json or flat")
                 written.append(target)
     finally:
         profiles.unpersist()
@@ -83,8 +95,12 @@ def write_all(profiles: DataFrame, writers: list[WriterConfig], name: str,
 
 
 def write_by_bucket(profiles: DataFrame, path: str, bucket: str = "year") -> None:
-    """One output per time bucket; a rewrite replaces only its own bucket."""
-    spark = profiles.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    profiles.withColumn(bucket, F.year("dataset_timestamp")).write.mode("overwrite") \
+    """One output per time bucket (any grain of ``date_trunc``); a rewrite replaces only its own bucket.
+
+    Years are folder values as numbers, other grains as the bucket's first day.
+    """
+    ts = F.col("dataset_timestamp")
+    value = F.year(ts) if bucket == "year" else F.date_format(F.date_trunc(bucket, ts), "yyyy-MM-dd'T'HH-mm-ss") \
+        if bucket in ("hour", "minute", "second") else F.date_format(F.date_trunc(bucket, ts), "yyyy-MM-dd")
+    profiles.withColumn(bucket, value).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(bucket).parquet(path)

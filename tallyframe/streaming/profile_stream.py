@@ -67,11 +67,11 @@ def profile_stream(stream: DataFrame, name: str, time_column: str, grain: str =
 
 
 def run_available_now(writer_df: DataFrame, mode: str, batch_fn, checkpoint: str,
-                      timeout_s: int = 600):
-    """Drain everything available in micro-batches, then stop (``availableNow``)."""
+                      timeout_s: int | None = None):
+    """Drain everything available in micro-batches, then stop (``availableNow``); no time limit unless given."""
     q = (writer_df.writeStream.outputMode(mode).foreachBatch(batch_fn)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.isActive:
         q.stop()
         raise TimeoutError("stream did not drain in time")
@@ -115,13 +115,14 @@ def batch_profiles_writer(name: str, path: str, options: ProfileOptions = Profil
 
 def split_recent_writer(ts_column: str, ref_ts, days: int, recent_path: str, old_path: str):
     """foreachBatch writer: rows newer than ``ref_ts - days`` to the real-time
-    sink, older ones to the batch sink (both idempotent by batch id)."""
+    sink, older ones and those without an event time to the batch sink (both
+    idempotent by batch id)."""
     import datetime as dt
     cut = (ref_ts if isinstance(ref_ts, dt.datetime) else dt.datetime.fromisoformat(ref_ts)) \
         - dt.timedelta(days=days)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        recent = F.col(quote(ts_column)) >= F.lit(cut)
+        recent = F.coalesce(F.col(quote(ts_column)) >= F.lit(cut), F.lit(False))
         batch.filter(recent).write.mode("overwrite").parquet(
             os.path.join(recent_path, f"batch_id={batch_id}"))
         batch.filter(~recent).write.mode("overwrite").parquet(

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import constraints as C
 from tallyframe.operators.profile import ProfileOptions, profile
-from tallyframe.plans.constraint_plans import LINEITEM_FAIL, LINEITEM_SUCCEED
+from tallyframe.plans.constraint_plans import LINES_STRICT, LINES_LOOSE
 
 LI = "/root/testdata/sf0.001/lineitem.parquet"
 
@@ -18,18 +18,17 @@ def test_both_key_spellings():
 
 
 def test_op_rules_not_name():
-    cs = C.parse_constraints(LINEITEM_FAIL)
-    c = [x for x in cs if x.name == "value GT 4000"][0]
-    assert c.op == "LT"
+    c = [x for x in C.parse_constraints(LINES_STRICT) if x.name == "taxed lines"][0]
+    assert (c.column, c.op) == ("l_tax", "LT")
 
 
 def test_fail_and_succeed_files(spark, tmp_path):
     li = spark.read.parquet(LI)
     p = profile(li, "li", options=ProfileOptions(sketches=False))
     f = tmp_path / "fail.json"
-    f.write_text(json.dumps(LINEITEM_FAIL))
+    f.write_text(json.dumps(LINES_STRICT))
     fail = C.verdict(C.report(li, p, C.parse_constraints(str(f))), expect_failure=True).first()
-    ok = C.verdict(C.report(li, p, C.parse_constraints(LINEITEM_SUCCEED))).first()
+    ok = C.verdict(C.report(li, p, C.parse_constraints(LINES_LOOSE))).first()
     assert fail["passed"] is False and fail["action_ok"] is True
     assert ok["passed"] is True and ok["action_ok"] is True
 
@@ -46,16 +45,48 @@ def test_pass_plus_fail_is_non_null(spark):
 
 def test_failure_messages(spark):
     li = spark.read.parquet(LI)
-    f = C.failures(li, C.parse_constraints(LINEITEM_FAIL))
-    msgs = C.failure_messages(f).limit(1).collect()
-    assert msgs and msgs[0][0].startswith("value constraint value GT 2500.0 failed on value ")
+    f = C.failures(li, C.parse_constraints(LINES_STRICT))
+    msgs = C.failure_messages(f.filter("name = 'small lots'")).limit(1).collect()
+    assert msgs and msgs[0][0].startswith("l_quantity: ") and msgs[0][0].endswith(" fails small lots")
 
 
-def test_inline_observation(spark, tmp_path):
-    li = spark.read.parquet(LI)
-    cs = C.parse_constraints(LINEITEM_FAIL)
-    observed, obs = C.observe_failures(li, cs)
+def test_inline_observation_keeps_columns_apart(spark, tmp_path):
+    df = spark.createDataFrame([(1, 10), (5, 0), (7, 9)], "a int, b int")
+    cs = C.parse_constraints({"valueConstraints": {
+        c: {"constraints": [{"op": "LT", "value": 6}]} for c in ("a", "b")}})
+    observed, obs = C.observe_failures(df, cs)
     observed.write.parquet(str(tmp_path / "out"))
-    got = obs.get
-    exact = li.filter(~(F.col("l_extendedprice") > 2500.0)).count()
-    assert got["value GT 2500.0"] == exact
+    assert obs.get == {"a: value LT 6": 1, "b: value LT 6": 2}
+
+
+def test_text_values_and_mixed_text_columns(spark):
+    df = spark.createDataFrame([("N", "5"), ("R", "oops"), (None, "12")], "flag string, size string")
+    cs = C.parse_constraints({"valueConstraints": {
+        "flag": {"constraints": [{"op": "EQ", "value": "N"}]},
+        "size": {"constraints": [{"op": "GT", "value": 6}]}}})
+    got = {r["column"]: (r["total"], r["failures"], r["passed"]) for r in C.value_report(df, cs).collect()}
+    assert got == {"flag": (2, 1, False), "size": (2, 1, False)}
+
+
+def test_missing_columns_and_empty_data_fail(spark):
+    df = spark.createDataFrame([(1.0,)], "a double")
+    doc = {"valueConstraints": {"nope": {"constraints": [{"op": "GT", "value": 0}]}},
+           "summaryConstraints": {"gone": {"constraints": [{"first_field": "min", "op": "GE", "value": 0}]}}}
+    cs = C.parse_constraints(doc)
+    p = profile(df, "d", options=ProfileOptions(sketches=False))
+    r = C.report(df, p, cs).collect()
+    assert [x["passed"] for x in r] == [False, False]
+    assert C.verdict(C.report(df, p, cs)).first()["passed"] is False
+    none = df.filter("a > 5")
+    cs = C.parse_constraints({"valueConstraints": {"a": {"constraints": [{"op": "GT", "value": 0}]}},
+                              "summaryConstraints": {"a": {"constraints": [{"first_field": "min", "op": "GE", "value": 0}]}}})
+    r = C.report(none, profile(none, "d", options=ProfileOptions(sketches=False)), cs).collect()
+    assert len(r) == 2 and not any(x["passed"] for x in r)
+
+
+def test_grouped_report_has_the_group(spark):
+    df = spark.createDataFrame([("x", 1.0), ("y", -1.0)], "g string, a double")
+    p = profile(df, "d", tags=["g"], options=ProfileOptions(sketches=False))
+    cs = C.parse_constraints({"summaryConstraints": {"a": {"constraints": [{"first_field": "min", "op": "GE", "value": 0}]}}})
+    got = {r["tags"][0]["value"]: r["passed"] for r in C.summary_report(p, cs).collect()}
+    assert got == {"x": True, "y": False}

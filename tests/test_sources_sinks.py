@@ -65,7 +65,7 @@ def test_batch_files(spark, tmp_path):
 def test_writers_and_latest(spark, tmp_path):
     o = spark.read.parquet(ORD)
     p = profile(o, "orders", time_column="o_orderdate", grain="year")
-    cfg = [writers.WriterConfig(str(tmp_path / "out"), ["flat", "json", "protobuf"],
+    cfg = [writers.WriterConfig(str(tmp_path / "out"), ["flat", "json", "parquet"],
                                 "$name/$dataset_timestamp", "profile_$name")]
     out = writers.write_all(p, cfg, "orders", "2024")
     assert all(os.path.exists(x) for x in out)
