@@ -37,13 +37,20 @@ def codes(text: str) -> np.ndarray:
 
 
 def gram_hashes(x: np.ndarray, q: int = Q) -> np.ndarray:
-    if len(x) < q:
+    """Polynomial hash of every q-gram, put together from grams of 1, 2, 4 ... characters."""
+    n = len(x) - q + 1
+    if n < 1:
         return np.empty(0, np.uint64)
-    h = np.zeros(len(x) - q + 1, np.uint64)
-    for j in range(q):
-        h *= _BASE
-        h += x[j:j + len(h)]
-    return h ^ (h >> np.uint64(29))
+    part, size, out, done = x.astype(np.uint64), 1, None, 0
+    while True:
+        shift = np.uint64(pow(int(_BASE), size, 1 << 64))
+        if q & size:
+            out = part[done:done + n] if out is None else out * shift + part[done:done + n]
+            done += size
+        if 2 * size > q:
+            return out ^ (out >> np.uint64(29))
+        part = part[:-size] * shift + part[size:]
+        size *= 2
 
 
 @dataclass
