@@ -142,15 +142,16 @@ def metrics(cells: DataFrame, n_bins: int) -> DataFrame:
       two PMF vectors taken as label sequences (cells are the samples).
     """
     eps = F.lit(EPSILON)
+    both = F.col("p").isNotNull() & F.col("q").isNotNull()   # a side without values has no shares
     # ``cells`` has one row per cell (about n_bins): a bounded running window.
     w = Window.partitionBy(F.lit(0)).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     c = cells.select("cell", "na", "nb", "p", "q",
                      F.sum("p").over(w).alias("cp"), F.sum("q").over(w).alias("cq"),
                      _mi_term().alias("mi_term"))
     base = c.agg(
-        F.sum(F.least("p", "q")).alias("intersection"),
-        F.sum(F.when(F.col("cell") < n_bins, F.least("p", "q"))).alias("intersection_ref"),
-        F.sum(F.when(F.col("p") > 0, F.col("p") * F.ln(F.col("p") / F.greatest("q", eps))))
+        F.sum(F.when(both, F.least("p", "q"))).alias("intersection"),
+        F.sum(F.when(both & (F.col("cell") < n_bins), F.least("p", "q"))).alias("intersection_ref"),
+        F.sum(F.when(both & (F.col("p") > 0), F.col("p") * F.ln(F.col("p") / F.greatest("q", eps))))
         .alias("kl"),
         F.sum((F.col("p") - F.col("q")) * F.ln(F.greatest("p", eps) / F.greatest("q", eps)))
         .alias("psi"),
