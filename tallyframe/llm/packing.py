@@ -80,12 +80,15 @@ def tokenizer(paths: tuple[str, str | None, str]) -> ByteBpe:
     return _loaded[paths]
 
 
-def projection(vocab: int) -> np.ndarray:
-    """Per token id: its signed hash dimension, projected to AXES numbers."""
+def hash_slots(vocab: int) -> np.ndarray:
+    """Per token id: its hash dimension, plus DIM where its sign is negative."""
     ids = np.arange(vocab, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    slot, sign = (ids >> np.uint64(40)) % np.uint64(DIM), np.where((ids >> np.uint64(63)) == 1, 1.0, -1.0)
-    plane = np.random.default_rng(20).standard_normal((DIM, AXES))
-    return (plane[slot.astype(np.int64)] * sign[:, None]).astype(np.float32)
+    return ((ids >> np.uint64(40)) % np.uint64(DIM) + np.uint64(DIM) * (ids >> np.uint64(63) == 0)).astype(np.int64)
+
+
+def projection() -> np.ndarray:
+    """DIM dimensions to AXES."""
+    return np.random.default_rng(20).standard_normal((DIM, AXES))
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -116,31 +119,34 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def document_point(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """The projected, normalised hash vector, squeezed to integers."""
-    if not len(ids):
-        v = np.zeros(AXES)
-    else:
-        n = np.bincount(ids, minlength=0)
-        at = np.flatnonzero(n)
-        v = (table[at] * n[at, None]).sum(axis=0) / np.sqrt(float((n[at].astype(float) ** 2).sum()))
+def document_vector(ids: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Signed counts of the hashed tokens."""
+    n = np.bincount(slots[ids], minlength=2 * DIM)
+    return n[:DIM] - n[DIM:]
+
+
+def document_points(vectors: np.ndarray, plane: np.ndarray) -> np.ndarray:
+    """The vectors (n, DIM), normalised, projected and squeezed to integers."""
+    length = np.sqrt((vectors.astype(float) ** 2).sum(axis=1, keepdims=True))
+    v = vectors @ plane / np.maximum(length, 1)
     return ((np.tanh(v / 4) + 1) / 2 * ((1 << BITS) - 1)).astype(np.int64)
 
 
 def _tokenise(paths, end_id: int):
     def run(batches):
         tok = tokenizer(paths)
-        table = projection(1 << 16)
+        slots, plane = hash_slots(1 << 16), projection()
         squeeze = zstandard.ZstdCompressor(level=1)
+        end = np.array([end_id], dtype="<u2")
         for b in batches:
-            points, counts, packed = [], [], []
+            vectors, counts, packed = [], [], []
             for t in b.column("_text").to_pylist():
                 ids = tok.ids(t or "")
-                points.append(document_point(ids, table))
-                ids = np.append(ids, np.array([end_id], dtype="<u2")).astype("<u2")
+                vectors.append(document_vector(ids, slots))
+                ids = np.append(ids, end)
                 counts.append(len(ids))
                 packed.append(squeeze.compress(ids.tobytes()))
-            key = hilbert_keys(np.array(points).reshape(-1, AXES))
+            key = hilbert_keys(document_points(np.array(vectors).reshape(-1, DIM), plane))
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id"), pa.array(key), pa.array(counts, pa.int64()), pa.array(packed, pa.binary())],
                 names=["_id", "_key", "_n", "_ids"])
