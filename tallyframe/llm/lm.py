@@ -7,9 +7,10 @@ for frequent words, the word within its class; other words follow
 their counts (plus one) within their class, one share being kept for unseen
 words, so the probabilities of known and unseen words sum to one.
 
-Training: hash-chosen training documents are dealt to ``trainers`` tasks, each of which runs
-truncated backpropagation from common starting weights on its part; the weighted mean
-of their weights is the next round's start.  Scoring carries the state over
+Training: training documents chosen by a hash of id and text are dealt to trainer tasks, whose number
+grows with the text, so that copies of one text spread over all of them.  Each runs truncated backpropagation
+from common starting weights on its part; the weighted mean of their weights, summed on Spark, is
+the next round's start.  Scoring carries the state over
 the windows of a whole document, however long.
 """
 
@@ -34,6 +35,7 @@ HIDDEN = 16
 WINDOW = 32
 PIECE = 256            # training stretch; scoring runs over whole documents
 COUNTER_WORDS = 400_000  # distinct words that a counting task holds before it passes them on
+TRAINER_CHARS = 1 << 25  # characters of training text per trainer task, from the least number of trainers on
 KEPT_WORDS = 1 << 17     # most frequent words whose counts every task gets
 
 
@@ -326,37 +328,56 @@ def _end_id(vocab: Vocab) -> int:
     return i if i < vocab.n_frequent else vocab.n_frequent + rest_class(END)
 
 
-def fit(docs: DataFrame, text_col: str, vocab: Vocab, share: int = 16, trainers: int = 12, rounds: int = 2) -> dict:
-    """Weights after ``rounds`` of parallel training on every ``share``-th training text by hash.
+def _weighted_sums(batches):
+    """One row for the task: the sum of weights times tokens seen, and the tokens."""
+    flat, seen = None, 0
+    for b in batches:
+        for data, n in zip(b.column("weights").to_pylist(), b.column("seen").to_pylist()):
+            part = np.frombuffer(data, np.float32).astype(np.float64) * n
+            flat, seen = part if flat is None else flat + part, seen + n
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array([flat.tobytes()]), pa.array([seen], pa.int64())],
+                                         names=["total", "seen"])
 
-    What is trained on grows with the input, batch by batch in each task; the weight sets of
-    a round, at most ``trainers``, reach the driver.
+
+def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int = 16, trainers: int = 12,
+        rounds: int = 2, trainer_chars: int = TRAINER_CHARS) -> dict:
+    """Weights after ``rounds`` of parallel training on every ``share``-th training row by hash.
+
+    What is trained on grows with the input, batch by batch in each task.  There are at least ``trainers`` tasks, and
+    one more per ``trainer_chars`` characters beyond them; the driver gets about the square
+    root of their number of weight sums.
     """
     sc = docs.sparkSession.sparkContext
     w = initial(vocab)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    pick = F.xxhash64(text, F.lit(21))
-    chosen = docs.select(text.alias("t"), pick.alias("h")).where(F.pmod("h", F.lit(share)) == 0)
-    chosen = materialise(chosen.withColumn("k", F.pmod(F.shiftright("h", 8), F.lit(trainers))), "lm-train")
+    pick = F.xxhash64(text, F.col(id_col), F.lit(21))
+    chosen = materialise(docs.select(text.alias("t"), pick.alias("h")).where(F.pmod("h", F.lit(share)) == 0), "lm-train")
+    chars = chosen.agg(F.sum(F.length("t"))).first()[0] or 0
+    trainers = max(trainers, math.ceil(chars / trainer_chars))
+    chosen = chosen.withColumn("k", F.pmod(F.shiftright("h", 8), F.lit(trainers)))
     for r in range(rounds):
         shared = sc.broadcast((w, vocab, 0.05 if r == 0 else 0.02))
 
         def run(batches):
             new, voc, rate = shared.value
-            end, seen = _end_id(voc), 0
+            end, seen, part = _end_id(voc), 0, 0
             for b in batches:   # one batch of texts in memory at a time
                 seqs = [np.append(_targets(_words(t.as_py()), voc), end) for t in b.column("t").cast(pa.binary())]
                 new, n = train_on(new, seqs, voc.n_frequent, end, rate)
-                seen += n
+                seen, part = seen + n, b.column("k")[0].as_py()
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([_pack_weights(new)]), pa.array([seen], pa.int64())],
-                                                 names=["weights", "seen"])
-
-        got = (chosen.repartition(trainers, "k").sortWithinPartitions("h", "t")
-               .mapInArrow(run, "weights binary, seen long").collect())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int64()), pa.array([_pack_weights(new)]), pa.array([seen], pa.int64())],
+                    names=["part", "weights", "seen"])
+
+        trained = (chosen.repartition(trainers, "k").sortWithinPartitions("h", "t")
+                   .mapInArrow(run, "part long, weights binary, seen long"))
+        got = (trained.repartition(math.isqrt(trainers), "part").sortWithinPartitions("part")
+               .mapInArrow(_weighted_sums, "total binary, seen long").collect())
         total = sum(g["seen"] for g in got)
         if total:
-            flat = sum(np.frombuffer(g["weights"], np.float32).astype(np.float64) * (g["seen"] / total) for g in got)
+            flat = sum(np.frombuffer(g["total"], np.float64) for g in got) / total
             w = _unpack_weights(flat.astype(np.float32).tobytes(), w)
         shared.unpersist()
     return w
@@ -376,7 +397,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     train_docs = docs.where(~held_out(id_col))
     counts = materialise(count_words(train_docs, text_col), "lm-counts")
     vocab = build_vocab(counts, n_frequent, kept)
-    weights = fit(train_docs, text_col, vocab, share, trainers)
+    weights = fit(train_docs, id_col, text_col, vocab, share, trainers)
     shared = spark.sparkContext.broadcast((weights, vocab))
     log_all = math.log10(vocab.n + vocab.v + 1)
     names = ["_id", "_held", "n_tokens", "known", "logs", "score", "_rare"]

@@ -355,6 +355,20 @@ def test_lm_rare_words_come_by_join(spark, edge_rows):
     assert lm.lm_scores(empty(spark)).count() == 0
 
 
+def test_lm_training_spreads_copies_and_repeats(spark):
+    same = " ".join(f"w{i % 40}" for i in range(200))
+    docs = spark.range(400).selectExpr("id as doc_id", f"if(id < 200, '{same}', concat('{same} ', id)) as text")
+    vocab = lm.build_vocab(lm.count_words(docs, "text"), 64)
+    start = lm.initial(vocab)
+    a, b = (lm.fit(docs, "doc_id", "text", vocab, share=4, trainers=2, rounds=1, trainer_chars=5000) for _ in range(2))
+    for n in start:
+        assert np.isfinite(a[n]).all() and np.array_equal(a[n], b[n])
+    assert not np.array_equal(a["cls"], start["cls"])
+    # one text in many rows is neither taken nor left as a whole
+    picked = docs.where("doc_id < 200 and pmod(xxhash64(text, doc_id, 21), 4) = 0").count()
+    assert 20 < picked < 90
+
+
 def test_lm_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     k = 2 * lm.CLASS_WORDS
