@@ -7,7 +7,7 @@ for frequent words, the word within its class; other words follow
 their counts (plus one) within their class, one share being kept for unseen
 words, so the probabilities of known and unseen words sum to one.
 
-Training: training documents chosen by a hash of id and text are dealt to trainer tasks, whose number
+Training: all training documents are dealt by a hash of id and text to trainer tasks, whose number
 grows with the text, so that copies of one text spread over all of them.  Each runs truncated backpropagation
 from common starting weights on its part; the weighted mean of their weights, summed on Spark, is
 the next round's start.  Scoring carries the state over
@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -340,11 +341,12 @@ def _weighted_sums(batches):
                                          names=["total", "seen"])
 
 
-def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int = 16, trainers: int = 12,
+def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int = 1, trainers: int = 12,
         rounds: int = 2, trainer_chars: int = TRAINER_CHARS) -> dict:
-    """Weights after ``rounds`` of parallel training on every ``share``-th training row by hash.
+    """Weights after ``rounds`` of parallel training on every training row; ``share`` > 1 keeps one in so many by hash.
 
-    What is trained on grows with the input, batch by batch in each task.  There are at least ``trainers`` tasks, and
+    Rows are turned into network ids once and stay so on disk and in the rounds' exchanges.  What is trained
+    on grows with the input, batch by batch in each task.  There are at least ``trainers`` tasks, and
     one more per ``trainer_chars`` characters beyond them; the driver gets about the square
     root of their number of weight sums.
     """
@@ -352,26 +354,40 @@ def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int =
     w = initial(vocab)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     pick = F.xxhash64(text, F.col(id_col), F.lit(21))
-    chosen = materialise(docs.select(text.alias("t"), pick.alias("h")).where(F.pmod("h", F.lit(share)) == 0), "lm-train")
-    chars = chosen.agg(F.sum(F.length("t"))).first()[0] or 0
+    kind = np.uint16 if vocab.n_frequent + N_REST <= 1 << 16 else np.uint32
+    words = sc.broadcast(vocab)
+
+    def ids(batches):
+        voc = words.value
+        end = _end_id(voc)
+        for b in batches:
+            y = [np.append(_targets(_words(t.as_py()), voc), end).astype(kind).tobytes()
+                 for t in b.column("t").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(y, pa.binary()), b.column("h"), b.column("chars")],
+                                             names=["y", "h", "chars"])
+
+    rows = docs.select(text.alias("t"), pick.alias("h")).where(F.pmod("h", F.lit(share)) == 0)
+    chosen = materialise(rows.select("t", "h", F.length("t").alias("chars"))
+                         .mapInArrow(ids, "y binary, h long, chars int"), "lm-train")
+    words.unpersist()
+    chars = chosen.agg(F.sum("chars")).first()[0] or 0
     trainers = max(trainers, math.ceil(chars / trainer_chars))
-    chosen = chosen.withColumn("k", F.pmod(F.shiftright("h", 8), F.lit(trainers)))
     for r in range(rounds):
-        shared = sc.broadcast((w, vocab, 0.05 if r == 0 else 0.02))
+        shared = sc.broadcast((w, vocab.n_frequent, _end_id(vocab), 0.05 if r == 0 else 0.02))
 
         def run(batches):
-            new, voc, rate = shared.value
-            end, seen, part = _end_id(voc), 0, 0
+            new, k, end, rate = shared.value
+            seen, part = 0, TaskContext.get().partitionId()
             for b in batches:   # one batch of texts in memory at a time
-                seqs = [np.append(_targets(_words(t.as_py()), voc), end) for t in b.column("t").cast(pa.binary())]
-                new, n = train_on(new, seqs, voc.n_frequent, end, rate)
-                seen, part = seen + n, b.column("k")[0].as_py()
+                seqs = [np.frombuffer(y, kind).astype(np.int64) for y in b.column("y").to_pylist()]
+                new, n = train_on(new, seqs, k, end, rate)
+                seen += n
             if seen:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part], pa.int64()), pa.array([_pack_weights(new)]), pa.array([seen], pa.int64())],
                     names=["part", "weights", "seen"])
 
-        trained = (chosen.repartition(trainers, "k").sortWithinPartitions("h", "t")
+        trained = (chosen.select("y", "h").repartition(trainers, "h").sortWithinPartitions("h", "y")
                    .mapInArrow(run, "part long, weights binary, seen long"))
         got = (trained.repartition(math.isqrt(trainers), "part").sortWithinPartitions("part")
                .mapInArrow(_weighted_sums, "total binary, seen long").collect())
@@ -384,7 +400,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int =
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_frequent: int = 3072,
-              share: int = 16, trainers: int = 12, kept: int = KEPT_WORDS) -> DataFrame:
+              share: int = 1, trainers: int = 12, kept: int = KEPT_WORDS) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Learns from rows whose crc32(id as text) mod 7 is not 2 (null ids count as

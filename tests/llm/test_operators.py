@@ -369,6 +369,16 @@ def test_lm_training_spreads_copies_and_repeats(spark):
     assert 20 < picked < 90
 
 
+def test_lm_trains_on_every_training_row(spark):
+    n = lm.CLASS_WORDS
+    docs = frame(spark, [(i, f"w{i} w{i} w{i}") for i in range(n)])
+    vocab = lm.build_vocab(lm.count_words(docs, "text"), n)
+    assert vocab.n_frequent == n
+    moved = (lm.fit(docs, "doc_id", "text", vocab)["in"] != lm.initial(vocab)["in"]).any(axis=1)
+    inputs = [i for word, i in vocab.ids.items() if i < n and word != lm.END]
+    assert len(inputs) >= n - 1 and moved[inputs].all()   # the row of each document's own word was trained
+
+
 def test_lm_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     k = 2 * lm.CLASS_WORDS
