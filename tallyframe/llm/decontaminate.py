@@ -8,7 +8,8 @@ span lies whole in some band; bands that reach the bound are verified by
 banded alignment.  Passages are whole items, cut where they exceed
 ``passage`` characters, so that parts of long items are found too.
 
-Letter case and the kind of white space don't matter.  The q-gram table is broadcast in blocks of
+Letter case and the kind and amount of white space don't matter: both sides are normalised alike,
+and places are those of the document as given.  The q-gram table is broadcast in blocks of
 bounded size; a larger benchmark takes more scans of the documents.
 """
 
@@ -27,13 +28,23 @@ PASSAGE = 400            # characters; longer items are cut
 SHORTEST = 40            # shorter passages prove nothing
 BLOCK_CHARS = 4_000_000  # benchmark characters per broadcast table
 STRETCH = 1 << 20        # document characters looked at together
+_BLANK = np.array([chr(c).isspace() for c in range(0x3002)])   # all white space lies below the last entry
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def codes(text: str) -> np.ndarray:
-    """Code points of the lowered text, white space as blanks."""
-    x = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)
-    return np.where((x >= 9) & (x <= 13), np.uint32(32), x)
+def normalise(text: str) -> tuple[np.ndarray, np.ndarray | None]:
+    """Code points of the lowered text, each run of white space as one blank, and where each was in the
+    text (None: all in their places)."""
+    low = text.lower()
+    x = np.frombuffer(low.encode("utf-32-le", "replace"), dtype=np.uint32)
+    places = None if len(low) == len(text) else np.repeat(np.arange(len(text)), [len(c.lower()) for c in text])
+    blank = _BLANK[np.minimum(x, len(_BLANK) - 1)]
+    x = np.where(blank, np.uint32(32), x)
+    again = np.flatnonzero(blank[1:] & blank[:-1]) + 1
+    if len(again):
+        places = np.delete(np.arange(len(x)) if places is None else places, again)
+        x = np.delete(x, again)
+    return x, places
 
 
 def gram_hashes(x: np.ndarray, q: int = Q) -> np.ndarray:
@@ -65,7 +76,7 @@ class Table:
 
 
 def passages_of(text: str, passage: int = PASSAGE, shortest: int = SHORTEST) -> list[np.ndarray]:
-    x = codes(" ".join((text or "").split()))
+    x = normalise((text or "").strip())[0]
     n = max(1, -(-len(x) // passage))
     cuts = [len(x) * i // n for i in range(n + 1)]
     return [x[a:b] for a, b in zip(cuts, cuts[1:]) if b - a >= shortest]
@@ -181,8 +192,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 out = []
                 for doc, t in zip(b.column("_id").to_pylist(), b.column("_text").to_pylist()):
                     found: dict = {}
-                    for who, start, end, edits in regions(codes(t or ""), table):
+                    x, places = normalise(t or "")
+                    for who, start, end, edits in regions(x, table):
                         item = int(table.items[who])
+                        if places is not None:
+                            start, end = int(places[start]), int(places[end - 1]) + 1
                         if item not in found or (edits, start) < (found[item][2], found[item][0]):
                             found[item] = (start, end, edits)
                     out += [(doc, item, *v) for item, v in sorted(found.items())]

@@ -253,6 +253,24 @@ def test_leaks_found_with_few_edits(spark):
     assert decontaminate.find_leaks(frame(spark, docs), bench.where("item_id < 0")).count() == 0
 
 
+def test_leaks_whatever_the_white_space(spark):
+    rng = random.Random(19)
+    lines = [prose(rng, 9) for _ in range(7)]
+    indented = "def f():\n\n" + "\n".join("        " + x for x in lines)
+    plain = prose(rng, 30)
+    unicode = "\u00a0\u2003".join(prose(rng, 30).split())
+    bench = spark.createDataFrame([(0, indented), (1, plain), (2, unicode)], "item_id long, text string")
+    before = "\u0130x  " + prose(rng, 5) + " "
+    docs = [(0, before + indented + " end"), (1, plain.replace(" ", "  ")), (2, "\u0085".join(unicode.split())),
+            (3, unicode), (4, " ".join(indented.split())), (5, prose(rng, 100))]
+    got = {r["doc_id"]: r for r in decontaminate.find_leaks(frame(spark, docs), bench).collect()}
+    assert {(d, r["item_id"], r["edits"]) for d, r in got.items()} == {(0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 2, 0), (4, 0, 0)}
+    for d, whole in ((0, indented), (1, docs[1][1]), (2, docs[2][1]), (3, unicode)):
+        found = docs[d][1][got[d]["start"]:got[d]["end"]]
+        assert found in whole and len(found) > 0.4 * len(whole)
+    assert docs[1][1][got[1]["start"]:got[1]["end"]] == docs[1][1]
+
+
 def test_banded_distance_equals_plain_dynamic_program():
     rng = random.Random(2)
     for _ in range(60):
