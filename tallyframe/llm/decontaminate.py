@@ -6,7 +6,13 @@ diagonals (place in the document minus place in the passage) span at most k.  Sh
 counted in bands of 2(k + 1) diagonals that overlap by half, so any such
 span lies whole in some band; bands that reach the bound are verified by
 banded alignment.  Passages are whole items, cut where they exceed
-``passage`` characters, so that parts of long items are found too.
+``passage`` characters; where none of these is found, windows that overlap
+over the whole item are, so that excerpts are found too: at a stride of a
+third of WINDOW or a tenth of the item, any excerpt of WINDOW * 4 / 3
+characters or of 90 % of the item (from 50 characters on) holds a whole window.
+
+Items under SHORTEST characters must occur unchanged and between word ends; under Q characters they must be the
+whole document.
 
 Letter case and the kind and amount of white space don't matter: both sides are normalised alike,
 and places are those of the document as given.  The q-gram table is broadcast in blocks of
@@ -25,7 +31,8 @@ from pyspark.sql import functions as F
 Q = 10
 EDIT_RATE = 0.06
 PASSAGE = 400            # characters; longer items are cut
-SHORTEST = 40            # shorter passages prove nothing
+WINDOW = 150             # characters of the overlapping windows over an item
+SHORTEST = 40            # items under this must occur unchanged
 BLOCK_CHARS = 4_000_000  # benchmark characters per broadcast table
 STRETCH = 1 << 20        # document characters looked at together
 _BLANK = np.array([chr(c).isspace() for c in range(0x3002)])   # all white space lies below the last entry
@@ -66,43 +73,66 @@ def gram_hashes(x: np.ndarray, q: int = Q) -> np.ndarray:
 
 @dataclass
 class Table:
-    """Passages with all their q-grams, sorted by hash, behind a bitmap."""
-    items: np.ndarray        # item id of each passage
-    passages: list[np.ndarray]
+    """Items with all their q-grams, sorted by hash, behind a bitmap."""
+    items: np.ndarray        # item id of each text
+    texts: list[np.ndarray]
+    spans: list[tuple[list, list]]   # of each text: (start, end) of its parts, and of its windows
+    least: np.ndarray        # shared q-grams that any span of the text needs
     grams: np.ndarray        # sorted hashes
-    owner: np.ndarray        # passage of each gram
+    owner: np.ndarray        # text of each gram
     place: np.ndarray        # its place there
     seen: np.ndarray         # bitmap over 22 hash bits
+    tiny: dict               # items of texts under q characters, by text
+
 
+def parts_of(n: int, passage: int = PASSAGE, shortest: int = SHORTEST) -> list[tuple[int, int]]:
+    """The whole text, or equal parts of at most ``passage`` characters."""
+    m = max(1, -(-n // passage))
+    cuts = [n * i // m for i in range(m + 1)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if m == 1 or b - a >= shortest]
 
-def passages_of(text: str, passage: int = PASSAGE, shortest: int = SHORTEST) -> list[np.ndarray]:
-    x = normalise((text or "").strip())[0]
-    n = max(1, -(-len(x) // passage))
-    cuts = [len(x) * i // n for i in range(n + 1)]
-    return [x[a:b] for a, b in zip(cuts, cuts[1:]) if b - a >= shortest]
+
+def windows_of(n: int, window: int = WINDOW, shortest: int = SHORTEST) -> list[tuple[int, int]]:
+    """Overlapping windows over a text: any stretch of window * 4 / 3 characters, or of 90 % of 50 or more, holds one."""
+    w = min(window, max(shortest, n * 4 // 5))
+    if n <= w:
+        return []
+    step = max(1, min(window // 3, n // 10))
+    return [(a, a + w) for a in [*range(0, n - w, step), n - w]]
 
 
 def build_table(rows: list[tuple[int, str]], passage: int = PASSAGE, q: int = Q) -> Table:
-    items, parts, grams, owner, place = [], [], [], [], []
+    items, texts, spans, least, grams, owner, place, tiny = [], [], [], [], [], [], [], {}
     for item, text in rows:
-        for x in passages_of(text, passage):
-            h = gram_hashes(x, q)
-            grams.append(h)
-            owner.append(np.full(len(h), len(parts)))
-            place.append(np.arange(len(h)))
-            items.append(item)
-            parts.append(x)
+        x = normalise((text or "").strip())[0]
+        if len(x) < q:
+            if len(x):
+                tiny.setdefault(x.tobytes(), []).append(item)
+            continue
+        h = gram_hashes(x, q)
+        grams.append(h)
+        owner.append(np.full(len(h), len(texts)))
+        place.append(np.arange(len(h)))
+        items.append(item)
+        texts.append(x)
+        spans.append((parts_of(len(x), passage), windows_of(len(x))))
+        least.append(min(needed(b - a, q=q) for s in spans[-1] for a, b in s))
     g, o, p = (np.concatenate(a) if a else np.empty(0, t) for a, t in
                ((grams, np.uint64), (owner, np.int64), (place, np.int64)))
     turn = np.argsort(g, kind="stable")
     seen = np.zeros(1 << 22, bool)
     seen[(g >> np.uint64(42)).astype(np.int64)] = True
-    return Table(np.array(items, np.int64), parts, g[turn], o[turn], p[turn], seen)
+    return Table(np.array(items, np.int64), texts, spans, np.array(least, np.int64), g[turn], o[turn], p[turn], seen, tiny)
 
 
 def budget(n: int, rate: float = EDIT_RATE, q: int = Q) -> int:
     """Edits allowed in n characters: the rate's share, as far as the lemma's bound stays positive."""
-    return max(0, min(int(n * rate), (n - q) // q))
+    return max(0, min(int(n * rate), (n - q) // q)) if n >= SHORTEST else 0
+
+
+def needed(n: int, rate: float = EDIT_RATE, q: int = Q) -> int:
+    """q-grams that a passage of n characters shares with any place it is found at."""
+    return n + 1 - q - budget(n, rate, q) * q
 
 
 def banded_distance(passage: np.ndarray, text: np.ndarray, low: int, width: int, most: int) -> tuple[int, int]:
@@ -126,8 +156,50 @@ def banded_distance(passage: np.ndarray, text: np.ndarray, low: int, width: int,
     return int(min(row[best], most + 1)), int(low + len(passage) + best)
 
 
+def _stands_alone(x: np.ndarray, start: int, end: int) -> bool:
+    """Neither end of the stretch cuts a word."""
+    word = lambda i: 0 <= i < len(x) and chr(x[i]).isalnum()
+    return not (word(start - 1) and word(start)) and not (word(end - 1) and word(end))
+
+
+def _best_place(x: np.ndarray, passage: np.ndarray, diagonal: np.ndarray, rate: float, q: int):
+    """(start, end, edits) of the passage's best place on the diagonals of its shared q-grams, or None."""
+    n = len(passage)
+    k, need = budget(n, rate, q), needed(n, rate, q)
+    if len(diagonal) < need:
+        return None
+    half = k + 1
+    lines, on_line = np.unique(diagonal, return_counts=True)
+    if n < SHORTEST:
+        return next(((d, d + n, 0) for d in lines[on_line >= need].tolist()
+                     if np.array_equal(x[d:d + n], passage) and _stands_alone(x, d, d + n)), None)
+    cells, first = np.unique(lines // half, return_index=True)
+    both = dict(zip(cells.tolist(), np.add.reduceat(on_line, first).tolist()))
+    best = None
+    for c in sorted({y for v in both for y in (v - 1, v)}):   # band c covers cells c and c + 1
+        if both.get(c, 0) + both.get(c + 1, 0) < need:
+            continue
+        low = c * half
+        inside = slice(*np.searchsorted(lines, (low, low + 2 * half)))
+        d = int(lines[inside][on_line[inside].argmax()])
+        if d >= 0 and np.array_equal(x[d:d + n], passage):
+            return d, d + n, 0
+        edits, end = banded_distance(passage, x, low, 2 * half, k)
+        if edits <= k and (best is None or edits < best[2]):
+            best = (max(0, end - n), end, edits)
+            if not edits:
+                break
+    return best
+
+
 def regions(x: np.ndarray, table: Table, rate: float = EDIT_RATE, q: int = Q):
-    """(passage, start, end, edits) of every passage found in the document, best place each."""
+    """(item, start, end, edits) of every text of the table found in the document: at its part with the fewest
+    edits, else at its window with the fewest."""
+    if len(x) < q + 2:   # blanks may stand around a tiny text
+        start = int(len(x) > 0 and x[0] == 32)
+        bare = x[start:len(x) - 1 if len(x) > start and x[-1] == 32 else len(x)]
+        for item in table.tiny.get(bare.tobytes(), ()):
+            yield item, start, start + len(bare), 0
     hits_at, hits_gram = [], []
     for s in range(0, max(1, len(x) - q + 1), STRETCH):
         h = gram_hashes(x[s:s + STRETCH + q - 1], q)
@@ -141,34 +213,31 @@ def regions(x: np.ndarray, table: Table, rate: float = EDIT_RATE, q: int = Q):
     if not hits_at:
         return
     gram, at = np.concatenate(hits_gram), np.concatenate(hits_at)
-    owner, diagonal = table.owner[gram], at - table.place[gram]
-    turn = np.argsort(owner, kind="stable")
-    owner, diagonal = owner[turn], diagonal[turn]
-    cut = np.flatnonzero(np.diff(owner)) + 1
-    for part in np.split(np.arange(len(owner)), cut):
-        if not len(part):
-            continue
+    owner = table.owner[gram]
+    enough = np.bincount(owner, minlength=len(table.least)) >= table.least
+    kept = np.flatnonzero(enough[owner])
+    if not len(kept):
+        return
+    owner, place, at = owner[kept], table.place[gram[kept]], at[kept]
+    turn = np.lexsort((place, owner))
+    owner, place, at = owner[turn], place[turn], at[turn]
+    for part in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(owner)) + 1):
         who = int(owner[part[0]])
-        passage = table.passages[who]
-        n = len(passage)
-        k = budget(n, rate, q)
-        need = n + 1 - q - k * q
-        if len(part) < need:
-            continue
-        half = k + 1
-        cell = diagonal[part] // half
-        cells, count = np.unique(cell, return_counts=True)
-        both = dict(zip(cells.tolist(), count.tolist()))
+        where, diagonal = place[part], at[part] - place[part]
         best = None
-        for c in sorted({y for v in both for y in (v - 1, v)}):   # band c covers cells c and c + 1
-            if both.get(c, 0) + both.get(c + 1, 0) < need:
-                continue
-            low = c * half
-            edits, end = banded_distance(passage, x, low, 2 * half, k)
-            if edits <= k and (best is None or edits < best[2]):
-                best = (end - n, end, edits)
-        if best:
-            yield who, max(0, best[0]), best[1], best[2]
+        for spans in table.spans[who]:
+            for a, b in spans:
+                i, j = np.searchsorted(where, (a, b - q + 1))
+                if j - i < needed(b - a, rate, q):
+                    continue
+                got = _best_place(x, table.texts[who][a:b], diagonal[i:j] + a, rate, q)
+                if got and (best is None or (got[2], got[0]) < (best[2], best[0])):
+                    best = got
+                    if not got[2]:
+                        break
+            if best:
+                yield int(table.items[who]), *best
+                break
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -176,9 +245,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(id, item_id, start, end, edits): passages of benchmark items found in documents.
 
-    One row per document row and item, at the passage with the fewest edits; documents without
-    any give no row.  Places count characters.  Null and empty texts or items have no passages, nor have items
-    under SHORTEST characters; texts of any length are searched whole; rows repeated in either
+    One row per document row and item, at the part with the fewest edits or else the window; documents without
+    any give no row.  Places count characters.  Null and empty texts or items have no passages; texts of any length are searched whole; rows repeated in either
     table are searched each.  Empty tables give no rows; other columns are ignored.
     """
     sc = docs.sparkSession.sparkContext
@@ -193,8 +261,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 for doc, t in zip(b.column("_id").to_pylist(), b.column("_text").to_pylist()):
                     found: dict = {}
                     x, places = normalise(t or "")
-                    for who, start, end, edits in regions(x, table):
-                        item = int(table.items[who])
+                    for item, start, end, edits in regions(x, table):
                         if places is not None:
                             start, end = int(places[start]), int(places[end - 1]) + 1
                         if item not in found or (edits, start) < (found[item][2], found[item][0]):

@@ -271,6 +271,26 @@ def test_leaks_whatever_the_white_space(spark):
     assert docs[1][1][got[1]["start"]:got[1]["end"]] == docs[1][1]
 
 
+def test_leaks_of_excerpts_and_short_items(spark):
+    rng = random.Random(29)
+    middle, long, small = prose(rng, 59), prose(rng, 240), "what is the cube of nine"
+    assert len(small) < decontaminate.SHORTEST
+    bench = spark.createDataFrame([(0, middle), (1, long), (2, small), (3, "why not"), (4, prose(rng, 12))], "item_id long, text string")
+    tenth, cut = len(middle) // 10, decontaminate.parts_of(len(long))[0][1]
+    docs = [(1, prose(rng, 40) + " " + middle[tenth:] + " " + prose(rng, 40)), (2, middle[:-tenth]),
+            (3, middle[tenth // 2:-tenth // 2]), (4, prose(rng, 40) + long[cut - 130:cut + 130] + prose(rng, 40)),
+            (5, long[:600] + " and"), (6, "So, What is the  cube of nine?"), (7, "somewhat is the cube of nine"),
+            (8, "what is the cube of ten"), (9, " Why  not "), (10, "why not now"), (11, middle[:len(middle) // 4]), (12, " "), (13, "")]
+    got = decontaminate.find_leaks(frame(spark, docs), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 0), (2, 0), (3, 0), (4, 1), (5, 1), (6, 2), (9, 3)}
+    at = {r["doc_id"]: docs[r["doc_id"] - 1][1][r["start"]:r["end"]] for r in got}
+    assert at[1] in middle and at[6] == "What is the  cube of nine" and at[9] == "Why  not"
+    for n in range(50, 1000, 7):   # any 90 %, and any 200 characters, hold a window
+        for size in {-(-n * 9 // 10), 200}:
+            assert all(any(a <= s and e <= a + size for s, e in [*decontaminate.parts_of(n), *decontaminate.windows_of(n)])
+                       for a in range(n - size + 1)), (n, size)
+
+
 def test_banded_distance_equals_plain_dynamic_program():
     rng = random.Random(2)
     for _ in range(60):
