@@ -86,14 +86,48 @@ def summary_table(profiles: DataFrame, options: ProfileOptions = ProfileOptions(
     return profiles.select(*cols)
 
 
-def histogram_table(profiles: DataFrame, bins: int = 30, grid: int = 1000) -> DataFrame:
+def _kll_bin_counts(bins: int):
+    """UDF: rows per equal-width bin by a stored KLL sketch of doubles, summing to its n.
+
+    Spark's KLL rank function needs constant split points and the edges differ per
+    profile row, so the sketch's kept values are read from its compact form: a value of
+    level i stands for 2^i rows.
+    """
+    def counts(kll, lo, hi):
+        import numpy as np   # all names local: the function travels without this package
+
+        data = bytes(kll)
+        if data[3] & 1:
+            return None      # empty
+        if data[0] == 2:     # a single value
+            values, weights = np.frombuffer(data, "<f8", 1, 8), np.ones(1, np.int64)
+        else:
+            levels = data[18]
+            starts = np.frombuffer(data, "<i4", levels, 20)
+            values = np.frombuffer(data, "<f8", -1, 20 + 4 * levels + 16)   # after min and max
+            ends = np.append(starts[1:], starts[0] + len(values))
+            weights = np.repeat(np.int64(1) << np.arange(levels), ends - starts)
+        width = (hi - lo) / bins
+        with np.errstate(invalid="ignore"):   # infinite ends leave no finite width
+            cell = np.nan_to_num(np.clip(np.floor((values - lo) / (width or 1)), 0, bins - 1)).astype(int)
+        out = np.zeros(bins, np.int64)
+        np.add.at(out, cell, weights)
+        # min and max are known to be rows: their bins hold one at least, taken from the fullest
+        for j in {0, bins - 1} if width > 0 else ():
+            if out[j] == 0:
+                out[out.argmax()] -= 1
+                out[j] = 1
+        return out.tolist()
+
+    return F.udf(counts, "array<bigint>")
+
+
+def histogram_table(profiles: DataFrame, bins: int = 30) -> DataFrame:
     """Equal-width histogram per numeric column, read from the KLL sketch.
 
-    Spark's KLL rank function needs constant split points, and equal-width
-    edges differ per profile row, so the sketch is read through its inverse:
-    quantiles at ``grid`` fixed ranks ((i + 0.5) / grid) are placed into the
-    equal-width bins and each bin gets its share of n.  Counts are
-    estimates (KLL rank error plus 1/grid); the bins of min and max never
+    The counts are the sketch's rank estimates between the bin edges and sum to n: all kept
+    values are counted with their weights, in the inner bins and at both ends.  A bin is off
+    by at most about 1.65 % of n (the sketch's error at k = 200, 99 % of the time); the bins of min and max never
     show 0.  For exact tails use ``stats.equal_width_histogram``.
     """
     keys = [k for k in profiles.columns if k in PROFILE_KEYS]
@@ -102,17 +136,7 @@ def histogram_table(profiles: DataFrame, bins: int = 30, grid: int = 1000) -> Da
     width = (hi - lo) / bins
     edges = F.transform(F.sequence(F.lit(0), F.lit(bins)),
                         lambda j: F.when(j == bins, hi).otherwise(lo + j * width))
-    ranks = F.array(*[F.lit((i + 0.5) / grid) for i in range(grid)])
-    qs = F.call_function("kll_sketch_get_quantile_double", F.col("kll"), ranks)
-    cell = lambda q: F.when(width > 0, F.least(F.floor((q - lo) / width), F.lit(bins - 1)))\
-        .otherwise(F.lit(0))
-    cells = F.transform(qs, cell)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)),
-                         lambda j: F.round(F.size(F.filter(cells, lambda c: c == j))
-                                           * F.col("n") / grid).cast("bigint"))
-    # the sketch knows min and max exactly: their bins hold a row at least
-    counts = F.transform(counts, lambda c, j: F.when((j == 0) | ((j == bins - 1) & (width > 0)),
-                                                     F.greatest(c, F.lit(1).cast("bigint"))).otherwise(c))
+    counts = _kll_bin_counts(bins)("kll", lo.cast("double"), hi.cast("double"))
     return p.select(*keys, "column", "n", edges.alias("bin_edges"), counts.alias("counts"))
 
 

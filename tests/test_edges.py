@@ -88,6 +88,24 @@ def test_histogram_shows_the_last_bin(spark):
     assert histogram_table(profile(df, "d"), bins=10).first()["counts"][-1] >= 1
 
 
+def test_histogram_counts_sum_to_n_with_rare_rows_in_inner_bins(spark):
+    n, eps = 100_040, 0.0165
+    x = F.when(F.col("id") < 100_000, 0.5).otherwise(9.9)
+    got = histogram_table(profile(spark.range(n).select(x.alias("a")), "d"), bins=10).first()["counts"]
+    assert sum(got) == n and 1 <= got[-1] <= 40 + eps * n and abs(got[0] - 100_000) <= eps * n
+    # all values kept by the sketch: rare rows in inner bins are exact
+    few = spark.createDataFrame([(0.0,)] * 150 + [(4.5,), (6.5,), (6.6,), (9.9,)], "a double")
+    assert histogram_table(profile(few, "d"), bins=10).first()["counts"] == [150, 0, 0, 0, 1, 0, 2, 0, 0, 1]
+    # rare inner rows of a large table, in sum over their bins
+    rare = spark.range(n).select(F.when(F.col("id") % 100 == 7, 1.0 + F.col("id") % 97).otherwise(0.0).alias("a"))
+    got = histogram_table(profile(rare, "d"), bins=98).first()["counts"]
+    assert sum(got) == n and abs(sum(got[1:]) - 1000) <= eps * n
+    for values in ([3.0], [3.0, 3.0], [1.0, 2.0]):
+        one = spark.createDataFrame([(v,) for v in values], "a double")
+        got = histogram_table(profile(one, "d"), bins=4).first()["counts"]
+        assert sum(got) == len(values) and got[-1] == (2.0 in values)
+
+
 def test_drift_between_two_profiles(spark):
     a = spark.range(20000).select((F.col("id") % 1000).cast("double").alias("x"))
     b = spark.range(20000).select((F.col("id") % 800 + 300).cast("double").alias("x"))
