@@ -1,13 +1,14 @@
-"""Exact repeated-substring removal by distributed prefix doubling.
+"""Exact repeated-substring removal by anchors with direct hashes, in place of rank doubling.
 
 A byte goes if it lies in a ``length``-byte string that also starts earlier
-(smaller id, or earlier in the same document).  Prefix doubling ranks
-positions by the strings that start there, at growing lengths, and drops a position once
-its rank is unique.  Here the ranked positions are anchors: every window of
+(smaller id, or earlier in the same document).  Prefix doubling ranks all
+positions by pairs of ranks at doubling offsets, and drops a position once
+its rank is unique.  Here nothing is paired or sorted: only anchors are looked at, in three fixed rounds of
+direct hashes of the strings there.  Every window of
 ``length`` bytes elects the smallest hash among its grams of the shortest
 length, leftmost first, so equal windows elect equal anchors at equal
 offsets, and an anchor stands for all neighbouring windows that elected
-it.  Rounds, each a Spark aggregation by rank names (64-bit hashes; 128 bits where
+it.  Rounds, each a Spark aggregation by 64-bit hashes (128 bits where
 equality decides):
 
 1. grams (the part that all of an anchor's windows share): unique ones drop out;
