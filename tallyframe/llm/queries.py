@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ann, decontaminate, lm, packing, pii, quality, sharding, simhash, suffix_dedup, url_filter
+from tallyframe.llm import (ann, decontaminate, line_crf, lm, packing, periodic_runs, pii, quality, sharding, simhash,
+                            source_audit, suffix_dedup, url_filter)
 from tallyframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +100,72 @@ def op5_decontaminate(spark, sf_dir):
 def op10_pii(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.replace_personal_data(docs)
+
+
+OP11_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+              FROM documents),
+words AS (SELECT k, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+vocabulary AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+sizes AS (SELECT lang, count(*) AS v FROM vocabulary GROUP BY lang),
+held AS (SELECT lang, source, term, count(*) AS n FROM words JOIN vocabulary USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+filled AS (SELECT lang, source, term, coalesce(n, 0) AS n
+           FROM groups JOIN vocabulary USING (lang) LEFT JOIN held USING (lang, source, term)),
+shares AS (SELECT lang, source, term, n, CAST(1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS BIGINT) AS p
+           FROM filled JOIN sizes USING (lang)),
+whole AS (SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (sum(n) + 5)) // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * any_value(v)) AS BIGINT) AS q
+          FROM filled JOIN sizes USING (lang) GROUP BY lang, term),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                 coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y USING (lang, term)
+                           WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source != b.source),
+marks AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value
+          FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM marks)
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
+@query("op11_source_audit", OP11_SQL)
+def op11_source_audit(spark, sf_dir):
+    return source_audit.source_audit(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_line_crf")
+def op12_line_crf(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = line_crf.fit_line_crf(docs, read_table(spark, sf_dir, "labels"))
+    return line_crf.judge_lines(docs, model, with_content=False).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the texts of ids whose crc32 ends in 0 become periodic from a word on, as the contract of op13 says."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = """
+        transform(w, (x, i) -> if(i < a, x, get(w, cast(a + (i - a) % p as int))))"""
+    rewritten = (docs.select("doc_id", "text", h.alias("h"))
+                 .withColumn("w", F.when(F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+", -1), lambda x: x != "")))
+                 .withColumn("g", F.expr("h div 10")).withColumn("n", F.size("w"))
+                 .withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+                 .withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)")))
+    return rewritten.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), F.array_join(F.expr(planted), " "))
+                            .otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.periodic_runs(with_planted_periods(read_table(spark, sf_dir, "documents")))
+    # runs come by start, then period: a later one is best only if its length/period is strictly greater
+    best = F.expr("reduce(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>), (m, r) -> "
+                  "if(m is null or r.length * m.period > m.length * r.period, r, m))")
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                   r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("m", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "m.start", "m.length", "m.period",
+        F.expr("1000 * m.length div m.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
