@@ -18,6 +18,9 @@ depend on it.
 
 from __future__ import annotations
 
+from zlib import crc32
+
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,49 +29,70 @@ from pyspark.sql.window import Window
 from tallyframe.llm.common import materialise
 from tallyframe.session import scratch_path
 
-#: Runs of ASCII letters and of everything beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MARK = "\x01"          # between language and term; no term holds it
 LARGEST = 2**31 - 1
 SAMPLE = 64            # share of the hash space whose terms are counted to choose the number of parts
 SALTS = 16
+#: A-Z to a-z; any other ASCII sign but a-z to a blank; bytes beyond ASCII stay.
+TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
 
-def _terms(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    def text(name):
-        return F.coalesce(F.col("`" + name.replace("`", "``") + "`").cast("string"), F.lit(""))
+def _tagged(batches):
+    """Terms of each text, every one behind a blank and its language in hexadecimal signs.
+
+    ``kinds`` holds each term of the document once, ``some`` those in 1/SAMPLE of the hash space.
+    """
+    def column(b, name):
+        return [x or b"" for x in b.column(name).cast(pa.binary()).to_pylist()]
+
+    for b in batches:
+        langs, terms, kinds, some = column(b, "lang"), [], [], []
+        for lang, text in zip(langs, column(b, "text")):
+            words = text.translate(TABLE).split()
+            once = set(words)
+            tag = b" " + lang.hex().encode() + b":"
+            few = [w for w in once if crc32(w) % SAMPLE == 0]
+            for out, w in ((terms, words), (kinds, once), (some, few)):
+                out.append(tag + tag.join(w) if w else b"")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.binary()).cast(pa.string()) for x in (langs, column(b, "source"), terms, kinds, some)],
+            names=["lang", "source", "terms", "kinds", "some"])
 
-    found = F.regexp_extract_all(F.translate(text(text_col), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    return (docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), found.alias("found"))
-            .select("lang", "source", F.transform("found", lambda t: F.concat("lang", F.lit(MARK), t)).alias("terms")))
+
+def _terms(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    named = zip(("text", "lang", "source"), (text_col, lang_col, source_col))
+    rows = docs.select(*[F.col("`" + c.replace("`", "``") + "`").cast("string").alias(n) for n, c in named])
+    return rows.mapInArrow(_tagged, "lang string, source string, terms string, kinds string, some string")
 
 
 def _parts(terms: DataFrame, min_docs: int, part_terms: int) -> int:
-    some = F.filter("terms", lambda t: F.pmod(F.xxhash64(t, F.lit(3)), F.lit(SAMPLE)) == 0)
-    kept = (terms.select(F.explode(F.array_distinct(some)).alias("t")).groupBy("t").count()
-            .where(F.col("count") >= min_docs).count())
+    kept = (terms.where("some != ''").select(F.explode(F.split("some", " ")).alias("t")).where("t != ''")
+            .groupBy("t").count().where(F.col("count") >= min_docs).count())
     return max(1, -(-kept * SAMPLE // part_terms))
 
 
 def _untag(df: DataFrame) -> DataFrame:
-    """lang and term of a tagged term; the last mark parts them."""
-    term = F.substring_index("t", MARK, -1)
-    return df.withColumn("term", term).withColumn("lang", F.expr("substring(t, 1, length(t) - length(term) - 1)")).drop("t")
+    """lang and term of a tagged term."""
+    return (df.withColumn("term", F.substring_index("t", ":", -1))
+            .withColumn("lang", F.decode(F.unhex(F.substring_index("t", ":", 1)), "UTF-8")).drop("t"))
 
 
 def _group_sums(terms: DataFrame, min_docs: int, part: int, parts: int) -> tuple[DataFrame, DataFrame]:
     """(lang, term) of one part of the vocabulary, and (lang, source, term, n) sums of its document vectors."""
     spark = terms.sparkSession
-    mine = F.col("terms") if parts == 1 else F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == part)
-    # every document holds the empty term, so that the vocabulary is never empty; it is taken out again
-    bags = terms.select("source", F.concat(F.array(F.lit("")), mine).alias("bag"))
-    model = CountVectorizer(inputCol="bag", outputCol="vector", minDF=float(min_docs), vocabSize=LARGEST).fit(bags)
+
+    def bag(name):
+        # what is before the first blank is the empty term: every document holds it, so the vocabulary is never empty
+        every = F.split(name, " ")
+        return every if parts == 1 else F.filter(every, lambda t: (t == "") | (F.pmod(F.xxhash64(t), F.lit(parts)) == part))
+
+    # documents per term decide, so each document may name a term once
+    model = CountVectorizer(inputCol="bag", outputCol="vector", minDF=float(min_docs), vocabSize=LARGEST).fit(
+        terms.select(bag("kinds").alias("bag")))
     path = scratch_path(spark, "audit-vocabulary")
     model.save(path)
     words = (spark.read.parquet(path + "/data").select(F.posexplode("vocabulary").alias("i", "t"))
              .where("t != ''"))
-    vectors = model.transform(bags).select("source", F.unwrap_udt("vector").alias("v"))
+    vectors = model.transform(terms.select("source", bag("terms").alias("bag"))).select("source", F.unwrap_udt("vector").alias("v"))
     sums = (vectors.select("source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("x"))
             .groupBy("source", F.col("x.indices").alias("i")).agg(F.sum("x.values").cast("long").alias("n")))
     counts = _untag(sums.join(words, "i").drop("i"))

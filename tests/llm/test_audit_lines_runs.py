@@ -14,7 +14,7 @@ from tallyframe.llm import line_crf, periodic_runs, queries, source_audit
 from tallyframe.llm.common import read_table
 
 SF = "/root/testdata/sf0.001"
-CLASH = ["_out", "_text", "_id", "runs", "n_words", "found", "terms", "bag", "vector", "t", "i", "v", "a", "b", "w", "h", "kept", "a.b"]
+CLASH = ["_out", "_text", "_id", "runs", "n_words", "kinds", "terms", "bag", "vector", "t", "i", "v", "a", "b", "w", "h", "kept", "a.b"]
 
 
 def frame(spark, rows):
@@ -68,9 +68,8 @@ def audit_rows():
 
 @pytest.mark.parametrize("min_docs, part_terms", [(3, 1 << 20), (2, 1), (500, 100)])
 def test_audit_against_plain_python(spark, min_docs, part_terms, monkeypatch):
-    monkeypatch.setattr(source_audit, "SAMPLE", 1 if part_terms == 1 else 64)
     if part_terms == 1:
-        part_terms = 6          # a few parts
+        monkeypatch.setattr(source_audit, "_parts", lambda *a: 3)
     rows = audit_rows()
     got = source_audit.source_audit(frame(spark, rows), min_docs=min_docs, part_terms=part_terms)
     assert got.dtypes == [("lang", "string"), ("source", "string"), ("part", "string"), ("item", "string"), ("value", "bigint"), ("rank", "int")]
