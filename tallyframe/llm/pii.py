@@ -26,8 +26,9 @@ TITLES = {"m": ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Господин", "
 _WORD = r"\p{Lu}\p{Ll}+"
 NAME = (r"(?<!\p{L})(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? " + _WORD + "(?: " + _WORD + ")?")
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# Repeats without a small bound are possessive: Java's matcher else calls itself once for each, and long runs exhaust its stack.
 KINDS = [  # order decides where patterns overlap
-    ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"),
+    ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++"),
     ("hex", r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"),
     ("ip", r"(?<![\d.])" + OCTET + r"(?:\." + OCTET + r"){3}(?!\d|\.\d)"),
     ("iban", r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"),
@@ -79,14 +80,14 @@ def _luhn(digits: str) -> str:
 
 
 def _shape(text: str, seed: str, hexadecimal: bool = False) -> str:
-    """SQL: ``text`` with every letter and digit redrawn within its class, keyed by ``seed``."""
-    byte = (f"cast(conv(substring(sha2(concat(key, {seed}, '|', cast(i div 16 as string)), 256), "
+    """SQL: ``text`` with every letter and digit redrawn within its class, keyed by the hash of ``seed``."""
+    byte = (f"cast(conv(substring(sha2(concat(key, z, '|', cast(i div 16 as string)), 256), "
             "cast(4 * (i % 16) + 1 as int), 4), 16, 10) as int)")
     cases = ["when c rlike '[0-9]' then cast(n % 10 as string)"]
     for letters, cls in [("abcdef", "[a-f]")] if hexadecimal else ALPHABETS:
         cases.append(f"when c rlike '{cls}' then substring('{letters}', n % {len(letters)} + 1, 1)")
     one = f"transform(array({byte}), n -> case {' '.join(cases)} else c end)[0]"
-    return f"array_join(transform(split({text}, ''), (c, i) -> {one}), '')"
+    return f"transform(array(sha2({seed}, 256)), z -> array_join(transform(split({text}, ''), (c, i) -> {one}), ''))[0]"
 
 
 def _surrogate(key: str) -> Column:
@@ -190,7 +191,10 @@ def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "s
     the same result; an empty table gives no rows.  The result depends on the key and on
     collisions within the table, which are settled in the order of entities.
     """
-    named = docs.drop("n_entities")
+    kept = [c for c in docs.columns if c != "n_entities"]
+    # other columns travel under names of their own: theirs may hold dots or be names used here
+    safe = [c if c == text_col else f"_pii_c{i}" for i, c in enumerate(kept)]
+    docs = named = docs.select(*[F.col("`" + c.replace("`", "``") + "`").alias(n) for c, n in zip(kept, safe)])
     mentions = F.expr(f"regexp_extract_all({text_col}, {_lit(ANY)}, 0)")
     keys = [F.xxhash64(text_col).alias("_pii_k1"), F.xxhash64(F.col(text_col), F.lit(1)).alias("_pii_k2")]
     found = materialise(docs.select(*keys, F.array_distinct(mentions).alias("ms")).where(F.size("ms") > 0)
@@ -213,4 +217,4 @@ def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "s
                      f"regexp_extract_all({text_col}, {_lit(ANY)}, 0), (t, m) -> array(t, coalesce(_pii_map[m], m, '')))), ''))")
     count = F.expr(f"if(_pii_map is null, 0, size(regexp_extract_all({text_col}, {_lit(ANY)}, 0)))")
     return joined.withColumn("n_entities", count.cast("int")).withColumn(text_col, rebuilt).select(
-        *[named[c] if c != text_col else F.col(text_col) for c in named.columns], "n_entities")
+        *safe, "n_entities").toDF(*kept, "n_entities")

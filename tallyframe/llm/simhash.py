@@ -147,11 +147,16 @@ def _link_keys(t: int):
 
 
 def _ball_links(fps: DataFrame, t: int) -> DataFrame:
-    """Links among all of ``fps`` through shared neighbours: radius 1 against radius t - 1."""
+    """Links among all of ``fps`` through shared neighbours: radius 1 against radius t - 1.
+
+    With t = 1 the second radius is 0: a neighbour met there is a fingerprint itself, at most 64 links each.
+    """
     one = [0] + [1 << i for i in range(64)]
     two = {1: [0], 2: one, 3: sorted({x ^ y for x in one for y in one})}[t]
     signed = lambda xs: "array(" + ",".join(f"{x - (1 << 64) if x >> 63 else x}L" for x in xs) + ")"
     near = fps.select("fp", F.explode(F.expr(f"transform({signed(one)}, m -> fp ^ m)")).alias("c"))
+    if t == 1:
+        return near.join(fps.select(F.col("fp").alias("c")), "c").where("fp < c").select(F.col("fp").alias("a"), F.col("c").alias("b"))
     wide = fps.select("fp", F.explode(F.expr(f"transform({signed(two)}, m -> fp ^ m)")).alias("c"))
     low = near.groupBy("c").agg(F.min("fp").alias("a"))
     return wide.join(low, "c").where("fp != a").select("a", F.col("fp").alias("b")).distinct()
@@ -201,13 +206,31 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """Rows of ``docs`` whose id names their component: one document of each group.
 
     Rows that repeat the kept id with the same fingerprint collapse to one; a
-    group without any id keeps one row.
+    group without any id keeps one row.  Of rows that share an id but not the fingerprint
+    only those of components that the id names stay.  Columns come back as they are.
     """
-    groups = simhash_groups(docs, id_col, text_col, **kw).where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    kept = groups.groupBy(F.col(id_col).alias("_kid")).agg(F.count("*").alias("_n"))
+    names = docs.columns
+    safe = [c if c in (id_col, text_col) else f"_sim{i}" for i, c in enumerate(names)]
+    docs = docs.toDF(*safe)
+    groups = materialise(simhash_groups(docs, id_col, text_col, **kw).select(
+        F.col(id_col).alias("_kid"), "fingerprint", "component_id"), "simhash-groups")
+    kept = groups.where(F.col("_kid").eqNullSafe(F.col("component_id"))).groupBy("_kid", "fingerprint").agg(F.count("*").alias("_n"))
     kept = materialise(kept, "simhash-kept")
+    ids = kept.select("_kid").distinct()
+    mixed = materialise(groups.groupBy("_kid").agg(F.min("fingerprint").alias("f"), F.max("fingerprint").alias("l"))
+                        .where("f != l").select("_kid"), "simhash-mixed")
     # one join plan at every size: the kept ids grow with the input
-    out = docs.join(kept.hint("merge"), F.col(id_col).eqNullSafe(F.col("_kid")), "left_semi")
-    if kept.where("_n > 1").isEmpty():
-        return out
-    return out.dropDuplicates([id_col, text_col])
+    same_id = F.col(id_col).eqNullSafe(F.col("_kid"))
+    out = docs.join(ids.hint("merge"), same_id, "left_semi")
+    if not mixed.isEmpty():
+        # rows whose id has several fingerprints: theirs decides
+        several = materialise(out.join(mixed.hint("merge"), same_id, "left_semi")
+                              .withColumn("_row", F.monotonically_increasing_id()), "simhash-several")
+        own = fingerprints(several, "_row", text_col, kw.get("shingle", 3)).select(
+            F.col("_id").alias("_rid"), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("_f"))
+        right = several.join(own, F.col("_row") == F.col("_rid")).join(
+            kept.hint("merge"), same_id & (F.col("_f") == F.col("fingerprint")), "left_semi")
+        out = out.join(mixed.hint("merge"), same_id, "left_anti").unionByName(right.select(*safe))
+    if not kept.where("_n > 1").isEmpty():
+        out = out.dropDuplicates([id_col, text_col])
+    return out.toDF(*names)

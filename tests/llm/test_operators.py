@@ -544,3 +544,43 @@ def test_surrogates_stay_distinct_when_shapes_are_scarce(spark):
     got = {r["doc_id"]: r["text"].split(" ; ") for r in pii.replace_personal_data(docs).collect()}
     assert len(set(got[1])) == len(mails) and not set(got[1]) & set(mails)
     assert len(set(got[0])) == len(addresses)
+
+
+# ---- faults once found by review
+
+def test_mail_domains_of_any_length(spark):
+    texts = ["see a@b" + ".c" * n + " now" for n in (1, 500, 4000, 100_000)] + ["x" * 50_000 + "@" + "y-" * 50_000 + ".org", "a" * 200_000 + " 1.2.3.4"]
+    rows = {r["doc_id"]: r for r in pii.replace_personal_data(frame(spark, list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts):
+        assert rows[i]["n_entities"] == 1 and rows[i]["text"] != t
+    assert all(rows[i]["text"].startswith("see ") and rows[i]["text"].endswith(" now") for i in range(4))
+
+
+def test_personal_data_beside_odd_columns(spark):
+    df = frame(spark, [(1, "mail bob@example.com")]).selectExpr("*", "7 as `a.b`", "8 as _pii_map", "9 as n_entities", "'z' as `k``q`")
+    out = pii.replace_personal_data(df)
+    r = out.first().asDict()
+    assert out.columns == [*[c for c in df.columns if c != "n_entities"], "n_entities"]
+    assert (r["a.b"], r["_pii_map"], r["k`q"], r["n_entities"]) == (7, 8, "z", 1) and "bob@" not in r["text"]
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3])
+def test_links_past_the_hot_bound_keep_components(spark, bits):
+    rng = random.Random(bits)
+    for fps in ([1, 2, 3], [rng.getrandbits(4) | rng.getrandbits(3) << 30 for _ in range(60)]):
+        fps = sorted(set(fps))
+        df = spark.createDataFrame([(f,) for f in fps], "fp long")
+        roots = {r["node"]: r["root"] for r in components.components(simhash.simhash_links(df, bits, hot=1), "a", "b").collect()}
+        want = {f: f for f in fps}
+        for _ in fps:
+            for a in fps:
+                want[a] = min(want[b] for b in fps if bin(a ^ b).count("1") <= bits)
+        assert {f: roots.get(f, f) for f in fps} == want
+
+
+def test_keep_one_with_repeated_ids(spark):
+    a, b = "one two three four five", "six seven eight nine ten"
+    df = frame(spark, [(1, a), (0, b), (1, b)])
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(df).collect()) == [(0, b), (1, a)]
+    odd = df.selectExpr("*", "1 as _kid", "2 as `a.b`", "3 as k")
+    assert simhash.keep_one(odd).columns == odd.columns
