@@ -7,6 +7,8 @@ packing.  All stages but the last return the columns of their input.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,20 @@ from tallyframe.llm.common import materialise, read_table, share_package
 from tallyframe.llm.queries import tokenizer_paths
 
 
+USED = ("doc_id", "text", "n_chars")
+
+
+def keeping_columns(stage):
+    """Stage over (doc_id, text, n_chars) whose other columns, whatever their names, come back untouched."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        safe = [c if c in USED else f"other_{i}_column" for i, c in enumerate(names)]
+        return stage(spark, docs.toDF(*safe), sf_dir).select(*safe).toDF(*names)
+    return run
+
+
+@keeping_columns
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; its labels are joined by doc_id to fit it."""
     share_package(spark)
@@ -22,12 +38,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.quality_scores(docs, model).where("predicted = 1").select(*docs.columns)
 
 
+@keeping_columns
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each SimHash component."""
     share_package(spark)
     return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
+@keeping_columns
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark passage.  Decisions follow the text, so rows need no unique doc_id."""
     share_package(spark)
@@ -37,6 +55,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return docs.withColumn("_leak", key).join(leaks, F.col("_leak") == F.col("k"), "left_anti").select(*docs.columns)
 
 
+@keeping_columns
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by surrogates; n_chars follows where the text changed its length."""
     out = pii.replace_personal_data(docs)
