@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyframe.operators.profile import STAT_FIELDS, ProfileOptions
+from tallyframe.operators.profile import STAT_FIELDS, TOPK_TYPE, ProfileOptions
 
 DEFAULT_BY = ("name", "session_id", "session_timestamp", "dataset_timestamp", "tags", "column")
 
@@ -31,7 +31,20 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     return left.join(ren, cond).drop(*[f"__r_{i}" for i in range(len(keys))])
 
 
-def _simple_aggs(stats, options: ProfileOptions) -> list[Column]:
+_empty: dict[int, Column] = {}
+
+
+def _empty_topk(spark, items: int) -> Column:
+    """The frequent-item state of no rows, as Spark makes it: its combine takes no null states."""
+    if items not in _empty:
+        row = spark.sql(f"SELECT approx_top_k_accumulate(CAST(x AS STRING), {items}) FILTER (WHERE x = 'b') AS s "
+                        "FROM VALUES ('a') AS t(x)").first()["s"]
+        _empty[items] = F.struct(*[F.lit(bytes(v) if isinstance(v, bytearray) else v).cast(f.dataType).alias(f.name)
+                                   for v, f in zip(row, TOPK_TYPE)])
+    return _empty[items]
+
+
+def _simple_aggs(spark, stats, options: ProfileOptions) -> list[Column]:
     aggs: list[Column] = []
     for n in stats:
         c = F.col(n)
@@ -49,7 +62,9 @@ def _simple_aggs(stats, options: ProfileOptions) -> list[Column]:
         elif n == "theta":
             aggs.append(F.expr(f"theta_union_agg(theta, {options.theta_lg_k})").alias("theta"))
         elif n == "topk":
-            aggs.append(F.expr(f"approx_top_k_combine(topk, {options.top_k_items})").alias("topk"))
+            aggs.append(F.when(F.count(c) > 0, F.call_function(
+                "approx_top_k_combine", F.coalesce(c, _empty_topk(spark, options.top_k_items)),
+                F.lit(options.top_k_items))).alias("topk"))
     return aggs
 
 
@@ -68,7 +83,7 @@ def merge_bounded(profiles: DataFrame, by, options: ProfileOptions = ProfileOpti
     pooled = (F.sum(F.when(F.col("n") > 0, F.col("n") * F.col("mean"))).over(w)
               / F.sum(F.when(F.col("n") > 0, F.col("n"))).over(w))
     p = profiles.withColumn("__pooled", pooled)
-    aggs = [a for a in _simple_aggs([n for n in stats if n != "m2"], options)]
+    aggs = [a for a in _simple_aggs(profiles.sparkSession, [n for n in stats if n != "m2"], options)]
     if "m2" in stats:
         aggs.append(F.sum(F.when(F.col("n") > 0, F.col("m2") + F.col("n")
                                  * (F.col("mean") - F.col("__pooled")) ** 2)).alias("m2"))
@@ -90,7 +105,7 @@ def merge_profiles(profiles: DataFrame, by=DEFAULT_BY, options: ProfileOptions =
         p = p.withColumn(k, e)
     present = {f.name for f in p.schema.fields}
     stats = [n for n, _ in STAT_FIELDS if n in present]
-    first = p.groupBy(*by).agg(*_simple_aggs(stats, options))
+    first = p.groupBy(*by).agg(*_simple_aggs(p.sparkSession, stats, options))
     if "m2" not in stats:
         return first
     # Pass two: centred second moments around the pooled mean of each group.

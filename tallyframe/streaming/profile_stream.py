@@ -80,6 +80,35 @@ def run_available_now(writer_df: DataFrame, mode: str, batch_fn, checkpoint: str
     return q
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def drain_closed_windows(spark: SparkSession, sp: StreamProfile, path: str, checkpoint: str) -> dict[str, int]:
+    """Drain a stream in append mode with its state in RocksDB; say from the query's progress what became of its rows.
+
+    A window is emitted once the watermark has passed its end, and its state ends with it; rows that come later
+    are dropped.  Returns the number of micro-batches with data, input rows, emitted rows, rows not emitted (of
+    windows still open, or late), window states removed and left, and the late partial rows dropped: the stream drops
+    them after its partial aggregation, so there is one for each input partition and late window of a micro-batch.
+    """
+    conf = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.numRecentProgressUpdates": "100000"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        progress = run_available_now(sp.wide, "append", profile_sink_writer(sp, path, False), checkpoint).recentProgress
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    emitted = (spark.read.parquet(path).select("dataset_timestamp", "tags", "count").distinct().agg(F.sum("count")).first()[0] or 0)
+    rows = sum(p.numInputRows for p in progress)
+    operators = [p.stateOperators[0] for p in progress if p.stateOperators]
+    return {"micro_batches": sum(p.numInputRows > 0 for p in progress), "input_rows": rows, "emitted_rows": emitted,
+            "not_emitted_rows": rows - emitted, "removed_windows": sum(o.numRowsRemoved for o in operators),
+            "open_windows": operators[-1].numRowsTotal if operators else 0,
+            "late_partials": sum(o.numRowsDroppedByWatermark for o in operators)}
+
+
 def profile_sink_writer(sp: StreamProfile, path: str, complete: bool):
     """foreachBatch writer: complete mode rewrites the table, append mode adds
     one partition per batch id (overwritten if the batch is replayed)."""
