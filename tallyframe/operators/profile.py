@@ -346,6 +346,11 @@ def profile(df: DataFrame, name: str = "dataset", *,
         else:
             wide = plan.derive(base).groupBy(*keys).agg(*plan.aggs)
         long = wide.select(*header, plan.to_long)
+        if time_column is None and not tags and fanout > 1 and not isinstance(dataset_timestamp, Column):
+            # the profile of no rows beside the partial ones: an empty frame has rows with count 0 here too
+            nothing = plan.derive(base.drop(*keys).filter(F.lit(False))).agg(*plan.aggs).select(
+                "*", ts.alias("__ts"), _tags_column(tags, static_tags).alias("__tags"), F.lit(0).alias("__salt"))
+            long = long.unionByName(nothing.select(*header, plan.to_long))
         out = long if out is None else out.unionByName(long)
     if out is None:
         raise ValueError("no columns to profile")

@@ -2,21 +2,23 @@
 
 Spark's ``percentile`` keeps a map of every distinct value of a group and
 merges all of them in one task, so a group's memory grows with its data.
-Here an exact order statistic is found by narrowing a value range:
+Here an exact order statistic is found by radix selection on the order-preserving
+64-bit image of the double, 16 bits a round:
 
-* round 1: per group, an equal-width histogram of ``buckets`` cells over
-  [min, max] (a small aggregate: at most ``buckets`` rows per group);
+* round 1: per group, a histogram of the first 16 bits (sign, exponent and
+  four bits more: a small aggregate);
 * each wanted rank picks the cell that holds it; its range shrinks to the
   actual [min, max] of the values in that cell;
-* later rounds repeat inside the chosen range only (rows outside it are
-  filtered out before the shuffle), until the range holds one distinct
-  value.  A value repeated by a third of the rows ends the search at once
-  (min == max of its cell).
+* up to three later rounds repeat inside the chosen range only, with the next 16 bits (rows outside it are
+  filtered out before the shuffle).  After four rounds a cell is one value, whatever the values are:
+  infinite, subnormal, of both signs.  A range with few values, or with
+  one distinct value, ends earlier.
 
 Every round is a filtered scan plus a partial aggregate; the per-target
 table (one row per group and wanted rank) is checkpointed to the shared
 folder between rounds.  Interpolation follows Spark's ``percentile``:
-position (n - 1) * q between the two neighbouring order statistics.
+position (n - 1) * q between the two neighbouring order statistics;
+between -inf and +inf that is NaN.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ BROADCAST_ROWS = 100_000   # a target table below this size is broadcast (counte
 # A range known (from the previous round's counts) to hold at most this many
 # values is finished by sorting those values inside one aggregate.
 SMALL_RANGE = 20_000
+SHIFTS = (48, 32, 16, 0)
 
 
 def _join_keys(big: DataFrame, small: DataFrame, keys, small_rows: int) -> DataFrame:
@@ -46,30 +49,50 @@ def _join_keys(big: DataFrame, small: DataFrame, keys, small_rows: int) -> DataF
     return big.join(s, cond).drop(*[f"__g{i}" for i in range(len(keys))])
 
 
-def _bucket(x: Column, lo: Column, hi: Column, buckets: int) -> Column:
-    # ranges of one sign are cut evenly in the logarithm, so that a range over many
-    # powers of ten closes in a few rounds; any monotone cut gives exact ranks
-    def scale(v):
-        return F.when(lo > 0, F.ln(v)).when(hi < 0, -F.ln(-v)).otherwise(v)
+def ordered_image(x: Column) -> Column:
+    """A long whose order is that of the double: the sign and magnitude of its 64 bits as one number.
 
-    b = F.floor((scale(x) - scale(lo)) / ((scale(hi) - scale(lo)) / F.lit(float(buckets))))
-    b = F.when(b.isNull() | F.isnan((scale(x) - scale(lo))), F.lit(0)).otherwise(b)
-    return F.when(hi > lo, F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))) \
-        .otherwise(F.lit(0)).cast("int")
+    Powers of two scale exactly, so plain arithmetic finds exponent and mantissa; -0.0 counts as 0.0.
+    """
+    a = F.abs(x)
+    least = F.lit(2.0 ** -1022)
+    guess = F.floor(F.log2(a))           # off by one at most
+    e = guess + F.when(a >= F.pow(F.lit(2.0), guess + 1), 1).when(a < F.pow(F.lit(2.0), guess), -1).otherwise(0)
+    mantissa = ((a * F.pow(F.lit(2.0), -e) - 1) * F.lit(2.0 ** 52)).cast("long")
+    image = (F.when(a < least, (a * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("long"))
+             .when(a == F.lit(float("inf")), F.lit(2047 << 52))
+             .otherwise((e + 1023) * F.lit(1 << 52) + mantissa))
+    return F.when(x < 0, -image).otherwise(image)
+
+
+def _digit(shift: int) -> Column:
+    """Sixteen bits of a value's ordered image; the first digit keeps the sign."""
+    d = F.shiftright(ordered_image(F.col("__x")), shift)
+    return d if shift == SHIFTS[0] else d.bitwiseAND(F.lit(0xFFFF))
+
+
+def _cells(rows: DataFrame, keys, shift: int) -> DataFrame:
+    """Counts and ends of each cell, and the counts up to it: at most 65,536 cells of a key in one window."""
+    cells = (rows.groupBy(*keys, _digit(shift).alias("cell"))
+             .agg(F.count(F.lit(1)).alias("cnt"), F.min("__x").alias("cmin"), F.max("__x").alias("cmax")))
+    w = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    return cells.withColumn("upto", F.sum("cnt").over(w))
+
+
+HOLDS = "upto - cnt <= r and r < upto"
 
 
-def order_statistics(data: DataFrame, by, targets: DataFrame, buckets: int = 4096,
-                     small_range: int = SMALL_RANGE) -> DataFrame:
-    """Exact values at 0-based ranks.
+def order_statistics(data: DataFrame, by, targets: DataFrame, small_range: int = SMALL_RANGE) -> DataFrame:
+    """Exact values at 0-based ranks, after the first round: three more rounds at most.
 
     ``data``: (by..., __x) non-null doubles.  ``targets``: (by..., tid, r,
     lo, hi, cnt) with r the rank inside [lo, hi] and cnt the number of
-    values there.  Returns (tid, value).
+    values there, which share the first digit.  Returns (tid, value).
     """
     by = list(by)
     t = targets.withColumn("done", F.col("lo") == F.col("hi")) \
         .withColumn("value", F.when(F.col("done"), F.col("lo")))
-    while True:      # each round narrows every open range to one of its cells
+    for shift in SHIFTS[1:]:      # each round fixes 16 more bits of every open range; after the last all are one value
         t = t.checkpoint(eager=True)
         active = t.filter(~F.col("done"))
         n_active = active.count()
@@ -85,20 +108,12 @@ def order_statistics(data: DataFrame, by, targets: DataFrame, buckets: int = 409
                .select("tid", F.element_at("vals", (F.col("r") + 1).cast("int")).alias("v")))
         finished = active.filter(F.col("cnt") <= small_range).join(few, "tid").select(
             *by, "tid", "r", "lo", "hi", "cnt", F.lit(True).alias("done"), F.col("v").alias("value"))
-        inside = inside.filter(F.col("cnt") > small_range)
-        cells = (inside.groupBy("tid", _bucket(F.col("__x"), F.col("lo"), F.col("hi"), buckets)
-                                .alias("cell"))
-                 .agg(F.count(F.lit(1)).alias("cnt"), F.min("__x").alias("cmin"),
-                      F.max("__x").alias("cmax")))
-        # At most ``buckets`` rows per target in this window.
-        w = Window.partitionBy("tid").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-        cum = cells.withColumn("upto", F.sum("cnt").over(w))
+        cum = _cells(inside.filter(F.col("cnt") > small_range), ["tid"], shift)
         ranks = a.select("tid", "r")
         if n_active <= BROADCAST_ROWS:
             ranks = F.broadcast(ranks)
-        pick = (cum.join(ranks, "tid")
-                .filter((F.col("upto") - F.col("cnt") <= F.col("r")) & (F.col("r") < F.col("upto")))
-                .select("tid", (F.col("r") - (F.col("upto") - F.col("cnt"))).alias("r2"),
+        pick = (cum.join(ranks, "tid").filter(HOLDS)
+                .select("tid", F.expr("r - (upto - cnt)").alias("r2"),
                         F.col("cmin").alias("lo2"), F.col("cmax").alias("hi2"),
                         F.col("cnt").alias("cnt2")))
         nxt = active.filter(F.col("cnt") > small_range).join(pick, "tid").select(
@@ -109,28 +124,18 @@ def order_statistics(data: DataFrame, by, targets: DataFrame, buckets: int = 409
     return t.select("tid", "value")
 
 
-def _first_round(data: DataFrame, groups: DataFrame, by, targets: DataFrame,
-                 n_groups: int, buckets: int) -> DataFrame:
-    """Round one for all ranks of a group at once: one histogram per group."""
-    j = _join_keys(data, groups.select(*by, "lo", "hi"), by, n_groups)
-    cells = (j.groupBy(*by, _bucket(F.col("__x"), F.col("lo"), F.col("hi"), buckets).alias("cell"))
-             .agg(F.count(F.lit(1)).alias("cnt"), F.min("__x").alias("cmin"),
-                  F.max("__x").alias("cmax")))
-    # At most ``buckets`` rows per group in this window.
-    w = Window.partitionBy(*by).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    cum = cells.withColumn("upto", F.sum("cnt").over(w))
+def _first_round(data: DataFrame, by, targets: DataFrame) -> DataFrame:
+    """Round one for all ranks of a group at once: one histogram per group, without a join of the data."""
+    cum = _cells(data, list(by), SHIFTS[0])
     t = targets.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(by)], "tid", "r")
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"__t{i}")) for i, k in enumerate(by)])
-    pick = (cum.join(t, cond)
-            .filter((F.col("upto") - F.col("cnt") <= F.col("r")) & (F.col("r") < F.col("upto")))
-            .select(*by, "tid", (F.col("r") - (F.col("upto") - F.col("cnt"))).alias("r"),
+    return (cum.join(t, cond).filter(HOLDS)
+            .select(*by, "tid", F.expr("r - (upto - cnt)").alias("r"),
                     F.col("cmin").alias("lo"), F.col("cmax").alias("hi"), "cnt"))
-    return pick
 
 
-def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int = 16384,
-                    small_range: int = SMALL_RANGE) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), small_range: int = SMALL_RANGE) -> DataFrame:
     """Interpolated quantiles per group, equal to Spark's ``percentile``.
 
     Returns (by..., n, q0, q1, ...) - one row per group.  With no ``by``
@@ -141,26 +146,23 @@ def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int =
     checkpoint_dir(df.sparkSession)
     by = list(by)
     if not by:
-        return exact_quantiles_columns(df, [column], quantiles, buckets,
-                                       small_range).drop("column")
+        return exact_quantiles_columns(df, [column], quantiles, small_range).drop("column")
     x = numeric_view(F.col(quote(column)))
     keys = by
     data = df.select(*[F.col(quote(k)) for k in by], x.alias("__x")).filter(F.col("__x").isNotNull())
-    groups = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("lo"),
-                                     F.max("__x").alias("hi")).checkpoint(eager=True)
-    n_groups = groups.count()
+    groups = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     gid = F.sha2(F.to_json(F.struct(*[F.col(quote(k)) for k in keys])), 256)
     rows = []
     for qi, q in enumerate(quantiles):
         pos = (F.col("n") - 1).cast("double") * F.lit(float(q))
         for side, fn in (("lo", F.floor), ("hi", F.ceil)):
-            rows.append(groups.select(*keys, "n", "lo", "hi", pos.alias("pos"),
+            rows.append(groups.select(*keys, "n", pos.alias("pos"),
                                       F.concat_ws("|", gid, F.lit(f"{qi}{side}")).alias("tid"),
                                       fn(pos).cast("bigint").alias("r"),
                                       F.lit(qi).alias("qi"), F.lit(side).alias("side")))
     targets = reduce(DataFrame.unionByName, rows).checkpoint(eager=True)
-    narrowed = _first_round(data, groups, keys, targets, n_groups, buckets)
-    stats = order_statistics(data, keys, narrowed, buckets, small_range=small_range)
+    narrowed = _first_round(data, keys, targets)
+    stats = order_statistics(data, keys, narrowed, small_range)
     vals = targets.join(stats, "tid")
     lower = F.max(F.when(F.col("side") == "lo", F.col("value")))
     upper = F.max(F.when(F.col("side") == "hi", F.col("value")))
@@ -173,8 +175,7 @@ def exact_quantiles(df: DataFrame, column: str, quantiles, by=(), buckets: int =
     return out
 
 
-def exact_quantiles_columns(df: DataFrame, columns, quantiles, buckets: int = 16384,
-                            small_range: int = SMALL_RANGE) -> DataFrame:
+def exact_quantiles_columns(df: DataFrame, columns, quantiles, small_range: int = SMALL_RANGE) -> DataFrame:
     """Exact quantiles of several columns in one search: (column, n, q0, q1, ...).
 
     The columns are unpivoted to (column, value) and searched as groups, so
@@ -183,5 +184,4 @@ def exact_quantiles_columns(df: DataFrame, columns, quantiles, buckets: int = 16
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(quote(c)).cast("double").alias("value"))
         for c in columns])).alias("kv")).select("kv.column", "kv.value")
-    return exact_quantiles(long, "value", quantiles, by=["column"], buckets=buckets,
-                           small_range=small_range)
+    return exact_quantiles(long, "value", quantiles, by=["column"], small_range=small_range)

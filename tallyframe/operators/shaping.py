@@ -45,6 +45,8 @@ def slices(df: DataFrame, order_by, cuts=(200, 231, 262), label: str = "slice")
     if not all(isinstance(c, str) for c in order_by):
         raise ValueError("slices needs column names as the order key")
     k = max(cuts)
+    if k == 0:      # every row lies behind all cuts
+        return df.withColumn(label, F.lit(len(cuts)))
     keyed = df.withColumn("__tie", _row_order(df))
     keys = [*order_by, "__tie"]
     prefix = keyed.orderBy(*[F.col(quote(c)).asc_nulls_first() for c in keys]).limit(k)
