@@ -57,6 +57,11 @@ def _simple_aggs(spark, stats, options: ProfileOptions) -> list[Column]:
         elif n == "mean":
             aggs.append((F.sum(F.when(F.col("n") > 0, F.col("n") * c))
                          / F.sum(F.when(F.col("n") > 0, F.col("n")))).alias("mean"))
+        elif n in ("low", "high"):
+            end = F.min if n == "low" else F.max
+            number = end(F.when(c["integer"].isNotNull(), F.struct(c["integer"].alias("integer"), c["fraction"].alias("fraction"))))
+            aggs.append(F.struct(number["integer"].alias("integer"), number["fraction"].alias("fraction"),
+                                 *[end(c[f]).alias(f) for f in ("time", "date", "text")]).alias(n))
         elif n == "kll":
             aggs.append(F.expr("kll_merge_agg_double(kll)").alias("kll"))
         elif n == "theta":

@@ -37,6 +37,17 @@ TOPK_TYPE = T.StructType([
     T.StructField("itemDataTypeDDL", T.StringType()),
 ])
 
+# Smallest or largest value in its own type, where a double would lose digits: a number as its floor and
+# the part above it (up to 37 decimals), a point in time, a date, or the first characters of a text.
+EXTREME_TYPE = T.StructType([
+    T.StructField("integer", T.DecimalType(38, 0)),
+    T.StructField("fraction", T.DecimalType(38, 37)),
+    T.StructField("time", T.TimestampType()),
+    T.StructField("date", T.DateType()),
+    T.StructField("text", T.StringType()),
+])
+EXTREME_TEXT = 64                    # characters kept of a text, so that a row's size is bounded
+
 # Key columns of a profile row (one profile = one value of these).
 PROFILE_KEYS = ("name", "dataset_timestamp", "tags")
 
@@ -57,8 +68,10 @@ STAT_FIELDS = (
     ("kll", T.BinaryType()),
     ("theta", T.BinaryType()),
     ("topk", TOPK_TYPE),
+    ("low", EXTREME_TYPE),
+    ("high", EXTREME_TYPE),
 )
-EXACT_FIELDS = tuple(n for n, _ in STAT_FIELDS if n not in ("kll", "theta", "topk"))
+EXACT_FIELDS = tuple(n for n, _ in STAT_FIELDS if n not in ("kll", "theta", "topk", "low", "high"))
 
 
 @dataclass(frozen=True)
@@ -104,6 +117,38 @@ def _typed_null(dtype: T.DataType) -> Column:
     return F.lit(None).cast(dtype)
 
 
+def _exact_view(c: Column, dt: T.DataType, opts: ProfileOptions) -> Column | None:
+    """What the typed extremes of a column are taken of; None where min and max as doubles say it all.
+
+    Texts only beside the sketches: their aggregate has no fixed size, which makes plain aggregates sort.
+    """
+    if isinstance(dt, tc.INTEGRAL_TYPES):
+        return c.cast("bigint")
+    if isinstance(dt, T.StringType):
+        return F.substring(c, 1, EXTREME_TEXT) if opts.sketches else None
+    return c if isinstance(dt, (T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)) else None
+
+
+def _extreme(v: Column, dt: T.DataType) -> Column:
+    number = isinstance(dt, (*tc.INTEGRAL_TYPES, T.DecimalType))
+    parts = {"integer": F.floor(v) if number else None,
+             "fraction": (F.pmod(v, F.lit(1)) if isinstance(dt, T.DecimalType) and dt.scale else F.lit(0) + v * 0) if number else None,
+             "time": v if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) else None,
+             "date": v if isinstance(dt, T.DateType) else None, "text": v if isinstance(dt, T.StringType) else None}
+    return F.struct(*[(parts[f.name] if parts[f.name] is not None else F.lit(None)).cast(f.dataType).alias(f.name) for f in EXTREME_TYPE])
+
+
+def extreme_text(x: Column) -> Column:
+    """A typed extreme as text: a number without needless zeros, an ISO date or time, or the text itself; null without values."""
+    integer, fraction = x["integer"], x["fraction"]
+    below = (integer < 0) & (fraction > 0)       # -1.5 is kept as -2 and 0.5
+    whole = F.when(below, F.concat(F.lit("-"), (-(integer + 1)).cast("string"))).otherwise(integer.cast("string"))
+    rest = F.when(below, F.lit(1).cast("decimal(38,37)") - fraction).otherwise(fraction)
+    digits = F.rtrim(F.substring_index(rest.cast("decimal(38,37)").cast("string"), ".", -1), F.lit("0"))
+    number = F.when(fraction > 0, F.concat(whole, F.lit("."), digits)).otherwise(whole)
+    return F.coalesce(number, x["time"].cast("string"), x["date"].cast("string"), x["text"])
+
+
 def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
     """Per-column derived values, aggregate expressions and a builder of its stat struct.
 
@@ -144,6 +189,9 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
             F.avg(num).alias(p + "mean"),
             F.var_pop(num).alias(p + "var"),
         ]
+    exact = _exact_view(c, dt, opts)
+    if exact is not None:
+        aggs += [F.min(exact).alias(p + "low"), F.max(exact).alias(p + "high")]
     sketchable = not isinstance(dt, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
     if opts.sketches and num is not None:
         aggs.append(F.call_function("kll_sketch_agg_double", num, F.lit(opts.kll_k))
@@ -191,6 +239,8 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
                          "m2": F.when(n > 0, g("var") * n)})
         else:
             vals["n"] = zero
+        if exact is not None:
+            vals.update({"low": _extreme(g("low"), dt), "high": _extreme(g("high"), dt)})
         if opts.sketches and num is not None:
             vals["kll"] = g("kll")
         if opts.sketches and sketchable:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import typeclass as tc
-from tallyframe.operators.profile import PROFILE_KEYS, ProfileOptions
+from tallyframe.operators.profile import PROFILE_KEYS, ProfileOptions, extreme_text
 
 # Quantiles reported by the flat summary (own choice).
 SUMMARY_QUANTILES = (0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0)
@@ -76,7 +76,8 @@ def summary_table(profiles: DataFrame, options: ProfileOptions = ProfileOptions(
             F.col("type_unknown").alias("type_unknown_count"),
             inferred_dtype_col().alias("inferred_dtype"),
             dtype_fraction_col().alias("dtype_fraction"),
-            "min", "max", "mean", stddev_col().alias("stddev"),
+            "min", "max", extreme_text(F.col("low")).alias("min_value"), extreme_text(F.col("high")).alias("max_value"),
+            "mean", stddev_col().alias("stddev"),
             est.alias("nunique_str"), lo.alias("nunique_str_lower"), hi.alias("nunique_str_upper")]
     for i, qq in enumerate(quantiles):
         cols.append(q[i].alias(f"quantile_{qq:g}".replace(".", "_")))

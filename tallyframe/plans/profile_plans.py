@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 from tallyframe.operators import stats
 from tallyframe.operators.merge import merge_profiles
 from tallyframe.operators.profile import ProfileOptions, profile, profiling_session, segment_label
-from tallyframe.operators.summary import (distinct_estimate, dtype_fraction_col, exact_view,
+from tallyframe.operators.summary import (distinct_estimate, dtype_fraction_col, exact_view, flat_summary,
                                           inferred_dtype_col, summary_table, transpose)
 from tallyframe.plans.registry import register
 from tallyframe.plans.sqlgen import inferred_sql, kinds, month_range, profile_sql
@@ -540,3 +540,21 @@ def parse_month(spark, sf_dir):
     return o.select("o_orderkey", text.alias("issue_d"),
                     F.try_to_timestamp(F.concat(F.lit("01-"), text), F.lit("dd-MMM-yyyy"))
                     .cast("timestamp").alias("issue_ts"))
+
+
+EXTREMES = {  # column: (Spark, DuckDB) of a value that a double would round or that is no number
+    "key": "o_orderkey + 9007199254740993", "price": "CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DECIMAL(30, 20)) - 250000.00000000000000000001", "ordered": "o_orderdate",
+    "day": "CAST(o_orderdate AS DATE)", "priority": "o_orderpriority"}
+
+
+@register("profile_extremes", sql="\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", rtrim(CAST(min({e}) AS VARCHAR), '{"0." if c == "price" else ""}') AS min_value,
+  rtrim(CAST(max({e}) AS VARCHAR), '{"0." if c == "price" else ""}') AS max_value FROM orders""" for c, e in EXTREMES.items()))
+def profile_extremes(spark, sf_dir):
+    """Smallest and largest value in its own type, of three profiles merged: integers past 2^53,
+    decimals, times, dates and texts as they are."""
+    o = table(spark, sf_dir, "orders")
+    rows = o.select("o_orderkey", *[F.expr(e).alias(c) for c, e in EXTREMES.items()])
+    parts = [profile(rows.filter(F.col("o_orderkey") % 3 == i).drop("o_orderkey"), "orders") for i in range(3)]
+    merged = merge_profiles(parts[0].unionByName(parts[1]).unionByName(parts[2]), by=("name", "column"))
+    return flat_summary(merged)["summary"].select("column", "min_value", "max_value")

@@ -67,11 +67,11 @@ def latest(profiles: DataFrame, by=("name", "column"), order: str = "dataset_tim
 def flat_schema() -> T.StructType:
     """Column types of the flat summary CSV that ``writers.write_flat`` writes."""
     from tallyframe.operators.summary import SUMMARY_QUANTILES
-    text = ("name", "session_id", "tags", "column", "inferred_dtype", "most_common")
+    text = ("name", "session_id", "tags", "column", "inferred_dtype", "min_value", "max_value", "most_common")
     counts = ("count", "null_count", "type_null_count", "type_integral_count", "type_fractional_count",
               "type_boolean_count", "type_string_count", "type_unknown_count", "nunique_str")
     order = ["name", "session_id", "dataset_timestamp", "tags", "column", *counts[:8], "inferred_dtype",
-             "dtype_fraction", "min", "max", "mean", "stddev", "nunique_str", "nunique_str_lower",
+             "dtype_fraction", "min", "max", "min_value", "max_value", "mean", "stddev", "nunique_str", "nunique_str_lower",
              "nunique_str_upper", *[f"quantile_{q:g}".replace(".", "_") for q in SUMMARY_QUANTILES], "most_common"]
     kind = lambda c: (T.StringType() if c in text else T.LongType() if c in counts
                       else T.TimestampType() if c == "dataset_timestamp" else T.DoubleType())

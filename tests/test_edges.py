@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tallyframe.operators import drift as D
 from tallyframe.operators import shaping as S
 from tallyframe.operators import stats
-from tallyframe.operators.profile import ProfileOptions, profile
+from tallyframe.operators.merge import merge_profiles
+from tallyframe.operators.profile import ProfileOptions, extreme_text, profile
 from tallyframe.operators.quantiles import exact_quantiles_columns
 from tallyframe.operators.summary import histogram_table
 from tallyframe.sources import files, writers
@@ -155,3 +156,26 @@ def test_stores_keep_name_time_and_tags(spark, tmp_path):
     assert "tags" in spark.read.json(out["hist"]).columns
     with pytest.raises(ValueError):
         writers.write_all(p, [writers.WriterConfig(f"{tmp_path}/w", formats=["xml"])], "n")
+
+
+def test_typed_extremes_merge_exactly(spark, tmp_path):
+    wide = "12345678901234567890123456789012345678"
+    rows = [(2**53 + 1, wide, "-0.5", "1.25", "2024-02-29", "z" * 100), (-(2**63), "-" + wide, "-1.5", "-0.000000000000000000000001", "1582-10-15", "Ä"),
+            (2**63 - 1, None, None, None, "9999-12-31", ""), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "a long, b string, c string, d string, e string, f string").select(
+        "a", F.col("b").cast("decimal(38,0)").alias("b"), F.col("c").cast("decimal(5,1)").alias("c"), F.col("d").cast("decimal(30,24)").alias("d"),
+        F.col("e").cast("date").alias("e"), F.col("e").cast("timestamp").alias("t"), F.col("f"), F.col("a").cast("double").alias("x"))
+    want = {"a": (str(-(2**63)), str(2**63 - 1)), "b": ("-" + wide, wide), "c": ("-1.5", "-0.5"), "d": ("-0.000000000000000000000001", "1.25"),
+            "e": ("1582-10-15", "9999-12-31"), "t": ("1582-10-15 00:00:00", "9999-12-31 00:00:00"), "f": ("", "Ä"), "x": (None, None)}
+    look = lambda p: {r["column"]: (r["lo"], r["hi"]) for r in p.select("column", extreme_text(F.col("low")).alias("lo"), extreme_text(F.col("high")).alias("hi")).collect()}
+    assert look(profile(df, "d")) == want
+    each = [profile(df.filter(F.col("a").eqNullSafe(r[0])), "d") for r in rows]
+    merged = merge_profiles(each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3]))
+    merged.write.parquet(str(tmp_path / "p"))
+    assert look(spark.read.parquet(str(tmp_path / "p"))) == want
+    assert look(profile(df.filter("a = 9007199254740993"), "d"))["a"] == ("9007199254740993",) * 2
+    assert look(profile(df, "d", options=ProfileOptions(tree_fanout=3))) == want
+    assert look(profile(df.limit(0), "d")) == {c: (None, None) for c in want}
+    # as numbers, not as rounded doubles, in the flat file
+    flat = {r["column"]: r["max_value"] for r in files.read_flat_summary(spark, writers.write_flat(merged, str(tmp_path / "f"))["summary"]).collect()}
+    assert flat["b"] == wide and flat["a"] == str(2**63 - 1) and flat["d"] == "1.25"
