@@ -37,7 +37,7 @@ TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 3
 
 
 def _tagged(batches):
-    """Terms of each text, every one behind a blank and its language in hexadecimal signs.
+    """Terms of each text, every one behind a blank and its language (in hexadecimal signs behind % if not ASCII letters).
 
     ``kinds`` holds each term of the document once, ``some`` those in 1/SAMPLE of the hash space.
     """
@@ -49,7 +49,7 @@ def _tagged(batches):
         for lang, text in zip(langs, column(b, "text")):
             words = text.translate(TABLE).split()
             once = set(words)
-            tag = b" " + lang.hex().encode() + b":"
+            tag = b" " + (lang if lang.isalpha() else b"%" + lang.hex().encode()) + b":"
             few = [w for w in once if crc32(w) % SAMPLE == 0]
             for out, w in ((terms, words), (kinds, once), (some, few)):
                 out.append(tag + tag.join(w) if w else b"")
@@ -73,7 +73,9 @@ def _parts(terms: DataFrame, min_docs: int, part_terms: int) -> int:
 def _untag(df: DataFrame) -> DataFrame:
     """lang and term of a tagged term."""
     return (df.withColumn("term", F.substring_index("t", ":", -1))
-            .withColumn("lang", F.decode(F.unhex(F.substring_index("t", ":", 1)), "UTF-8")).drop("t"))
+            .withColumn("lang", F.substring_index("t", ":", 1)).drop("t")
+            .withColumn("lang", F.when(F.col("lang").startswith("%"), F.decode(F.unhex(F.expr("substring(lang, 2)")), "UTF-8"))
+                        .otherwise(F.col("lang"))))
 
 
 def _group_sums(terms: DataFrame, min_docs: int, part: int, parts: int) -> tuple[DataFrame, DataFrame]:
@@ -93,8 +95,8 @@ def _group_sums(terms: DataFrame, min_docs: int, part: int, parts: int) -> tuple
     words = (spark.read.parquet(path + "/data").select(F.posexplode("vocabulary").alias("i", "t"))
              .where("t != ''"))
     vectors = model.transform(terms.select("source", bag("terms").alias("bag"))).select("source", F.unwrap_udt("vector").alias("v"))
-    sums = (vectors.select("source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("x"))
-            .groupBy("source", F.col("x.indices").alias("i")).agg(F.sum("x.values").cast("long").alias("n")))
+    sums = (vectors.select("source", "v.values", F.posexplode("v.indices").alias("at", "i"))
+            .groupBy("source", "i").agg(F.sum(F.get("values", F.col("at"))).cast("long").alias("n")))
     counts = _untag(sums.join(words, "i").drop("i"))
     return _untag(words).select("lang", "term"), materialise(counts.select("lang", "source", "term", "n"), "audit-counts")
 
