@@ -5,7 +5,9 @@ digits stay digits (numbers are permuted by a small keyed Feistel network, so
 different numbers of one length never meet), card numbers that pass the
 Luhn check still do, address octets keep their digit count, letters keep
 their script and case, mail addresses of one domain share a new domain,
-titled names keep their title, gender and capitals.  Replacements depend on the key, kind and
+titled names keep their title, gender, hyphens and capitals.  A name is known by
+its title; from there on each of its words is replaced wherever it stands capitalised in that
+document, with or without a title.  Replacements depend on the key, kind and
 canonical form alone, so one entity has one surrogate in all documents
 and spellings.  All distinct entities are checked: a surrogate that two of them share,
 or that is itself an entity of the corpus, is drawn again, and again, growing
@@ -23,8 +25,14 @@ from tallyframe.llm.common import materialise
 TITLES = {"m": ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Господин", "Κύριος"),
           "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа", "Κυρία"),
           "n": ("Dr", "Prof")}
-_WORD = r"\p{Lu}\p{Ll}+"
-NAME = (r"(?<!\p{L})(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? " + _WORD + "(?: " + _WORD + ")?")
+#: One word of a name: capitalised, of two letters or more, an O' before it belongs to it.
+WORD = r"(?<!\p{L})(?:\p{Lu}['’](?=\p{Lu}))?\p{Lu}\p{L}++"
+INITIAL = r"(?<!\p{L})\p{Lu}(?!['’]?\p{L})"
+_DOUBLE = r"(?:\p{Lu}['’](?=\p{Lu}))?\p{Lu}\p{L}++(?:-\p{Lu}\p{L}++){0,3}"
+_NAMED = r"(?:\p{Lu}\.? ){0,3}" + _DOUBLE
+# in capitals a title needs its dot: MISS and SIR are words of headlines too
+NAME = (r"(?<!\p{L})(?:(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.?|(?:MR|MRS|MS|DR|PROF)\.) "
+        + _NAMED + "(?: " + _NAMED + ")?")
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # Repeats without a small bound are possessive: Java's matcher else calls itself once for each, and long runs exhaust its stack.
 KINDS = [  # order decides where patterns overlap
@@ -158,16 +166,16 @@ def _kind(m: str) -> str:
 
 
 def _gender(m: str) -> str:
-    out = " ".join(f"when {m} rlike {_lit('^(?:' + '|'.join(TITLES[g]) + ')[.]? ')} then '{g}'" for g in ("m", "f"))
+    out = " ".join(f"when {m} rlike {_lit('(?iu)^(?:' + '|'.join(TITLES[g]) + ')[.]? ')} then '{g}'" for g in ("m", "f"))
     return f"case {out} else 'n' end"
 
 
 def _parts(m: str) -> str:
-    """SQL: the (kind, canon) entities of a mention; a titled name has up to two."""
-    words = f"split(regexp_replace({m}, '^[^ ]+ ', ''), ' ')"
-    name = (f"if(size({words}) > 1, array(named_struct('kind', concat('first_', {_gender(m)}), 'canon', lower({words}[0])), "
-            f"named_struct('kind', 'last', 'canon', lower({words}[1]))), "
-            f"array(named_struct('kind', 'last', 'canon', lower({words}[0]))))")
+    """SQL: the (kind, canon) entities of a mention; a titled name has one for each of its words."""
+    words = (f"filter(split(regexp_replace({m}, '^[^ ]+ ', ''), ' '), t -> t rlike {_lit(WORD)})")
+    # the first of two words is a first name, the others last names; each side of a hyphen is a word of its own
+    name = (f"flatten(transform({words}, (t, i) -> transform(regexp_extract_all(t, {_lit(WORD)}, 0), e -> named_struct("
+            f"'kind', if(i = 0 and size({words}) > 1, concat('first_', {_gender(m)}), 'last'), 'canon', lower(e)))))")
     digits = f"regexp_replace({m}, '[^0-9]', '')"
     return (f"transform(array({_kind(m)}), k -> case when k = 'name' then {name} else array(named_struct('kind', k, 'canon', "
             f"case when k in ('phone', 'card', 'ssn') then {digits} when k = 'iban' then replace({m}, ' ', '') else lower({m}) end)) end)[0]")
@@ -183,8 +191,32 @@ def _pour(m: str, kind: str, s: str) -> str:
     return (f"case when {kind} in ('phone', 'card', 'ssn') then {digits} when {kind} = 'iban' then {spaced} else {cased} end")
 
 
+def _turned(c: str, key: str) -> str:
+    """SQL: an initial, moved along its alphabet by a keyed step, so that different initials stay different."""
+    out = f"lower({c})"
+    for letters, _ in ALPHABETS:
+        step = f"(1 + cast(conv(substring(sha2({_lit(key + '|initial')}, 256), 1, 8), 16, 10) as bigint) % {len(letters) - 1})"
+        out = f"translate({out}, '{letters}', substring('{letters * 2}', cast(1 + {step} as int), {len(letters)}))"
+    return f"upper({out})"
+
+
+def _rewrite(t: str, key: str | None = None) -> str:
+    """SQL: ``t`` with the words of ``_pii_words`` replaced; with a key, initials too (inside a titled name)."""
+    pattern = _lit(WORD if key is None else WORD + "|" + INITIAL)
+    s = "_pii_words[lower(w)]"
+    new = f"if(w = upper(w), upper({s}), concat(upper(substring({s}, 1, 1)), substring({s}, 2)))"
+    if key is not None:
+        new = f"if(length(w) = 1, {_turned('w', key)}, {new})"
+    return (f"array_join(flatten(zip_with(split({t}, {pattern}, -1), regexp_extract_all({t}, {pattern}, 0), "
+            f"(u, w) -> array(u, coalesce({new}, w, '')))), '')")
+
+
 def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "surrogate-key-1") -> DataFrame:
-    """``docs`` with entities in the text replaced, and ``n_entities`` (mentions found; replaced if there).
+    """``docs`` with entities in the text replaced, and ``n_entities`` (mentions found, and words of a
+    titled name that stand elsewhere in the document; replaced if there).
+
+    A name without a title anywhere in its document is not found; an initial is replaced
+    inside a titled name only.
 
     Rows keep their number, order of columns and all other columns.  Null texts stay null with 0
     entities, empty texts empty; texts of any length are read whole; repeated texts get
@@ -202,19 +234,26 @@ def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "s
     each = found.select("_pii_k1", "_pii_k2", F.explode("ms").alias("m")).withColumn("parts", F.expr(_parts("m")))
     ents = materialise(each.select(F.explode("parts").alias("p")).select("p.kind", "p.canon").distinct(), "pii-entities")
     table = assign(ents, key)
-    part = each.select("_pii_k1", "_pii_k2", "m", F.posexplode("parts").alias("i", "p")).select("*", "p.kind", "p.canon").drop("p")
+    part = each.select("_pii_k1", "_pii_k2", "m", F.explode("parts").alias("p")).select("*", "p.kind", "p.canon").drop("p")
     done = part.join(table, ["kind", "canon"])
-    # a mention's one or two parts, put back in its format
-    whole = (done.groupBy("_pii_k1", "_pii_k2", "m").agg(F.sort_array(F.collect_list(F.struct("i", "kind", "surrogate"))).alias("s"))
-             .withColumn("r", F.expr("if(s[0].kind in ('last', 'first_m', 'first_f', 'first_n'), "
-                                     "concat(substring_index(m, ' ', 1), ' ', array_join(transform(s, x -> initcap(x.surrogate)), ' ')), "
-                                     + _pour("m", "s[0].kind", "s[0].surrogate") + ")")))
-    maps = materialise(whole.groupBy("_pii_k1", "_pii_k2").agg(
-        F.map_from_entries(F.collect_list(F.struct("m", "r"))).alias("_pii_map")), "pii-maps")
+    is_name = F.col("kind").isin("last", "first_m", "first_f", "first_n")
+    # whole mentions by their text; names word by word, a word that is both first and last name as first name
+    poured = F.when(~is_name, F.struct("m", F.expr(_pour("m", "kind", "surrogate")).alias("r")))
+    word = F.when(is_name, F.struct("canon", "kind", "surrogate"))
+    words = F.sort_array(F.collect_set(word))
+    maps = materialise(done.groupBy("_pii_k1", "_pii_k2").agg(
+        F.map_from_entries(F.collect_list(poured)).alias("_pii_map"), words.alias("w"))
+        .withColumn("w", F.expr("filter(w, (x, i) -> i = 0 or x.canon != w[i - 1].canon)"))
+        .select("_pii_k1", "_pii_k2", "_pii_map",
+                F.expr("map_from_entries(transform(w, x -> struct(x.canon, x.surrogate)))").alias("_pii_words")), "pii-maps")
     # one join plan at every size: the maps grow with the input
     joined = named.select("*", *keys).join(maps.hint("merge"), ["_pii_k1", "_pii_k2"], "left")
-    rebuilt = F.expr(f"if(_pii_map is null, {text_col}, array_join(flatten(zip_with(split({text_col}, {_lit(ANY)}, -1), "
-                     f"regexp_extract_all({text_col}, {_lit(ANY)}, 0), (t, m) -> array(t, coalesce(_pii_map[m], m, '')))), ''))")
-    count = F.expr(f"if(_pii_map is null, 0, size(regexp_extract_all({text_col}, {_lit(ANY)}, 0)))")
+    pieces, mentioned = f"split({text_col}, {_lit(ANY)}, -1)", f"regexp_extract_all({text_col}, {_lit(ANY)}, 0)"
+    between = f"if(size(_pii_words) = 0, t, {_rewrite('t')})"
+    rebuilt = F.expr(f"if(_pii_map is null, {text_col}, array_join(flatten(zip_with({pieces}, {mentioned}, "
+                     f"(t, m) -> array({between}, coalesce(_pii_map[m], {_rewrite('m', key)}, '')))), ''))")
+    later = (f"if(size(_pii_words) = 0, 0, aggregate({pieces}, 0, (a, t) -> a + size(filter(regexp_extract_all(t, {_lit(WORD)}, 0), "
+             "w -> _pii_words[lower(w)] is not null))))")
+    count = F.expr(f"if(_pii_map is null, 0, size({mentioned}) + {later})")
     return joined.withColumn("n_entities", count.cast("int")).withColumn(text_col, rebuilt).select(
         *safe, "n_entities").toDF(*kept, "n_entities")
