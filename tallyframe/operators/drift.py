@@ -100,19 +100,25 @@ def range_of(df: DataFrame, column: str, side: Column) -> tuple[float, float]:
     return r["lo"], r["hi"]
 
 
-def cell_table(df: DataFrame, column: str, side: Column, bins: Bins, sides) -> DataFrame:
+def cell_table(df: DataFrame, column: str, side: Column, bins: Bins, sides=None) -> DataFrame:
     """Dense long table (side, cell, count, pmf) for the given side labels.
 
     One grouped aggregate over the data; the grid of sides x cells is
     generated from the (short) side list and the cell count, not joined.
+    Without a list the sides are all labels of the data, which stay on the executors
+    (a label without values has count 0 and no shares).
     """
     x = numeric_view(F.col(quote(column)))
     counts = (df.filter(x.isNotNull())
               .groupBy(side.alias("side"), cell_of(x, bins).alias("cell"))
               .agg(F.count(F.lit(1)).alias("n")))
-    grid = df.sparkSession.range(0, bins.cells).select(
-        F.explode(F.array(*[F.lit(str(s)) for s in sides])).alias("side"),
-        F.col("id").cast("int").alias("cell"))
+    if sides is None:
+        every = F.sequence(F.lit(0), F.lit(bins.cells - 1))
+        grid = df.select(side.alias("side")).filter(F.col("side").isNotNull()).distinct().select("side", F.explode(every).alias("cell"))
+    else:
+        grid = df.sparkSession.range(0, bins.cells).select(
+            F.explode(F.array(*[F.lit(str(s)) for s in sides])).alias("side"),
+            F.col("id").cast("int").alias("cell"))
     dense = grid.join(counts, ["side", "cell"], "left").select(
         "side", "cell", F.coalesce("n", F.lit(0)).cast("bigint").alias("count"))
     # Each side has ``cells`` rows (about n_bins): bounded windows.

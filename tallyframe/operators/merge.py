@@ -60,8 +60,9 @@ def _simple_aggs(spark, stats, options: ProfileOptions) -> list[Column]:
         elif n in ("low", "high"):
             end = F.min if n == "low" else F.max
             number = end(F.when(c["integer"].isNotNull(), F.struct(c["integer"].alias("integer"), c["fraction"].alias("fraction"))))
-            aggs.append(F.struct(number["integer"].alias("integer"), number["fraction"].alias("fraction"),
-                                 *[end(c[f]).alias(f) for f in ("time", "date", "text")]).alias(n))
+            aggs.append(F.when(F.count(c) > 0, F.struct(
+                number["integer"].alias("integer"), number["fraction"].alias("fraction"),
+                *[end(c[f]).alias(f) for f in ("time", "date", "text")])).alias(n))
         elif n == "kll":
             aggs.append(F.expr("kll_merge_agg_double(kll)").alias("kll"))
         elif n == "theta":
@@ -122,3 +123,21 @@ def merge_profiles(profiles: DataFrame, by=DEFAULT_BY, options: ProfileOptions =
     out = _join_on_keys(first, second, by)
     ordered = [c for c in p.columns if c in set(by) | set(stats)]
     return out.select(*ordered)
+
+
+def trailing_merge(profiles: DataFrame, days: int, time: str = "dataset_timestamp", by=DEFAULT_BY,
+                   options: ProfileOptions = ProfileOptions()) -> DataFrame:
+    """For each profile row with a time: the whole rows of its series in the ``days`` days before it, merged.
+
+    Every field merges (counts, extremes, moments, KLL, theta, frequent items); ``profiles`` says how many
+    rows went in.  A row is copied to the days whose baseline it belongs to, so the range becomes an
+    equality and the merge its usual grouping.  Times must be day buckets.  Rows with an empty baseline are left out.
+    """
+    by = [k for k in by if k in profiles.columns]
+    rows = profiles.filter(F.col(time).isNotNull())
+    targets = rows.select(*by).distinct()
+    copies = rows.withColumn("__k", F.explode(F.sequence(F.lit(1), F.lit(days)))).withColumn(
+        time, F.col(time) + F.make_interval(days=F.col("__k"))).drop("__k")
+    wanted = _join_on_keys(copies, targets, by)
+    merged = merge_profiles(wanted, by=by, options=options)
+    return _join_on_keys(merged, wanted.groupBy(*by).agg(F.count(F.lit(1)).alias("profiles")), by)

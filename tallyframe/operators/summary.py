@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import typeclass as tc
 from tallyframe.operators.profile import PROFILE_KEYS, ProfileOptions, extreme_text
+from tallyframe.operators.ranks import finite_ends, quantile_grid, rows_below
 
 # Quantiles reported by the flat summary (own choice).
 SUMMARY_QUANTILES = (0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0)
@@ -87,58 +88,34 @@ def summary_table(profiles: DataFrame, options: ProfileOptions = ProfileOptions(
     return profiles.select(*cols)
 
 
-def _kll_bin_counts(bins: int):
-    """UDF: rows per equal-width bin by a stored KLL sketch of doubles, summing to its n.
-
-    Spark's KLL rank function needs constant split points and the edges differ per
-    profile row, so the sketch's kept values are read from its compact form: a value of
-    level i stands for 2^i rows.
-    """
-    def counts(kll, lo, hi):
-        import numpy as np   # all names local: the function travels without this package
-
-        data = bytes(kll)
-        if data[3] & 1:
-            return None      # empty
-        if data[0] == 2:     # a single value
-            values, weights = np.frombuffer(data, "<f8", 1, 8), np.ones(1, np.int64)
-        else:
-            levels = data[18]
-            starts = np.frombuffer(data, "<i4", levels, 20)
-            values = np.frombuffer(data, "<f8", -1, 20 + 4 * levels + 16)   # after min and max
-            ends = np.append(starts[1:], starts[0] + len(values))
-            weights = np.repeat(np.int64(1) << np.arange(levels), ends - starts)
-        width = (hi - lo) / bins
-        with np.errstate(invalid="ignore"):   # infinite ends leave no finite width
-            cell = np.nan_to_num(np.clip(np.floor((values - lo) / (width or 1)), 0, bins - 1)).astype(int)
-        out = np.zeros(bins, np.int64)
-        np.add.at(out, cell, weights)
-        # min and max are known to be rows: their bins hold one at least, taken from the fullest
-        for j in {0, bins - 1} if width > 0 else ():
-            if out[j] == 0:
-                out[out.argmax()] -= 1
-                out[j] = 1
-        return out.tolist()
-
-    return F.udf(counts, "array<bigint>")
-
-
 def histogram_table(profiles: DataFrame, bins: int = 30) -> DataFrame:
     """Equal-width histogram per numeric column, read from the KLL sketch.
 
-    The counts are the sketch's rank estimates between the bin edges and sum to n: all kept
-    values are counted with their weights, in the inner bins and at both ends.  A bin is off
-    by at most about 1.65 % of n (the sketch's error at k = 200, 99 % of the time); the bins of min and max never
-    show 0.  For exact tails use ``stats.equal_width_histogram``.
+    The counts are the sketch's rank estimates between the bin edges (``ranks.rows_below``) and sum to
+    n.  A bin is off by at most about 1.65 % of n (the sketch's error at k = 200, 99 % of the time);
+    the bins of min and max never show 0.  Equal values lie in the first bin.  If an end is infinite,
+    the edges span the finite values and infinite ones count in the end bins.
+    For exact tails use ``stats.equal_width_histogram``.
     """
     keys = [k for k in profiles.columns if k in PROFILE_KEYS]
-    p = profiles.filter(F.col("n") > 0).filter(F.col("kll").isNotNull())
-    lo, hi = F.col("min"), F.col("max")
-    width = (hi - lo) / bins
+    p = profiles.filter(F.col("n") > 0).filter(F.col("kll").isNotNull()).withColumn("__grid", quantile_grid(F.col("kll")))
+    lo, hi = finite_ends(F.col("__grid"), F.col("min").cast("double"), F.col("max").cast("double"))
+    p = p.withColumn("__lo", lo).withColumn("__hi", hi)
+    lo, hi, n = F.col("__lo"), F.col("__hi"), F.col("n")
+    width = hi / bins - lo / bins
     edges = F.transform(F.sequence(F.lit(0), F.lit(bins)),
                         lambda j: F.when(j == bins, hi).otherwise(lo + j * width))
-    counts = _kll_bin_counts(bins)("kll", lo.cast("double"), hi.cast("double"))
-    return p.select(*keys, "column", "n", edges.alias("bin_edges"), counts.alias("counts"))
+    spread = F.col("min") < F.col("max")   # then min lies below every inner edge, and max above
+
+    def below(edge: Column) -> Column:
+        rows = rows_below(F.col("__grid"), n, edge, width == 0)
+        return F.when(spread, F.least(F.greatest(rows, F.lit(1)), n - 1)).otherwise(n)
+
+    inner = F.transform(F.slice("bin_edges", F.lit(2), F.lit(bins - 1)), below) if bins > 1 else F.array().cast("array<bigint>")
+    cum = F.concat(F.array(F.lit(0).cast("bigint")), inner, F.array(n))
+    counts = F.transform(F.sequence(F.lit(1), F.lit(bins)), lambda j: F.element_at("__cum", j + 1) - F.element_at("__cum", j))
+    return (p.withColumn("bin_edges", edges).withColumn("__cum", cum)
+            .select(*keys, "column", "n", "bin_edges", counts.alias("counts")))
 
 
 def frequent_strings_table(profiles: DataFrame, top: int = 10) -> DataFrame:

@@ -7,11 +7,15 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tallyframe.operators import drift as D
+from tallyframe.operators import drift_table as T
+from tallyframe.operators.merge import trailing_merge
 from tallyframe.operators.profile import ProfileOptions, profile
-from tallyframe.operators.summary import exact_view
+from tallyframe.operators.ranks import RANK_ERROR
+from tallyframe.operators.summary import distinct_estimate, exact_view, kll_quantiles, stddev_col
 from tallyframe.plans.registry import register
 from tallyframe.plans.sqlgen import kinds, profile_sql
 from tallyframe.sources import baselines
+from tallyframe.session import scratch_path
 from tallyframe.sources.tables import table
 
 EXACT = ProfileOptions(sketches=False)
@@ -127,10 +131,9 @@ def pmf_overlay(spark, sf_dir):
     """Overlay of N profiles (one per event type) on linspace points."""
     e = table(spark, sf_dir, "events")
     side = F.col("event_type")
-    sides = [r[0] for r in e.select("event_type").distinct().collect()]  # profile names: few
     lo, hi = D.range_of(e, "value", side)
     bins = D.linspace_bins(lo, hi, 10)
-    long = D.cell_table(e, "value", side, bins, sides)
+    long = D.cell_table(e, "value", side, bins)
     return long.select("side", "cell", "count", F.round("pmf", 9).alias("pmf"))
 
 
@@ -172,33 +175,102 @@ TRAIL_DAYS = 7
 
 
 @register("baseline_trailing", sql=f"""
-WITH d AS (SELECT date_trunc('day', ts) AS day, count(*) AS n, min(value) AS mn, max(value) AS mx,
-             sum(value) AS s FROM events GROUP BY 1)
-SELECT t.day AS dataset_timestamp, 'value' AS "column", CAST(sum(b.n) AS BIGINT) AS baseline_count,
-  min(b.mn) AS baseline_min, max(b.mx) AS baseline_max, round(sum(b.s), 2) AS baseline_total,
-  CAST(count(*) AS BIGINT) AS baseline_profiles
-FROM d t JOIN d b ON b.day >= t.day - INTERVAL {TRAIL_DAYS} DAY AND b.day <= t.day - INTERVAL 1 DAY
-GROUP BY t.day""")
+WITH b AS (SELECT e.value, k.k, date_trunc('day', e.ts) + k.k * INTERVAL 1 DAY AS day, date_trunc('day', e.ts) AS own
+           FROM events e, (SELECT unnest(range(1, {TRAIL_DAYS} + 1)) AS k) k)
+SELECT day AS dataset_timestamp, 'value' AS "column", CAST(count(*) AS BIGINT) AS baseline_count,
+  CAST(count(*) - count(value) AS BIGINT) AS baseline_nulls,
+  min(value) AS baseline_min, max(value) AS baseline_max, round(sum(value), 2) AS baseline_total,
+  round(stddev_samp(value), 4) AS baseline_stddev, CAST(count(DISTINCT own) AS BIGINT) AS baseline_profiles,
+  true AS median_in_bound, true AS distinct_in_bound
+FROM b WHERE day IN (SELECT date_trunc('day', ts) FROM events) GROUP BY day""")
 def baseline_trailing(spark, sf_dir):
-    """Trailing-window baseline: profiles of the previous N days merged.
-
-    Each daily profile is copied to the N days whose baseline it belongs to
-    (an explode of N offsets), so the window becomes an equi-grouping on
-    (target day, column) - no range join.
-    """
+    """Trailing-window baseline: the stored whole profiles of the previous N days merged, with all
+    fields; the merged sketches' median and distinct count are held against the raw window."""
     e = table(spark, sf_dir, "events").select("ts", "value")
-    daily = profile(e, "events", time_column="ts", grain="day", options=EXACT)
-    shifted = daily.select("*", F.explode(F.sequence(F.lit(1), F.lit(TRAIL_DAYS))).alias("k")) \
-        .withColumn("target", F.col("dataset_timestamp") + F.make_interval(days=F.col("k")))
-    base = shifted.groupBy("target", "column").agg(
-        F.sum("count").cast("bigint").alias("baseline_count"),
-        F.min("min").alias("baseline_min"), F.max("max").alias("baseline_max"),
-        F.round(F.sum(F.col("mean") * F.col("n")), 2).alias("baseline_total"),
-        F.count(F.lit(1)).cast("bigint").alias("baseline_profiles"))
-    days = daily.select(F.col("dataset_timestamp").alias("target"), "column")
-    return days.join(base, ["target", "column"]).select(
-        F.col("target").cast("timestamp").alias("dataset_timestamp"), "column", "baseline_count",
-        "baseline_min", "baseline_max", "baseline_total", "baseline_profiles")
+    path = scratch_path(spark, "daily")
+    profile(e, "events", time_column="ts", grain="day").write.parquet(path)
+    base = trailing_merge(spark.read.parquet(path), TRAIL_DAYS)
+    day = F.col("dataset_timestamp").cast("timestamp").alias("dataset_timestamp")
+    est, low, high = distinct_estimate()
+    base = base.select(day, "column", F.col("count").alias("baseline_count"), F.col("null_count").alias("baseline_nulls"),
+                       F.col("min").alias("baseline_min"), F.col("max").alias("baseline_max"),
+                       F.round(F.col("mean") * F.col("n"), 2).alias("baseline_total"), F.round(stddev_col(), 4).alias("baseline_stddev"),
+                       F.col("profiles").alias("baseline_profiles"), kll_quantiles([0.5])[0].alias("median"), low.alias("low"), high.alias("high"))
+    raw = e.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(TRAIL_DAYS)))).select(
+        (F.date_trunc("day", "ts") + F.make_interval(days=F.col("k"))).cast("timestamp").alias("dataset_timestamp"), "value")
+    seen = raw.join(base.select("dataset_timestamp", "median"), "dataset_timestamp")
+    held = (seen.groupBy("dataset_timestamp", "value").agg(F.count(F.lit(1)).alias("c"), F.first("median").alias("median"))
+            .filter(F.col("value").isNotNull()).groupBy("dataset_timestamp").agg(
+                F.sum("c").alias("n"), F.count(F.lit(1)).alias("distinct"), F.sum(F.when(F.col("value") < F.col("median"), F.col("c")).otherwise(0)).alias("below"),
+                F.sum(F.when(F.col("value") <= F.col("median"), F.col("c")).otherwise(0)).alias("upto")))
+    return base.join(held, "dataset_timestamp").select(
+        *[c for c in base.columns if c not in ("median", "low", "high")],
+        ((F.col("below") / F.col("n") <= 0.5 + 0.0133) & (F.col("upto") / F.col("n") >= 0.5 - 0.0133)).alias("median_in_bound"),
+        F.col("distinct").between(F.col("low"), F.col("high")).alias("distinct_in_bound"))
+
+
+# --- drift over a profile table ------------------------------------------------------
+
+TABLE_BINS = 10
+TABLE_COLUMNS = ("value", "user_id")
+_UNION = "\nUNION ALL\n".join(
+    f"SELECT date_trunc('day', ts) AS day, '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM events WHERE {c} IS NOT NULL" for c in TABLE_COLUMNS)
+
+
+_CELL = " + ".join(f"CAST(v.x >= p.lo + {j} * (p.hi / {TABLE_BINS} - p.lo / {TABLE_BINS}) AS INTEGER)" for j in range(1, TABLE_BINS))
+
+
+@register("drift_over_time", sql=f"""
+WITH v AS ({_UNION}),
+d AS (SELECT col, day, min(x) AS mn, max(x) AS mx FROM v GROUP BY 1, 2),
+pairs AS (SELECT *, least(mn, rmn) AS lo, greatest(mx, rmx) AS hi FROM (
+  SELECT col, day, mn, mx, lag(day) OVER w AS ref, lag(mn) OVER w AS rmn, lag(mx) OVER w AS rmx FROM d
+  WINDOW w AS (PARTITION BY col ORDER BY day)) WHERE ref IS NOT NULL),
+c AS (SELECT p.col, p.day, p.ref, v.day = p.day AS own,
+        {_CELL} AS cell
+      FROM v JOIN pairs p ON v.col = p.col AND (v.day = p.day OR v.day = p.ref)),
+n AS (SELECT col, day, ref, cell, count(*) FILTER (WHERE NOT own) AS a, count(*) FILTER (WHERE own) AS b FROM c GROUP BY 1, 2, 3, 4),
+s AS (SELECT *, a / sum(a) OVER g AS p, b / sum(b) OVER g AS q, sum(a) OVER o / sum(a) OVER g AS cp, sum(b) OVER o / sum(b) OVER g AS cq
+      FROM n WINDOW g AS (PARTITION BY col, day), o AS (PARTITION BY col, day ORDER BY cell))
+SELECT col AS "column", day AS dataset_timestamp, ref AS reference, CAST(sum(a) AS BIGINT) AS n_reference, CAST(sum(b) AS BIGINT) AS n,
+  round(max(abs(cp - cq)), 6) AS ks, round(sum(least(p, q)), 6) AS intersection,
+  round(sum((p - q) * ln(greatest(p, 1e-9) / greatest(q, 1e-9))), 6) AS psi,
+  round(sum(CASE WHEN p > 0 THEN p / 2 * ln(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q / 2 * ln(2 * q / (p + q)) ELSE 0 END), 6) AS js,
+  round(sqrt(greatest(1 - sum(sqrt(p * q)), 0)), 6) AS hellinger, true AS ranks_in_bound, true AS distances_follow
+FROM s GROUP BY 1, 2, 3""")
+def drift_over_time(spark, sf_dir):
+    """D1-D6 over a stored profile table: every column's day against the day before, in one job.
+
+    The exact distances at the same edges are returned (one pass over the events); beside them, whether the
+    stored sketches' shares lie within their rank error at every edge, and whether the distances read from
+    the profiles differ from the exact ones by no more than those share errors allow."""
+    e = table(spark, sf_dir, "events").select("ts", *TABLE_COLUMNS)
+    path = scratch_path(spark, "daily")
+    profile(e, "events", time_column="ts", grain="day").write.parquet(path)
+    got = T.consecutive_drift(spark.read.parquet(path), TABLE_BINS).select(
+        "column", F.col("dataset_timestamp").cast("timestamp").alias("dataset_timestamp"), F.col("reference").cast("timestamp").alias("reference"),
+        "lo", "hi", "cum_reference", "cum", "ks", "intersection")
+    long = e.select(F.date_trunc("day", "ts").alias("at"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in TABLE_COLUMNS])).alias("v")).select("at", "v.*").filter("x IS NOT NULL")
+    pairs = got.select("column", "dataset_timestamp", "lo", "hi", F.explode(F.array(
+        F.struct(F.col("reference").alias("at"), F.lit(False).alias("own")), F.struct(F.col("dataset_timestamp").alias("at"), F.lit(True).alias("own")))).alias("s")) \
+        .select("column", "dataset_timestamp", "lo", "hi", "s.*")
+    at = lambda j: F.col("x") < F.element_at(T.inner_edges(F.col("lo"), F.col("hi"), TABLE_BINS), j)
+    sides = {"a": ~F.col("own"), "b": F.col("own")}
+    exact = long.join(pairs, ["column", "at"]).groupBy("column", "dataset_timestamp").agg(
+        *[F.count_if(f).alias(f"n{s}") for s, f in sides.items()],
+        *[F.count_if(f & at(j)).alias(f"{s}{j}") for s, f in sides.items() for j in range(1, TABLE_BINS)])
+    cum = {s: F.array(*[F.col(f"{s}{j}") / F.col(f"n{s}") for j in range(1, TABLE_BINS)]) for s in sides}
+    both = got.join(exact.select("column", "dataset_timestamp", "na", "nb", cum["a"].alias("ca"), cum["b"].alias("cb")), ["column", "dataset_timestamp"])
+    off = F.concat(F.zip_with("ca", "cum_reference", lambda x, y: F.abs(x - y)), F.zip_with("cb", "cum", lambda x, y: F.abs(x - y)))
+    d = T.distances(F.col("ca"), F.col("cb"))
+    summed = F.aggregate(off, F.lit(1e-9), lambda s, x: s + x)
+    return both.select(
+        "column", "dataset_timestamp", "reference", F.col("na").alias("n_reference"), F.col("nb").alias("n"),
+        *[F.round(d[k], 6).alias(k) for k in ("ks", "intersection", "psi", "js", "hellinger")],
+        (F.array_max(off) <= RANK_ERROR).alias("ranks_in_bound"),
+        ((F.abs(d["ks"] - F.col("ks")) <= 2 * F.array_max(off) + 1e-9)
+         & (F.abs(d["intersection"] - F.col("intersection")) <= summed)).alias("distances_follow"))
 
 
 # --- K9: named reference profiles ------------------------------------------------------

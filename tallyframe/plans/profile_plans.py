@@ -15,6 +15,7 @@ from tallyframe.operators.summary import (distinct_estimate, dtype_fraction_col,
 from tallyframe.plans.registry import register
 from tallyframe.plans.sqlgen import inferred_sql, kinds, month_range, profile_sql
 from tallyframe.session import scratch_path
+from tallyframe.sources import files
 from tallyframe.sources.tables import table
 
 EXACT = ProfileOptions(sketches=False)
@@ -234,7 +235,7 @@ def profile_grouped(spark, sf_dir):
     """A2: orders profiled by month and order status."""
     o = table(spark, sf_dir, "orders")
     p = (profiling_session(o, "orders").with_time_column("o_orderdate", "month")
-         .group_by("o_orderstatus").with_options(sketches=False).agg_profiles())
+         .group_by("o_orderstatus").agg_profiles())
     return exact_view(p, extra_keys=[_ts_key(), segment_label().alias("segment")])
 
 
@@ -254,7 +255,7 @@ def profile_by_day(spark, sf_dir):
 def profile_by_year(spark, sf_dir):
     """One profile per calendar year (UTC)."""
     o = table(spark, sf_dir, "orders")
-    p = profile(o, "orders", time_column="o_orderdate", grain="year", options=EXACT)
+    p = profile(o, "orders", time_column="o_orderdate", grain="year")
     return exact_view(p, extra_keys=[_ts_key()])
 
 
@@ -469,11 +470,10 @@ def profile_roundtrip(spark, sf_dir):
 def latest_profile(spark, sf_dir):
     """Most recent stored profile per column (max_by over the timestamp)."""
     o = table(spark, sf_dir, "orders")
-    monthly = profile(o, "orders", time_column="o_orderdate", grain="month", options=EXACT)
-    fields = [c for c in monthly.columns if c not in ("name", "column")]
-    latest = monthly.groupBy("name", "column").agg(
-        F.max_by(F.struct(*fields), "dataset_timestamp").alias("p")).select("name", "column", "p.*")
-    return exact_view(latest, extra_keys=[_ts_key()])
+    path = scratch_path(spark, "monthly")
+    profile(o, "orders", time_column="o_orderdate", grain="month").write.parquet(path)
+    stored = files.read_profiles(spark, path, name="orders")
+    return exact_view(files.latest(stored), extra_keys=[_ts_key()])
 
 
 # --- P15, P16 -------------------------------------------------------------------
