@@ -12,6 +12,9 @@ from tallyframe.operators.profile import ProfileOptions, profile
 from tallyframe.operators.summary import exact_view
 from tallyframe.plans.registry import register
 from tallyframe.plans.shape_plans import LI_KEY, LI_KEY_SQL, SEED
+from tallyframe.plans.sqlgen import profile_sql
+from tallyframe.session import scratch_path
+from tallyframe.sources.runs import RunTable
 from tallyframe.sources.tables import table
 
 EXACT = ProfileOptions(sketches=False)
@@ -79,20 +82,32 @@ def run_log(spark, sf_dir):
                        F.round("mae", 6).alias("mae"), "start_time")
 
 
+RUN_COLUMNS = [*[(c, "int") for c in LI_KEY], ("l_quantity", "float"), ("l_extendedprice", "float"), ("prediction", "float")]
+
+
 @register("run_profiles", sql=f"""
-SELECT printf('run-%02d', batch) AS run_id, 'l_quantity' AS "column", CAST(count(*) AS BIGINT) AS "count",
-  CAST(min(l_quantity) AS DOUBLE) AS "min", CAST(max(l_quantity) AS DOUBLE) AS "max",
-  round(sum(l_quantity), 2) AS total FROM {BATCHES_SQL} GROUP BY batch""")
+SELECT run_id, mae, p.* EXCLUDE (run_id) FROM (
+{profile_sql("runs_batches", RUN_COLUMNS, keys=[("printf('run-%02d', batch)", "run_id")])}) p
+JOIN (SELECT printf('run-%02d', batch) AS run_id, round(avg(abs(l_extendedprice - prediction)), 6) AS mae
+      FROM runs_batches GROUP BY 1) r USING (run_id)""".replace("runs_batches", f"(SELECT *, {PRICE_PER_UNIT} * l_quantity AS prediction FROM {BATCHES_SQL} b) rb"))
 def run_profiles(spark, sf_dir):
-    """Runs of an experiment matched to their batch profiles on run_id."""
+    """Runs and the profiles of their batches (every input column and the prediction) appended to
+    a run table, one half of the runs after the other, a second experiment and a replayed half too; then
+    the profiles of the first experiment are fetched by its name and matched to its runs."""
     b, runs = _runs(spark, sf_dir)
-    profs = profile(b.select("batch", "l_quantity"), "batch", tags=["batch"], options=EXACT) \
-        .withColumn("run_id", F.format_string("run-%02d",
-                                              F.col("tags")[0]["value"].cast("int")))
-    mine = runs.filter(F.col("experiment") == EXPERIMENT).select("run_id")
-    joined = mine.join(profs, "run_id")
-    return exact_view(joined, extra_keys=["run_id"]).select(
-        "run_id", "column", "count", "min", "max", "total")
+    run_id = F.format_string("run-%02d", F.col("tags")[0]["value"].cast("int"))
+    profs = profile(b, "batch", tags=["batch"]).withColumn("run_id", run_id).withColumn("experiment", F.lit(EXPERIMENT))
+    scratch = scratch_path(spark, "runs")
+    profs.write.parquet(scratch + "/p")
+    runs.write.parquet(scratch + "/r")
+    profs, runs = spark.read.parquet(scratch + "/p"), spark.read.parquet(scratch + "/r")
+    table_ = RunTable(scratch + "/table")
+    first, second = F.col("run_id") < "run-10", F.col("run_id") >= "run-10"
+    for part in (first, second, first):      # the third is a replay
+        table_.log(runs.filter(part), profs.filter(part))
+    table_.log(*[rows.filter(first).withColumn("experiment", F.lit("another")) for rows in (runs, profs)])
+    mine = table_.runs(spark, EXPERIMENT).select("run_id", F.round("mae", 6).alias("mae"))
+    return exact_view(table_.profiles(spark, EXPERIMENT).join(mine, "run_id"), extra_keys=["run_id", "mae"])
 
 
 @register("series_metric", sql=f"""

@@ -12,6 +12,8 @@ from tallyframe.operators.merge import merge_profiles, trailing_merge
 from tallyframe.operators.profile import profile
 from tallyframe.operators.ranks import RANK_ERROR, quantile_grid, rows_below
 from tallyframe.operators.summary import histogram_table
+from tallyframe.session import scratch_path
+from tallyframe.sources.runs import RunTable
 
 INF = float("inf")
 
@@ -94,3 +96,19 @@ def test_trailing_merge_keeps_every_field(spark):
     everything = merge_profiles(daily.filter(F.col("dataset_timestamp") < F.lit(start + dt.timedelta(days=2)))
                                 .withColumn("dataset_timestamp", F.lit(None).cast("timestamp")))
     assert {r["column"]: r["count"] for r in everything.collect()}["x"] == got[2, "x"]["count"]
+
+
+def test_run_table_replaces_a_run_and_is_read_by_another_session(spark):
+    def run(i, mae, experiment="e"):
+        return (spark.createDataFrame([(experiment, i, mae)], "experiment string, run_id string, mae double"),
+                profile(spark.range(int(mae)).toDF("a"), "d").withColumn("experiment", F.lit(experiment)).withColumn("run_id", F.lit(i)))
+    t = RunTable(scratch_path(spark, "runs"))
+    for args in (("1", 5.0), ("2", 6.0), ("1", 7.0), ("1", 9.0, "f")):
+        t.log(*run(*args))
+    # profiles whose run was never written are a failed attempt
+    orphan = run("3", 4.0)[1]
+    orphan.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("experiment", "run_id").parquet(t.path + "/profiles")
+    other = spark.newSession()
+    assert sorted((r["run_id"], r["mae"]) for r in t.runs(other, "e").collect()) == [("1", 7.0), ("2", 6.0)]
+    assert sorted((r["experiment"], r["run_id"], r["count"]) for r in t.profiles(other).collect()) == [("e", "1", 7), ("e", "2", 6), ("f", "1", 9)]
+    assert t.profiles(other, "e").first()["kll"] is not None and t.runs(other, "none").count() == 0
