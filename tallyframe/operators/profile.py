@@ -48,6 +48,12 @@ EXTREME_TYPE = T.StructType([
 ])
 EXTREME_TEXT = 64                    # characters kept of a text, so that a row's size is bounded
 
+# Frequent items: a longer text (or one that begins with the mark) is tracked by its first characters and its
+# MD5, so that the bytes of a sketch do not grow with the texts.
+ITEM_TEXT = 64
+ITEM_HEAD = 24
+ITEM_MARK = "\u0001"
+
 # Key columns of a profile row (one profile = one value of these).
 PROFILE_KEYS = ("name", "dataset_timestamp", "tags")
 
@@ -149,6 +155,12 @@ def extreme_text(x: Column) -> Column:
     return F.coalesce(number, x["time"].cast("string"), x["date"].cast("string"), x["text"])
 
 
+def tracked_item(text: Column) -> Column:
+    """What the frequent-item sketch tracks of a text: short texts whole, others as mark, MD5 and first characters."""
+    long = (F.length(text) > ITEM_TEXT) | text.startswith(ITEM_MARK)
+    return F.when(long, F.concat(F.lit(ITEM_MARK), F.md5(text.cast("binary")), F.substring(text, 1, ITEM_HEAD))).otherwise(text)
+
+
 def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
     """Per-column derived values, aggregate expressions and a builder of its stat struct.
 
@@ -171,6 +183,8 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
                    c.rlike(tc.FRACTIONAL_RE).alias(p + "isnum"),
                    tc.is_boolean_text(c).alias(p + "isbool")]
         stage2.append(F.when(F.col(p + "isnum"), c.try_cast("double")).alias(p + "x"))
+        if opts.sketches:
+            stage1.append(tracked_item(c).alias(p + "item"))
     elif has_num:
         stage1.append(c.cast("double").alias(p + "x"))
     num = F.col(p + "x") if has_num else None
@@ -206,9 +220,10 @@ def _column_aggs(i: int, fld: T.StructField, opts: ProfileOptions):
         aggs.append(F.call_function("theta_sketch_agg", tv, F.lit(opts.theta_lg_k))
                     .alias(p + "theta"))
     if opts.sketches and keep_topk:
+        item = p + "item" if is_text else q
         aggs.append(F.expr(
-            f"approx_top_k_accumulate(CAST({q} AS STRING), {opts.top_k_items}) "
-            f"FILTER (WHERE {q} IS NOT NULL)").alias(p + "topk"))
+            f"approx_top_k_accumulate(CAST({item} AS STRING), {opts.top_k_items}) "
+            f"FILTER (WHERE {item} IS NOT NULL)").alias(p + "topk"))
 
     def build(rows: Column) -> Column:
         g = lambda s: F.col(p + s)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import typeclass as tc
-from tallyframe.operators.profile import PROFILE_KEYS, ProfileOptions, extreme_text
+from tallyframe.operators.profile import ITEM_MARK, PROFILE_KEYS, ProfileOptions, extreme_text, quote, tracked_item
 from tallyframe.operators.ranks import finite_ends, quantile_grid, rows_below
 
 # Quantiles reported by the flat summary (own choice).
@@ -118,13 +118,62 @@ def histogram_table(profiles: DataFrame, bins: int = 30) -> DataFrame:
             .select(*keys, "column", "n", "bin_edges", counts.alias("counts")))
 
 
-def frequent_strings_table(profiles: DataFrame, top: int = 10) -> DataFrame:
+def item_error(options: ProfileOptions = ProfileOptions()) -> Column:
+    """By how much a frequent item's count may be too high: 0 while the sketch holds every value, else 3.5 / slots of the rows.
+
+    The sketch has a power of two of slots, three quarters of which hold items; until the distinct values exceed
+    ``top_k_items`` nothing is purged from it and counts are exact.  The share is the sketch's documented error.
+    """
+    slots = 8
+    while slots * 0.75 < options.top_k_items:
+        slots *= 2
+    filled = F.col("count") - F.col("null_count")
+    purged = F.coalesce(F.call_function("theta_sketch_estimate", F.col("theta")) > options.top_k_items, F.lit(True))
+    return F.when(purged, F.floor(filled * (3.5 / slots))).otherwise(0).cast("bigint")
+
+
+def frequent_strings_table(profiles: DataFrame, top: int = 10, options: ProfileOptions = ProfileOptions()) -> DataFrame:
+    """Up to ``top`` frequent items a column: value, digest, count and count_low.
+
+    The true count lies between ``count_low`` and ``count``.  Only values surely more frequent than the
+    sketch's error are given.  Texts over 64 characters show their first 24 and the MD5 as ``digest`` (null for whole
+    values); ``whole_texts`` fetches them.  ``options`` are those the profile was made with.
+    """
     keys = [k for k in profiles.columns if k in PROFILE_KEYS]
     est = F.call_function("approx_top_k_estimate", F.col("topk"), F.lit(top))
+    item, n = F.col("item")["item"], F.col("item")["count"]
+    cut = item.startswith(ITEM_MARK)
     return (profiles.filter(F.col("topk").isNotNull())
-            .select(*keys, "column", F.posexplode(est).alias("rank", "item"))
+            .select(*keys, "column", item_error(options).alias("__error"), F.posexplode(est).alias("rank", "item"))
             .select(*keys, "column", (F.col("rank") + 1).alias("rank"),
-                    F.col("item")["item"].alias("value"), F.col("item")["count"].alias("count")))
+                    F.when(cut, F.substring(item, 34, 2**31 - 1)).otherwise(item).alias("value"),
+                    F.when(cut, F.substring(item, 2, 32)).alias("digest"),
+                    n.alias("count"), F.greatest(n - F.col("__error"), F.lit(1)).alias("count_low")))
+
+
+WINNERS = 100_000      # winners up to this counted number are broadcast
+
+
+def whole_texts(frequent: DataFrame, df: DataFrame) -> DataFrame:
+    """The rows of ``frequent_strings_table`` with whole texts as ``value``: one more pass over ``df``.
+
+    Rows of ``df`` are matched by column and MD5, and each winner's copies are reduced to one before they
+    move.  Winners whose text ``df`` does not hold keep their first characters.
+    """
+    cut = frequent.filter(F.col("digest").isNotNull())
+    names = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "varchar", "char")]
+    if not names:
+        return frequent
+    wanted = cut.select(F.col("column").alias("__column"), F.col("digest").alias("__digest")).distinct()
+    if wanted.count() <= WINNERS:
+        wanted = F.broadcast(wanted)
+    entries = [F.when(tracked_item(F.col(quote(c))).startswith(ITEM_MARK),
+                      F.struct(F.lit(c).alias("__column"), F.md5(F.col(quote(c)).cast("binary")).alias("__digest"),
+                               F.col(quote(c)).alias("__text"))) for c in names]
+    rows = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("__e")).select("__e.*")
+    texts = rows.join(wanted, ["__column", "__digest"], "left_semi").groupBy("__column", "__digest").agg(F.max("__text").alias("__text"))
+    same = (F.col("column") == F.col("__column")) & (F.col("digest") == F.col("__digest"))
+    return frequent.join(texts, same, "left").withColumn("value", F.coalesce("__text", "value")).select(*frequent.columns)
 
 
 def flat_summary(profiles: DataFrame, options: ProfileOptions = ProfileOptions(),
@@ -133,7 +182,7 @@ def flat_summary(profiles: DataFrame, options: ProfileOptions = ProfileOptions()
     return {
         "summary": summary_table(profiles, options),
         "hist": histogram_table(profiles, bins),
-        "frequent_strings": frequent_strings_table(profiles, top),
+        "frequent_strings": frequent_strings_table(profiles, top, options),
     }
 
 

@@ -8,13 +8,15 @@ single rank, 0.0165 for a PMF cell (DataSketches documentation figures).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tallyframe.operators import drift as D
 from tallyframe.operators import stats
 from tallyframe.operators.profile import profile
 from tallyframe.operators.series import SERIES_QUANTILES
-from tallyframe.operators.summary import kll_quantiles
+from tallyframe.operators.summary import frequent_strings_table, kll_quantiles, whole_texts
 from tallyframe.plans.registry import register
 from tallyframe.sources.tables import table
 
@@ -81,3 +83,30 @@ def histogram_sketch(spark, sf_dir):
     return ex.join(sk, "bin").select(
         "bin", (F.abs(F.col("sketch") - F.col("exact")) <= F.col("n") * HIST_EPS)
         .alias("within_bound"))
+
+
+# counts above twice the sketch's error are always among its frequent items
+ITEM_SLOTS = 256
+
+
+@register("frequent_texts", sql=f"""
+WITH v AS (SELECT 'text' AS "column", text AS value FROM documents UNION ALL SELECT 'lang', lang FROM documents
+  UNION ALL SELECT 'source', source FROM documents),
+n AS (SELECT "column", count(value) AS filled, count(DISTINCT value) AS kinds FROM v GROUP BY 1),
+c AS (SELECT "column", value, CAST(count(*) AS BIGINT) AS n FROM v WHERE value IS NOT NULL GROUP BY 1, 2)
+SELECT c."column", md5(value) AS digest, CAST(length(value) AS INTEGER) AS length, n, true AS within_bound FROM c JOIN n ON c."column" = n."column"
+WHERE n > CASE WHEN kinds <= 128 THEN 0 ELSE 2 * floor(filled * 3.5 / {ITEM_SLOTS}) END""")
+def frequent_texts(spark, sf_dir):
+    """A9 sketch path over whole documents: every value over twice the sketch's error is among its frequent items, its
+    text is fetched whole, and its exact count lies between count_low and count."""
+    d = table(spark, sf_dir, "documents").select("text", "lang", "source")
+    p = profile(d, "documents")
+    got = whole_texts(frequent_strings_table(p, top=128), d).select("column", F.md5(F.col("value").cast("binary")).alias("digest"), "count", "count_low")
+    exact = reduce(lambda a, b: a.unionByName(b), [
+        d.filter(F.col(c).isNotNull()).groupBy(F.md5(F.col(c).cast("binary")).alias("digest"), F.length(c).alias("length"))
+        .agg(F.count(F.lit(1)).alias("n")).withColumn("column", F.lit(c)) for c in d.columns])
+    sizes = exact.groupBy("column").agg(F.sum("n").alias("filled"), F.count(F.lit(1)).alias("kinds"))
+    sure = F.when(F.col("kinds") <= 128, F.lit(0)).otherwise(2 * F.floor(F.col("filled") * 3.5 / ITEM_SLOTS))
+    return (exact.join(sizes, "column").filter(F.col("n") > sure).join(got, ["column", "digest"], "left")
+            .select("column", "digest", "length", "n",
+                    F.coalesce((F.col("n") <= F.col("count")) & (F.col("n") >= F.col("count_low")), F.lit(False)).alias("within_bound")))
