@@ -114,30 +114,38 @@ def _checked_value(df: DataFrame, c: Constraint) -> Column | None:
     return col.try_cast("double") if isinstance(kind, T.StringType) else col
 
 
+def _not_comparable(df: DataFrame, c: Constraint, x: Column) -> Column:
+    """Whether a value is there that the constraint cannot compare (text that is no number)."""
+    return F.col(quote(c.column)).isNotNull() & x.isNull()
+
+
+def _check_counts(df: DataFrame, c: Constraint) -> tuple[Column, Column, Column]:
+    """Aggregates of a value constraint: values compared, failures, values that cannot be compared."""
+    x = _checked_value(df, c)
+    if x is None:
+        return (F.count_if(F.lit(False)),) * 3
+    return (F.count(x), F.count_if(x.isNotNull() & ~compare(x, c.op, F.lit(c.value))), F.count_if(_not_comparable(df, c, x)))
+
+
 def value_report(df: DataFrame, constraints: list[Constraint]) -> DataFrame:
-    """One row per value constraint: total checked, failures, passed.
+    """One row per value constraint: total checked, failures, not_comparable, passed.
 
     All constraints are counted in a single aggregate over ``df``.  A
     constraint passes if it checked some value and none failed, so a missing
-    column and a column without values fail.  ``value`` is null for text values.
+    column and a column without values fail.  ``value`` is null for text values.  ``not_comparable``
+    counts values that are no number where a number is asked for; they decide nothing.
     """
     vcs = [c for c in constraints if c.kind == "value"]
     if not vcs:
         return _empty_value_report(df.sparkSession)
-    aggs = []
-    for i, c in enumerate(vcs):
-        x = _checked_value(df, c)
-        if x is None:
-            aggs += [F.count_if(F.lit(False)).alias(f"t{i}"), F.count_if(F.lit(False)).alias(f"f{i}")]
-            continue
-        aggs.append(F.count(x).alias(f"t{i}"))
-        aggs.append(F.count_if(x.isNotNull() & ~compare(x, c.op, F.lit(c.value))).alias(f"f{i}"))
+    aggs = [a.alias(f"{p}{i}") for i, c in enumerate(vcs) for p, a in zip("tfu", _check_counts(df, c))]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c.label).alias("name"), F.lit(c.column).alias("column"),
                      F.lit(c.op).alias("op"),
                      F.lit(None if isinstance(c.value, str) else float(c.value)).cast("double").alias("value"),
                      F.col(f"t{i}").cast("bigint").alias("total"),
-                     F.col(f"f{i}").cast("bigint").alias("failures"))
+                     F.col(f"f{i}").cast("bigint").alias("failures"),
+                     F.col(f"u{i}").cast("bigint").alias("not_comparable"))
             for i, c in enumerate(vcs)]
     return wide.select(F.inline(F.array(*rows))).withColumn(
         "passed", (F.col("total") > 0) & (F.col("failures") == 0))
@@ -145,7 +153,7 @@ def value_report(df: DataFrame, constraints: list[Constraint]) -> DataFrame:
 
 def _empty_value_report(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "name string, column string, op string, value double, "
-                                     "total bigint, failures bigint, passed boolean")
+                                     "total bigint, failures bigint, not_comparable bigint, passed boolean")
 
 
 def summary_fields(profile_rows: DataFrame) -> DataFrame:
@@ -266,3 +274,19 @@ def observe_failures(df: DataFrame, constraints: list[Constraint], name: str = "
         bad = F.count_if(F.lit(False)) if x is None else F.count_if(x.isNotNull() & ~compare(x, c.op, F.lit(c.value)))
         exprs.append(bad.alias(f"{c.column}: {c.label}"))
     return df.observe(obs, *exprs), obs
+
+
+def observe_checks(df: DataFrame, constraints: list[Constraint], name: str = "constraints"):
+    """Inline value checks: (observed df, read).  ``read()`` after the first action on the returned DataFrame
+    gives one tuple per value constraint: name, column, op, number, text, rows, total, failures, not_comparable."""
+    from pyspark.sql import Observation
+    vcs = [c for c in constraints if c.kind == "value"]
+    obs = Observation(name)
+    counts = [a.alias(f"{p}{i}") for i, c in enumerate(vcs) for p, a in zip("tfu", _check_counts(df, c))]
+
+    def read():
+        got = obs.get
+        return [(c.label, c.column, c.op, None if isinstance(c.value, str) else float(c.value), c.value if isinstance(c.value, str) else None,
+                 got["rows"], got[f"t{i}"], got[f"f{i}"], got[f"u{i}"]) for i, c in enumerate(vcs)]
+
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *counts), read

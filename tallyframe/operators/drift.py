@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyframe.operators.profile import numeric_view, quote
+from tallyframe.operators.ranks import finite_ends, quantile_grid
 
 # Own choice: floor for zero shares inside the logarithms of KL and PSI.
 EPSILON = 1e-9
@@ -57,12 +58,13 @@ def shared_bins(lo: float, hi: float, n_bins: int) -> Bins:
     """
     if lo is None or hi is None:     # no values on any side
         lo = hi = 0.0
-    step = int((hi - lo) / n_bins)
+    width = hi / n_bins - lo / n_bins if math.isinf(hi - lo) else (hi - lo) / n_bins
+    step = int(width)
     if step > 0:
         edges = tuple(float(e) for e in range(int(lo), int(hi), step))
         if len(edges) >= 2:
             return Bins(lo, hi, float(step), edges, True)
-    width = (hi - lo) / n_bins if hi > lo else 1.0
+    width = width if hi > lo else 1.0
     edges = tuple(lo + j * width for j in range(n_bins + 1))
     return Bins(lo, hi, width, edges, False)
 
@@ -85,13 +87,16 @@ def cell_of(x: Column, bins: Bins) -> Column:
     """Number of points <= x, by arithmetic on the equal step (stays in codegen)."""
     m = len(bins.points)
     p0 = bins.points[0]
-    k = F.floor((x - F.lit(p0)) / F.lit(bins.step)) + 1
-    return F.when(x < F.lit(p0), F.lit(0)).otherwise(F.least(k, F.lit(m))).cast("int")
+    steps = (x - F.lit(p0)) / F.lit(bins.step) if math.isfinite(bins.hi - bins.lo) else x / F.lit(bins.step) - F.lit(p0 / bins.step)
+    k = F.least(F.floor(steps), F.lit(m - 1)) + 1
+    return F.when(x < F.lit(p0), F.lit(0)).otherwise(k).cast("int")
 
 
 def side_ranges(df: DataFrame, column: str, side: Column) -> DataFrame:
+    """Range of each side's finite values; infinite ones fall into the end cells."""
     x = numeric_view(F.col(quote(column)))
-    return df.groupBy(side.alias("side")).agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
+    finite = F.when(F.abs(x) < float("inf"), x)
+    return df.groupBy(side.alias("side")).agg(F.min(finite).alias("lo"), F.max(finite).alias("hi"))
 
 
 def range_of(df: DataFrame, column: str, side: Column) -> tuple[float, float]:
@@ -213,11 +218,12 @@ def compare(profiles_a: DataFrame, profiles_b: DataFrame, column: str, n_bins: i
     The shared range comes from the two summaries, the PMFs from the two KLL
     sketches at the shared points; returns (bins, one row of ``metrics``).
     Each side must be one profile of the column (merge grouped profiles
-    first).  A side without values has null PMFs and so null metrics.
+    first).  An infinite end is replaced by the sketch's nearest finite quantile.  A side without values has null PMFs and so null metrics.
     """
     rows_a, rows_b = (p.filter(F.col("column") == column) for p in (profiles_a, profiles_b))
-    r = rows_a.select("min", "max").unionByName(rows_b.select("min", "max")).agg(
-        F.min("min").alias("lo"), F.max("max").alias("hi")).first()
+    lo, hi = finite_ends(quantile_grid(F.col("kll")), F.col("min"), F.col("max"))
+    ends = [rows.filter(F.col("n") > 0).select(lo.alias("lo"), hi.alias("hi")) for rows in (rows_a, rows_b)]
+    r = ends[0].unionByName(ends[1]).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
     bins = shared_bins(r["lo"], r["hi"], n_bins)
     # sketch ranks count x <= p: points just below the edges give the cells p_i <= x < p_i+1
     points = [math.nextafter(p, -math.inf) for p in bins.points]

@@ -8,6 +8,7 @@ shuffle on (column, value), never a list held by one task.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -65,33 +66,42 @@ def top_values(df: DataFrame, columns, k: int = 10) -> DataFrame:
 
 
 def min_max(df: DataFrame, column: str) -> tuple[float | None, float | None]:
-    """Two scalars to the driver (bounded): the range of a column."""
+    """Two scalars to the driver (bounded): the range of a column's finite values."""
     x = numeric_view(F.col(quote(column)))
-    r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    finite = F.when(F.abs(x) < float("inf"), x)
+    r = df.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi")).first()
     return r["lo"], r["hi"]
 
 
+def bin_width(lo: float, hi: float, bins: int) -> float:
+    return (hi - lo) / bins if math.isfinite(hi - lo) else hi / bins - lo / bins
+
+
 def equal_width_bin(x: Column, lo: float, hi: float, bins: int) -> Column:
-    """Bin index in [0, bins-1]; the top edge belongs to the last bin."""
-    width = (hi - lo) / bins
+    """Bin index in [0, bins-1]; the top edge belongs to the last bin, values outside to the end bins."""
+    width = bin_width(lo, hi, bins)
     if width == 0:
-        return F.lit(0).cast("bigint")
-    return F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("bigint")
+        inner = F.lit(0)
+    elif math.isfinite(hi - lo):
+        inner = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
+    else:      # the difference of two values may overflow
+        inner = F.least(F.floor(x / F.lit(width) - F.lit(lo / width)), F.lit(bins - 1))
+    return F.when(x > F.lit(hi), F.lit(bins - 1)).when(x < F.lit(lo), F.lit(0)).otherwise(inner).cast("bigint")
 
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int = 30,
                           lo: float | None = None, hi: float | None = None) -> DataFrame:
     """Exact equal-width histogram: (column, bin, lower_edge, count).
 
-    The range comes from the profile when known, else from one min/max
-    aggregate (two scalars).
+    The range comes from the profile when known and finite, else from one min/max
+    aggregate over the finite values (two scalars).  Infinite values count in the end bins.
     """
-    if lo is None or hi is None:
+    if lo is None or hi is None or not (math.isfinite(lo) and math.isfinite(hi)):
         lo, hi = min_max(df, column)
     x = numeric_view(F.col(quote(column)))
-    if lo is None or hi is None:     # no values: no bins
+    if lo is None or hi is None:     # no finite values: no range
         lo = hi = 0.0
-    width = (hi - lo) / bins
+    width = bin_width(lo, hi, bins)
     b = equal_width_bin(x, lo, hi, bins)
     return (df.filter(x.isNotNull()).select(b.alias("bin"))
             .groupBy("bin").agg(F.count(F.lit(1)).alias("count"))

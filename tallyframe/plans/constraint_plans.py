@@ -86,13 +86,13 @@ def _lineitem_profile(li):
 
 @register("value_constraints", sql="""
 SELECT 'some units' AS name, 'l_quantity' AS "column", 'GE' AS op, 1.0::DOUBLE AS value, count(l_quantity) AS total,
-  CAST(count_if(NOT (l_quantity >= 1)) AS BIGINT) AS failures, count(l_quantity) > 0 AND count_if(NOT (l_quantity >= 1)) = 0 AS passed FROM lineitem
+  CAST(count_if(NOT (l_quantity >= 1)) AS BIGINT) AS failures, CAST(0 AS BIGINT) AS not_comparable, count(l_quantity) > 0 AND count_if(NOT (l_quantity >= 1)) = 0 AS passed FROM lineitem
 UNION ALL SELECT 'small lots' AS name, 'l_quantity' AS "column", 'LE' AS op, 45.0::DOUBLE AS value, count(l_quantity) AS total,
-  CAST(count_if(NOT (l_quantity <= 45)) AS BIGINT) AS failures, count(l_quantity) > 0 AND count_if(NOT (l_quantity <= 45)) = 0 AS passed FROM lineitem
+  CAST(count_if(NOT (l_quantity <= 45)) AS BIGINT) AS failures, CAST(0 AS BIGINT) AS not_comparable, count(l_quantity) > 0 AND count_if(NOT (l_quantity <= 45)) = 0 AS passed FROM lineitem
 UNION ALL SELECT 'taxed lines' AS name, 'l_tax' AS "column", 'LT' AS op, 0.07::DOUBLE AS value, count(l_tax) AS total,
-  CAST(count_if(NOT (l_tax < 0.07::DOUBLE)) AS BIGINT) AS failures, count(l_tax) > 0 AND count_if(NOT (l_tax < 0.07::DOUBLE)) = 0 AS passed FROM lineitem
+  CAST(count_if(NOT (l_tax < 0.07::DOUBLE)) AS BIGINT) AS failures, CAST(0 AS BIGINT) AS not_comparable, count(l_tax) > 0 AND count_if(NOT (l_tax < 0.07::DOUBLE)) = 0 AS passed FROM lineitem
 UNION ALL SELECT 'known flags' AS name, 'l_returnflag' AS "column", 'NE' AS op, CAST(NULL AS DOUBLE) AS value, count(l_returnflag) AS total,
-  CAST(count_if(NOT (l_returnflag <> 'X')) AS BIGINT) AS failures, count(l_returnflag) > 0 AND count_if(NOT (l_returnflag <> 'X')) = 0 AS passed FROM lineitem""")
+  CAST(count_if(NOT (l_returnflag <> 'X')) AS BIGINT) AS failures, CAST(0 AS BIGINT) AS not_comparable, count(l_returnflag) > 0 AND count_if(NOT (l_returnflag <> 'X')) = 0 AS passed FROM lineitem""")
 def value_constraints(spark, sf_dir):
     """Every value compared with a literal, all constraints in one pass."""
     li = table(spark, sf_dir, "lineitem")

@@ -19,6 +19,8 @@ from tallyframe.plans.registry import register
 from tallyframe.plans.sqlgen import kinds, profile_sql
 from tallyframe.session import scratch_path
 from tallyframe.sources.tables import table
+from tallyframe.operators.constraints import parse_constraints
+from tallyframe.streaming import constraint_stream as CS
 from tallyframe.streaming import profile_stream as PS
 from tallyframe.streaming.profile_store import ProfileStore
 
@@ -225,3 +227,33 @@ def stream_merge(spark, sf_dir):
                          scratch_path(spark, "merge-ckpt"))
     stored = spark.read.parquet(out)
     return exact_view(merge_profiles(stored.drop("batch_id"), by=("name", "column")))
+
+
+# Limits measured on the table: values reach far beyond 100, event types are words.
+EVENT_CHECKS = {"valueConstraints": {
+    "value": {"constraints": [{"name": "not negative", "op": "GE", "value": 0.0}, {"name": "small", "op": "LT", "value": 100.0}]},
+    "event_type": {"constraints": [{"name": "no clicks", "op": "NE", "value": "click"}, {"name": "a number", "op": "GE", "value": 0.0}]},
+    "colour": {"constraints": [{"name": "not there", "op": "GE", "value": 0.0}]}}}
+
+
+def _event_check_sql(name, column, op, total, failures, unknown="0"):
+    return f"""SELECT '{name}' AS name, '{column}' AS "column", '{op}' AS op, CAST({FILES} AS BIGINT) AS batches, count(*) AS rows,
+  CAST({total} AS BIGINT) AS total, CAST({failures} AS BIGINT) AS failures, CAST({unknown} AS BIGINT) AS not_comparable,
+  {total} > 0 AND {failures} = 0 AS passed FROM events"""
+
+
+@register("stream_constraints", sql=" UNION ALL ".join([
+    _event_check_sql("not negative", "value", "GE", "count(value)", "count(*) FILTER (WHERE NOT value >= 0)"),
+    _event_check_sql("small", "value", "LT", "count(value)", "count(*) FILTER (WHERE NOT value < 100)"),
+    _event_check_sql("no clicks", "event_type", "NE", "count(event_type)", "count(*) FILTER (WHERE NOT event_type <> 'click')"),
+    _event_check_sql("a number", "event_type", "GE", "count(TRY_CAST(event_type AS DOUBLE))", "count(*) FILTER (WHERE NOT TRY_CAST(event_type AS DOUBLE) >= 0)",
+                     "count(*) FILTER (WHERE event_type IS NOT NULL AND TRY_CAST(event_type AS DOUBLE) IS NULL)"),
+    _event_check_sql("not there", "colour", "GE", "0", "0")]))
+def stream_constraints(spark, sf_dir):
+    """C1 / C7 on a stream: each micro-batch is checked by its own write; the report table, replayed once, over all batches."""
+    stream = _stream(spark, sf_dir, per_trigger=1)
+    out, report = scratch_path(spark, "checked"), scratch_path(spark, "check-report")
+    write = CS.checked_sink_writer(parse_constraints(EVENT_CHECKS), out, report)
+    for _ in range(2):      # the second run replays every batch under the same ids
+        PS.run_available_now(stream, "append", write, scratch_path(spark, "check-ckpt"))
+    return CS.merge_reports(spark.read.parquet(report)).drop("failed_batches", "value", "text")

@@ -90,3 +90,27 @@ def test_grouped_report_has_the_group(spark):
     cs = C.parse_constraints({"summaryConstraints": {"a": {"constraints": [{"first_field": "min", "op": "GE", "value": 0}]}}})
     got = {r["tags"][0]["value"]: r["passed"] for r in C.summary_report(p, cs).collect()}
     assert got == {"x": True, "y": False}
+
+
+def test_stream_report_rows_per_batch(spark, tmp_path):
+    from tallyframe.streaming import constraint_stream as CS
+    cs = C.parse_constraints({"valueConstraints": {"a": {"constraints": [{"name": "low", "op": "GE", "value": 0.0}]},
+                                                   "t": {"constraints": [{"name": "num", "op": "GE", "value": 0.0}, {"name": "is x", "op": "NE", "value": "x"}]},
+                                                   "gone": {"constraints": [{"op": "GE", "value": 0.0}]}}})
+    schema = "a double, t string"
+    write = CS.checked_sink_writer(cs, str(tmp_path / "rows"), str(tmp_path / "report"))
+    batches = [[(1.0, "5"), (None, "abc")], [(-1.0, None), (2.0, "x")], [], [(None, None)]]
+    for i, rows in enumerate(batches):
+        for _ in range(2):       # a replay changes nothing
+            write(spark.createDataFrame(rows, schema), i)
+    report = CS.with_verdict(spark.read.parquet(str(tmp_path / "report")))
+    got = {(r["batch_id"], r["name"]): (r["rows"], r["total"], r["failures"], r["not_comparable"], r["passed"]) for r in report.collect()}
+    assert got[0, "low"] == (2, 1, 0, 0, True) and got[1, "low"] == (2, 2, 1, 0, False)
+    assert got[0, "num"] == (2, 1, 0, 1, True) and got[1, "num"] == (2, 0, 0, 1, False) and got[1, "is x"] == (2, 1, 1, 0, False)
+    assert all(got[2, c.label] == (0, 0, 0, 0, None) and got[3, c.label] == (1, 0, 0, 0, False) for c in cs)
+    whole = {r["name"]: r for r in CS.merge_reports(report).collect()}
+    assert len(whole) == 4 and not whole["low"]["passed"] and whole["low"]["failed_batches"] == 1 and whole["low"]["batches"] == 4
+    assert whole["num"]["passed"] and whole["num"]["not_comparable"] == 2 and not whole[cs[3].label]["passed"]
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 5
+    one = C.value_report(spark.createDataFrame([("abc",), ("5",)], "t string"), cs[1:2]).first()
+    assert (one["total"], one["not_comparable"], one["passed"]) == (1, 1, True)

@@ -179,3 +179,24 @@ def test_typed_extremes_merge_exactly(spark, tmp_path):
     # as numbers, not as rounded doubles, in the flat file
     flat = {r["column"]: r["max_value"] for r in files.read_flat_summary(spark, writers.write_flat(merged, str(tmp_path / "f"))["summary"]).collect()}
     assert flat["b"] == wide and flat["a"] == str(2**63 - 1) and flat["d"] == "1.25"
+
+
+def test_infinite_ends_count_in_the_end_cells(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([("a", v) for v in (-inf, 0.0, 5.0, 10.0, inf, inf)] + [("b", v) for v in (-inf, 3.0, 3.0)], "s string, x double")
+    got = {r["bin"]: r["count"] for r in stats.equal_width_histogram(df.filter("s = 'a'"), "x", 10).collect()}
+    assert got == {0: 2, 5: 1, 9: 3}
+    assert {r["bin"]: r["count"] for r in stats.equal_width_histogram(df.filter("s = 'a'"), "x", 10, -inf, inf).collect()} == got
+    only = spark.createDataFrame([(-inf,), (inf,), (None,)], "x double")
+    assert {r["bin"]: r["count"] for r in stats.equal_width_histogram(only, "x", 4).collect()} == {0: 1, 3: 1}
+    bins, cells = D.two_sided(df, "x", F.col("s"), 5, sides=("a", "b"))
+    n = {r["cell"]: (r["na"], r["nb"]) for r in cells.collect()}
+    assert (bins.lo, bins.hi) == (0.0, 10.0) and n[0] == (1, 1) and n[bins.cells - 1] == (3, 0)
+    assert sum(a + b for a, b in n.values()) == 9 and 0 <= D.metrics(cells, 5).first()["intersection"] <= 1
+    one, two = (profile(df.filter(F.col("s") == s).select("x"), s) for s in "ab")
+    bins, m = D.compare(one, two, "x", 5)
+    assert (bins.lo, bins.hi) == (0.0, 10.0) and 0 <= m.first()["intersection"] <= 1
+    huge = spark.createDataFrame([("a", -1.7e308), ("a", 1.7e308), ("b", 0.0)], "s string, x double")
+    assert {r["bin"]: r["count"] for r in stats.equal_width_histogram(huge, "x", 4).collect()} == {0: 1, 2: 1, 3: 1}
+    bins, cells = D.two_sided(huge, "x", F.col("s"), 4, sides=("a", "b"))
+    assert sum(r["na"] + r["nb"] for r in cells.collect()) == 3
