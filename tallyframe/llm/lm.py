@@ -7,10 +7,10 @@ for frequent words, the word within its class; other words follow
 their counts (plus one) within their class, one share being kept for unseen
 words, so the probabilities of known and unseen words sum to one.
 
-Training: all training documents are dealt by a hash of id and text to trainer tasks, whose number
-grows with the text, so that copies of one text spread over all of them.  Each runs truncated backpropagation
-from common starting weights on its part; the weighted mean of their weights, summed on Spark, is
-the next round's start.  Scoring carries the state over
+Training: all training documents are dealt by a hash of id and text to rounds and, within each, to trainer tasks,
+whose number grows with the text, so that copies of one text spread over all of them.  Each runs truncated
+backpropagation from common starting weights on its part; the weighted mean of their weights, summed on Spark, is
+the next round's start.  Every training document is trained on once.  Scoring carries the state over
 the windows of a whole document, however long.
 """
 
@@ -20,6 +20,7 @@ import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ CLASS_WORDS = 64
 N_REST = 96
 HIDDEN = 16
 WINDOW = 32
+ROWS = 2048            # targets per block of the class softmax
+LANES = (32, 512)      # least and most stretches trained side by side
 PIECE = 256            # training stretch; scoring runs over whole documents
 COUNTER_WORDS = 400_000  # distinct words that a counting task holds before it passes them on
 TRAINER_CHARS = 1 << 25  # characters of training text per trainer task, from the least number of trainers on
@@ -132,24 +135,35 @@ def initial(vocab: Vocab, seed: int = 8) -> dict[str, np.ndarray]:
     return {n: x.astype(np.float32) for n, x in w.items()}
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
-
-
-def _step(w, x, h):
-    """One gated step for inputs ``x`` and states ``h``: new state and what backpropagation needs."""
-    a = w["in"][x] + w["gate"]
-    u = h @ w["rec"]
+def _step(a, rec, h):
+    """One gated step for prepared inputs ``a`` (input weights and gate biases) and states ``h``: new state and
+    what backpropagation needs."""
     n = HIDDEN
-    rz = _sigmoid(a[:, :2 * n] + u[:, :2 * n])
-    r, z = rz[:, :n], rz[:, n:]
-    c = np.tanh(a[:, 2 * n:] + r * u[:, 2 * n:])
-    return z * h + (1 - z) * c, (r, z, c, u[:, 2 * n:])
-
-
-def _log_softmax(z):
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    u = h @ rec
+    rz = a[:, :2 * n] + u[:, :2 * n]
+    np.negative(rz, out=rz)
+    np.exp(rz, out=rz)
+    rz += 1
+    np.reciprocal(rz, out=rz)
+    r, z, uc = rz[:, :n], rz[:, n:], u[:, 2 * n:]
+    c = r * uc
+    c += a[:, 2 * n:]
+    np.tanh(c, out=c)
+    new = h - c
+    new *= z
+    new += c
+    return new, (r, z, c, uc)
+
+
+def _softmax(z, at):
+    """Log-probability of column ``at`` of each row; ``z`` becomes the probabilities."""
+    z -= z.max(axis=1, keepdims=True)
+    row = np.arange(len(z))
+    out = z[row, at]
+    np.exp(z, out=z)
+    total = z.sum(axis=1)
+    z /= total[:, None]
+    return out - np.log(total)
 
 
 def _class_of(y, k):
@@ -158,34 +172,47 @@ def _class_of(y, k):
 
 
 def window_log_probs(w, hs, y, k, grads=None):
-    """Natural log-probability of each target; with ``grads``, adds gradients and returns d(-logp)/d(hs) too."""
+    """Natural log-probability of each target; with ``grads``, adds gradients and returns d(-logp)/d(hs) too.
+
+    Works in blocks that fit a cache: ROWS targets for the classes, one class for the words.
+    """
     cls = _class_of(y, k)
-    lp = _log_softmax(hs @ w["cls"] + w["cls_b"])
-    at = np.arange(len(y))
-    out = lp[at, cls].astype(np.float64)
-    back = None
-    if grads is not None:
-        d = np.exp(lp)
-        d[at, cls] -= 1
-        grads["cls"] += hs.T @ d
-        grads["cls_b"] += d.sum(axis=0)
-        back = d @ w["cls"].T
-    order = np.argsort(cls, kind="stable")
+    out = np.empty(len(y))
+    back = None if grads is None else np.empty_like(hs)
+    for i in range(0, len(y), ROWS):
+        part = slice(i, i + ROWS)
+        d, at = hs[part] @ w["cls"], cls[part]
+        d += w["cls_b"]
+        out[part] = _softmax(d, at)
+        if grads is not None:
+            d[np.arange(len(d)), at] -= 1
+            grads["cls"] += hs[part].T @ d
+            grads["cls_b"] += d.sum(axis=0)
+            back[part] = d @ w["cls"].T
+    if not k:
+        return out, back
+    # targets in order of their class (few enough classes for a sort of 16-bit numbers)
+    order = np.argsort(cls.astype(np.uint16) if w["cls_b"].size < 1 << 16 else cls, kind="stable")
     bounds = np.searchsorted(cls[order], np.arange(k // CLASS_WORDS + 1))
+    order = order[:bounds[-1]]
+    h, word, log_p = hs[order], y[order] % CLASS_WORDS, np.empty(len(order))
+    deep = None if grads is None else np.empty_like(h)
     for c in range(k // CLASS_WORDS):
-        i = order[bounds[c]:bounds[c + 1]]
-        if not len(i):
+        part = slice(bounds[c], bounds[c + 1])
+        if part.start == part.stop:
             continue
         block = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-        lw = _log_softmax(hs[i] @ w["word"][block].T + w["word_b"][block])
-        j, row = y[i] - c * CLASS_WORDS, np.arange(len(i))
-        out[i] += lw[row, j]
+        d, at = h[part] @ w["word"][block].T, word[part]
+        d += w["word_b"][block]
+        log_p[part] = _softmax(d, at)
         if grads is not None:
-            d = np.exp(lw)
-            d[row, j] -= 1
-            grads["word"][block] += d.T @ hs[i]
+            d[np.arange(len(d)), at] -= 1
+            grads["word"][block] += d.T @ h[part]
             grads["word_b"][block] += d.sum(axis=0)
-            back[i] += d @ w["word"][block]
+            deep[part] = d @ w["word"][block]
+    out[order] += log_p
+    if grads is not None:
+        back[order] += deep
     return out, back
 
 
@@ -202,11 +229,12 @@ def _padded(seqs: list[np.ndarray], order: np.ndarray, start: int, size: int):
     return y, live[:int((live > 0).sum())]
 
 
-def train_on(w0, seqs: list[np.ndarray], k: int, end_id: int, rate: float = 0.02, lanes: int = 128, seed: int = 4):
+def train_on(w0, seqs: list[np.ndarray], k: int, end_id: int, rate: float = 0.02, lanes: int = 0, seed: int = 4):
     """Truncated backpropagation (window WINDOW, AdaGrad) over the sequences; returns new weights and tokens seen.
 
     Sequences are trained in stretches of up to PIECE tokens, so that lanes stay full; a
-    stretch starts from the token before it.
+    stretch starts from the token before it.  ``lanes`` stretches are trained side by side: by default a 16th of
+    them within LANES, so that few sequences still give many updates.
     """
     w = {n: x.copy() for n, x in w0.items()}
     memory = {n: np.full_like(x, 1e-3) for n, x in w.items()}
@@ -217,6 +245,7 @@ def train_on(w0, seqs: list[np.ndarray], k: int, end_id: int, rate: float = 0.02
             pieces.append(s[i:i + PIECE])
             before.append(end_id if i == 0 else s[i - 1])
     before = np.array(before)
+    lanes = lanes or min(max(len(pieces) // 16, LANES[0]), LANES[1])
     pick = np.random.default_rng(seed).permutation(len(pieces))
     for g in range(0, len(pieces), lanes):
         at = pick[g:g + lanes]
@@ -230,37 +259,40 @@ def train_on(w0, seqs: list[np.ndarray], k: int, end_id: int, rate: float = 0.02
             if not len(live):
                 break
             start += WINDOW
-            xs, states, kept = [], [h], []
+            xs = [prev[:m] if t == 0 else y[t - 1, :m] for t, m in enumerate(live)]
+            rows, ends = np.concatenate(xs), np.cumsum(live)
+            inputs = (w["in"] + w["gate"])[rows]
+            states, kept = [h], []
             for t, m in enumerate(live):
-                x = prev[:m] if t == 0 else y[t - 1, :m]
-                new, parts = _step(w, x, states[-1][:m])
-                xs.append(x)
+                new, parts = _step(inputs[ends[t] - m:ends[t]], w["rec"], states[-1][:m])
                 kept.append(parts)
                 states.append(new)
             grads = {name: np.zeros_like(v) for name, v in w.items()}
             flat_h = np.concatenate(states[1:])
             flat_y = np.concatenate([y[t, :m] for t, m in enumerate(live)])
             _, back = window_log_probs(w, flat_h, flat_y, k, grads)
-            ends = np.cumsum(live)
-            dh, das = np.zeros((0, n), np.float32), [None] * len(live)
+            dh, da_all = np.zeros((0, n), np.float32), np.empty((len(rows), 3 * n), np.float32)
             for t in range(len(live) - 1, -1, -1):
                 m = live[t]
                 full = back[ends[t] - m:ends[t]]
                 full[:len(dh)] += dh
                 r, z, c, uc = kept[t]
                 hp = states[t][:m]
-                dac = full * (1 - z) * (1 - c * c)
-                da = np.concatenate((dac * uc * r * (1 - r), full * (hp - c) * z * (1 - z), dac), axis=1)
+                da, keep = da_all[ends[t] - m:ends[t]], 1 - z
+                dac = full * keep
+                dac *= 1 - c * c
+                da[:, 2 * n:] = dac
+                da[:, :n] = dac * uc * r * (1 - r)
+                da[:, n:2 * n] = full * (hp - c) * z * keep
                 du = da.copy()
                 du[:, 2 * n:] *= r
                 grads["rec"] += hp.T @ du
-                das[t] = da
-                dh = full * z + du @ w["rec"].T
-            rows, da = np.concatenate(xs), np.concatenate(das)
-            grads["gate"] += da.sum(axis=0)
-            turn = np.argsort(rows, kind="stable")
+                dh = full * z
+                dh += du @ w["rec"].T
+            grads["gate"] += da_all.sum(axis=0)
+            turn = np.argsort(rows.astype(np.uint16) if len(w["in"]) <= 1 << 16 else rows, kind="stable")
             first = np.flatnonzero(np.diff(rows[turn], prepend=-1))
-            grads["in"][rows[turn][first]] = np.add.reduceat(da[turn], first)
+            grads["in"][rows[turn][first]] = np.add.reduceat(da_all[turn], first)
             count = len(flat_y)
             seen += count
             for name, gr in grads.items():
@@ -275,7 +307,7 @@ def train_on(w0, seqs: list[np.ndarray], k: int, end_id: int, rate: float = 0.02
 
 def score_sequences(w, seqs: list[np.ndarray], k: int, end_id: int, window: int = 64, lanes: int = 1024) -> np.ndarray:
     """Natural log-probability of each whole sequence, states carried from window to window."""
-    total = np.zeros(len(seqs))
+    total, w_in = np.zeros(len(seqs)), w["in"] + w["gate"]
     by_length = np.argsort([-len(s) for s in seqs], kind="stable")
     for g in range(0, len(seqs), lanes):
         order = by_length[g:g + lanes]
@@ -289,7 +321,7 @@ def score_sequences(w, seqs: list[np.ndarray], k: int, end_id: int, window: int
             start += window
             states, lane = [], []
             for t, m in enumerate(live):
-                h, _ = _step(w, prev[:m], h[:m])
+                h, _ = _step(w_in[prev[:m]], w["rec"], h[:m])
                 prev = y[t, :m]
                 states.append(h)
                 lane.append(order[:m])
@@ -313,15 +345,26 @@ def _unpack_weights(data: bytes, like) -> dict:
     return out
 
 
-def _targets(words: list[bytes], vocab: Vocab) -> np.ndarray:
-    """Network ids: rank of a frequent word, else the rest class."""
-    get, k = vocab.ids.get, vocab.n_frequent
-    out = []
-    for b in words:
-        s = b.decode("utf-8")
-        i = get(s, k)
-        out.append(i if i < k else k + rest_class(s))
-    return np.array(out, dtype=np.int64)
+def _rest_id(word: bytes, k: int) -> int:
+    return k + zlib.crc32(word[:3]) % N_REST
+
+
+def _network_ids(vocab: Vocab) -> dict[bytes, int]:
+    """Network id of each kept word: rank of a frequent word, else the rest class."""
+    k = vocab.n_frequent
+    out = {}
+    for w, i in vocab.ids.items():
+        b = w.encode("utf-8")
+        out[b] = i if i < k else _rest_id(b, k)
+    return out
+
+
+def _targets(words: list[bytes], known: dict[bytes, int], k: int) -> np.ndarray:
+    """Network ids of any words, given those of the kept ones."""
+    y = np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+    at = np.flatnonzero(y < 0)
+    y[at] = [_rest_id(words[i], k) for i in at.tolist()]
+    return y
 
 
 def _end_id(vocab: Vocab) -> int:
@@ -343,7 +386,8 @@ def _weighted_sums(batches):
 
 def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int = 1, trainers: int = 12,
         rounds: int = 2, trainer_chars: int = TRAINER_CHARS) -> dict:
-    """Weights after ``rounds`` of parallel training on every training row; ``share`` > 1 keeps one in so many by hash.
+    """Weights after one pass over every training row, dealt by hash to ``rounds`` rounds of parallel training;
+    ``share`` > 1 keeps one row in so many by hash.
 
     Rows are turned into network ids once and stay so on disk and in the rounds' exchanges.  What is trained
     on grows with the input, batch by batch in each task.  There are at least ``trainers`` tasks, and
@@ -359,9 +403,9 @@ def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int =
 
     def ids(batches):
         voc = words.value
-        end = _end_id(voc)
+        end, known, k = _end_id(voc), _network_ids(voc), voc.n_frequent
         for b in batches:
-            y = [np.append(_targets(_words(t.as_py()), voc), end).astype(kind).tobytes()
+            y = [np.append(_targets(_words(t.as_py()), known, k), end).astype(kind).tobytes()
                  for t in b.column("t").cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([pa.array(y, pa.binary()), b.column("h"), b.column("chars")],
                                              names=["y", "h", "chars"])
@@ -387,7 +431,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int =
                     [pa.array([part], pa.int64()), pa.array([_pack_weights(new)]), pa.array([seen], pa.int64())],
                     names=["part", "weights", "seen"])
 
-        trained = (chosen.select("y", "h").repartition(trainers, "h").sortWithinPartitions("h", "y")
+        trained = (chosen.select("y", "h").where(F.pmod(F.xxhash64("h", F.lit(5)), F.lit(rounds)) == r).repartition(trainers, "h").sortWithinPartitions("h", "y")
                    .mapInArrow(run, "part long, weights binary, seen long"))
         got = (trained.repartition(math.isqrt(trainers), "part").sortWithinPartitions("part")
                .mapInArrow(_weighted_sums, "total binary, seen long").collect())
@@ -421,25 +465,28 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     def run(batches):
         w, voc = shared.value
         k, end = voc.n_frequent, _end_id(voc)
-        get = voc.ids.get
+        get = {x.encode("utf-8"): i for x, i in voc.ids.items()}.get
+        ids = np.append(np.arange(len(voc.counts)), -1)    # network id of a rank
+        ids[k:-1] = [_rest_id(x.encode("utf-8"), k) for x, i in voc.ids.items() if i >= k]
         log_c = np.log10(np.append(voc.counts, 0) + 1.0)
         log_z = np.log10(voc.rest_total + 1)
         unkept = len(voc.counts)
         for b in batches:
             seqs, tokens, known, logs, rest, rare = [], [], [], [], [], []
             for t in b.column("_text").cast(pa.binary()):
-                words = [x.decode("utf-8") for x in _words(t.as_py() or b"")] + [END]
-                i = np.fromiter((get(x, unkept) for x in words), dtype=np.int64, count=len(words))
-                y = i.copy()
+                words = _words(t.as_py() or b"") + [END.encode()]
+                i = np.fromiter(map(get, words, repeat(unkept)), dtype=np.int64, count=len(words))
+                y = ids[i]
+                new = np.flatnonzero(i == unkept)
+                y[new] = [_rest_id(words[j], k) for j in new.tolist()]
                 out = np.flatnonzero(i >= k)
-                cls = np.fromiter((rest_class(words[j]) for j in out.tolist()), dtype=np.int64, count=len(out))
-                y[out] = k + cls
+                cls = y[out] - k
                 seqs.append(y)
                 tokens.append(len(words))
                 known.append(int((i < unkept).sum()))
                 logs.append(float(log_c[i].sum()))
                 rest.append(float(log_c[i[out]].sum() - log_z[cls].sum()))
-                rare.append([words[j] for j in np.flatnonzero(i == unkept).tolist()])
+                rare.append([words[j].decode("utf-8") for j in new.tolist()])
             lp = score_sequences(w, seqs, k, end) / math.log(10) + np.array(rest)
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id"), b.column("_held"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
