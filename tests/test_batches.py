@@ -51,3 +51,22 @@ def test_batches_of_repeated_keys_few_rows_and_none(spark):
     assert few.count() == 6
     none = S.random_batches(spark.createDataFrame([], SCHEMA), ["a", "b"], batches=3, size=4, seed=9)
     assert none.count() == 0 and none.columns == ["a", "b", "v", "batch"]
+
+
+def test_run_profiles_draws_its_batches_once(spark, monkeypatch):
+    from tallyframe.plans import scoring_plans
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    rows = [(i, i * 7 % 50, i % 9, i % 5, float(i % 50), 1000.0 + i) for i in range(400)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(scoring_plans, "table",
+                        lambda *_: spark.createDataFrame(rows, names).mapInArrow(tell, names))
+    out = scoring_plans.run_profiles(spark, "")
+    assert out.select("run_id").distinct().count() == 20
+    # one pass for the number of rows, one for the draws; metrics, profiles and the run table read the drawn rows
+    assert seen.value <= 2 * len(rows)
