@@ -36,10 +36,12 @@ N_REST = 96
 HIDDEN = 16
 WINDOW = 32
 ROWS = 2048            # targets per block of the class softmax
+LOGIT = 60.0           # logits up to this size are exponentiated as they are (32-bit floats hold e to the 88)
 LANES = (32, 512)      # least and most stretches trained side by side
 PIECE = 256            # training stretch; scoring runs over whole documents
 COUNTER_WORDS = 400_000  # distinct words that a counting task holds before it passes them on
 TRAINER_CHARS = 1 << 25  # characters of training text per trainer task, from the least number of trainers on
+CHUNK = 1 << 14          # weights in a row of the trainers' sums
 KEPT_WORDS = 1 << 17     # most frequent words whose counts every task gets
 
 
@@ -155,14 +157,21 @@ def _step(a, rec, h):
     return new, (r, z, c, uc)
 
 
-def _softmax(z, at):
-    """Log-probability of column ``at`` of each row; ``z`` becomes the probabilities."""
-    z -= z.max(axis=1, keepdims=True)
+def _small(into_logits, bias) -> bool:
+    """No logit of states within -1 and 1 can pass LOGIT, so that exponentials need no shift.  One row a column of logits."""
+    return not bias.size or float((np.abs(into_logits).sum(axis=1) + np.abs(bias)).max()) < LOGIT
+
+
+def _softmax(z, at, small, probs):
+    """Log-probability of column ``at`` of each row; with ``probs``, ``z`` becomes the probabilities."""
+    if not small:
+        z -= z.max(axis=1, keepdims=True)
     row = np.arange(len(z))
     out = z[row, at]
     np.exp(z, out=z)
     total = z.sum(axis=1)
-    z /= total[:, None]
+    if probs:
+        z /= total[:, None]
     return out - np.log(total)
 
 
@@ -176,14 +185,15 @@ def window_log_probs(w, hs, y, k, grads=None):
 
     Works in blocks that fit a cache: ROWS targets for the classes, one class for the words.
     """
-    cls = _class_of(y, k)
+    cls, probs = _class_of(y, k), grads is not None
+    small = _small(w["cls"].T, w["cls_b"])
     out = np.empty(len(y))
     back = None if grads is None else np.empty_like(hs)
     for i in range(0, len(y), ROWS):
         part = slice(i, i + ROWS)
         d, at = hs[part] @ w["cls"], cls[part]
         d += w["cls_b"]
-        out[part] = _softmax(d, at)
+        out[part] = _softmax(d, at, small, probs)
         if grads is not None:
             d[np.arange(len(d)), at] -= 1
             grads["cls"] += hs[part].T @ d
@@ -191,6 +201,7 @@ def window_log_probs(w, hs, y, k, grads=None):
             back[part] = d @ w["cls"].T
     if not k:
         return out, back
+    small = _small(w["word"], w["word_b"])
     # targets in order of their class (few enough classes for a sort of 16-bit numbers)
     order = np.argsort(cls.astype(np.uint16) if w["cls_b"].size < 1 << 16 else cls, kind="stable")
     bounds = np.searchsorted(cls[order], np.arange(k // CLASS_WORDS + 1))
@@ -204,7 +215,7 @@ def window_log_probs(w, hs, y, k, grads=None):
         block = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
         d, at = h[part] @ w["word"][block].T, word[part]
         d += w["word_b"][block]
-        log_p[part] = _softmax(d, at)
+        log_p[part] = _softmax(d, at, small, probs)
         if grads is not None:
             d[np.arange(len(d)), at] -= 1
             grads["word"][block] += d.T @ h[part]
@@ -373,15 +384,29 @@ def _end_id(vocab: Vocab) -> int:
 
 
 def _weighted_sums(batches):
-    """One row for the task: the sum of weights times tokens seen, and the tokens."""
-    flat, seen = None, 0
+    """One row per chunk of the weights: the sum over trainers of weights times tokens seen, and the tokens."""
+    flat, seen = {}, Counter()
     for b in batches:
-        for data, n in zip(b.column("weights").to_pylist(), b.column("seen").to_pylist()):
+        for c, data, n in zip(*(b.column(x).to_pylist() for x in ("chunk", "weights", "seen"))):
             part = np.frombuffer(data, np.float32).astype(np.float64) * n
-            flat, seen = part if flat is None else flat + part, seen + n
+            flat[c] = flat[c] + part if c in flat else part
+            seen[c] += n
     if seen:
-        yield pa.RecordBatch.from_arrays([pa.array([flat.tobytes()]), pa.array([seen], pa.int64())],
-                                         names=["total", "seen"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(flat), pa.int64()), pa.array([x.tobytes() for x in flat.values()], pa.binary()),
+                                          pa.array([seen[c] for c in flat], pa.int64())], names=["chunk", "total", "seen"])
+
+
+def weighted_mean(trained: DataFrame, parts: int) -> np.ndarray | None:
+    """Mean of the trainers' weights by tokens seen, None without tokens.
+
+    ``trained`` holds (part, chunk, weights, seen); chunks are summed on Spark, so that the driver gets
+    one set of weights, however many trainers there are.
+    """
+    got = (trained.repartition(parts, "chunk").sortWithinPartitions("chunk", "part")
+           .mapInArrow(_weighted_sums, "chunk long, total binary, seen long").collect())
+    if not got:
+        return None
+    return np.concatenate([np.frombuffer(g["total"], np.float64) / g["seen"] for g in sorted(got, key=lambda g: g["chunk"])])
 
 
 def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int = 1, trainers: int = 12,
@@ -391,8 +416,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int =
 
     Rows are turned into network ids once and stay so on disk and in the rounds' exchanges.  What is trained
     on grows with the input, batch by batch in each task.  There are at least ``trainers`` tasks, and
-    one more per ``trainer_chars`` characters beyond them; the driver gets about the square
-    root of their number of weight sums.
+    one more per ``trainer_chars`` characters beyond them; the driver gets one set of weights a round.
     """
     sc = docs.sparkSession.sparkContext
     w = initial(vocab)
@@ -427,17 +451,17 @@ def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int =
                 new, n = train_on(new, seqs, k, end, rate)
                 seen += n
             if seen:
+                data = _pack_weights(new)
+                chunks = [data[i:i + 4 * CHUNK] for i in range(0, len(data), 4 * CHUNK)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int64()), pa.array([_pack_weights(new)]), pa.array([seen], pa.int64())],
-                    names=["part", "weights", "seen"])
+                    [pa.array([part] * len(chunks), pa.int64()), pa.array(range(len(chunks)), pa.int64()),
+                     pa.array(chunks, pa.binary()), pa.array([seen] * len(chunks), pa.int64())],
+                    names=["part", "chunk", "weights", "seen"])
 
         trained = (chosen.select("y", "h").where(F.pmod(F.xxhash64("h", F.lit(5)), F.lit(rounds)) == r).repartition(trainers, "h").sortWithinPartitions("h", "y")
-                   .mapInArrow(run, "part long, weights binary, seen long"))
-        got = (trained.repartition(math.isqrt(trainers), "part").sortWithinPartitions("part")
-               .mapInArrow(_weighted_sums, "total binary, seen long").collect())
-        total = sum(g["seen"] for g in got)
-        if total:
-            flat = sum(np.frombuffer(g["total"], np.float64) for g in got) / total
+                   .mapInArrow(run, "part long, chunk long, weights binary, seen long"))
+        flat = weighted_mean(trained, math.isqrt(trainers))
+        if flat is not None:
             w = _unpack_weights(flat.astype(np.float32).tobytes(), w)
         shared.unpersist()
     return w
