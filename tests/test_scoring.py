@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tallyframe.operators import scoring as M
@@ -33,3 +34,36 @@ def test_forest_reads_its_rows_once_and_scores_like_the_fitted_model(spark):
     want = back.transform(model.transform(df))
     assert {r["id"]: r["prediction"] for r in got.collect()} == {r["id"]: r["prediction"] for r in want.collect()}
     assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def _stump(feature, threshold, left, right):
+    """A tree of one split: right child, then left child, side by side."""
+    return (np.array([feature, 0, 0]), np.array([threshold, np.inf, np.inf]), np.array([2, 1, 1, 1, 2, 2]),
+            np.array([[.5, .5], left, right]), 1)
+
+
+def test_rows_find_their_class_by_cell_as_by_the_trees(monkeypatch):
+    deep = (np.array([1, 0, 0, 0, 0]), np.array([0.0, 1.5, np.inf, np.inf, np.inf]), np.array([2, 1, 4, 3, 2, 2, 3, 3, 4, 4]),
+            np.array([[.5, .5], [.5, .5], [.1, .9], [.8, .2], [.3, .7]]), 2)
+    odd = [-np.inf, -2.0, -0.0, 0.0, 0.5, 1.0, 1.5, 2.0, np.inf, np.nan]
+    x = np.array([(a, b, c) for a in odd for b in odd for c in (3.0, np.nan)]).T
+    for trees in ([deep], [deep, _stump(0, -2.0, [1, 0], [.4, .6]), _stump(0, 2.0, [0, 1], [.9, .1])],
+                  [_stump(1, np.inf, [1, 0], [0, 1])], [_stump(1, -np.inf, [1, 0], [0, 1])]):
+        want = M.forest_votes(trees, x).argmax(axis=1)
+        assert 0 < want.sum() < len(want)
+        np.testing.assert_array_equal(M.cell_classes(M.forest_cells(trees, 3), x), want)
+    # the trees are walked once a cell, however many rows there are; beyond CELLS cells there is no table
+    walked, walk = [], M.forest_votes
+    monkeypatch.setattr(M, "forest_votes", lambda t, x: walked.append(x.shape[1]) or walk(t, x))
+    M.cell_classes(M.forest_cells([deep], 3), np.zeros((3, 100_000)))
+    assert walked == [4]
+    monkeypatch.setattr(M, "CELLS", 3)
+    assert M.forest_cells([deep], 3) is None
+
+
+def test_forest_with_too_many_cells_is_walked(spark, monkeypatch):
+    model = M.random_forest(spark.createDataFrame(_rows(200, gaps=0), SCHEMA), ["a", "b", "c"], "kind")
+    df = spark.createDataFrame(_rows(300, 6), SCHEMA).withColumn("id", F.monotonically_increasing_id())
+    by_cell = {r["id"]: r["prediction"] for r in M.score(model, df).collect()}
+    monkeypatch.setattr(M, "CELLS", 0)
+    assert {r["id"]: r["prediction"] for r in M.score(model, df).collect()} == by_cell
