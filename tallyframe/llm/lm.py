@@ -35,7 +35,7 @@ CLASS_WORDS = 64
 N_REST = 96
 HIDDEN = 16
 WINDOW = 32
-ROWS = 2048            # targets per block of the class softmax
+ROWS = 512             # targets per block of the class softmax
 LOGIT = 60.0           # logits up to this size are exponentiated as they are (32-bit floats hold e to the 88)
 LANES = (32, 512)      # least and most stretches trained side by side
 PIECE = 256            # training stretch; scoring runs over whole documents
@@ -137,19 +137,23 @@ def initial(vocab: Vocab, seed: int = 8) -> dict[str, np.ndarray]:
     return {n: x.astype(np.float32) for n, x in w.items()}
 
 
+def _by_gate(x):
+    """Weights of the three gates side by side as three blocks, so that what is done to one gate's values runs over unbroken memory."""
+    return np.ascontiguousarray(x.reshape(len(x), 3, HIDDEN).transpose(1, 0, 2))
+
+
 def _step(a, rec, h):
     """One gated step for prepared inputs ``a`` (input weights and gate biases) and states ``h``: new state and
-    what backpropagation needs."""
-    n = HIDDEN
+    what backpropagation needs.  ``a`` and ``rec`` hold one block a gate."""
     u = h @ rec
-    rz = a[:, :2 * n] + u[:, :2 * n]
+    rz = a[:2] + u[:2]
     np.negative(rz, out=rz)
     np.exp(rz, out=rz)
     rz += 1
     np.reciprocal(rz, out=rz)
-    r, z, uc = rz[:, :n], rz[:, n:], u[:, 2 * n:]
+    r, z, uc = rz[0], rz[1], u[2]
     c = r * uc
-    c += a[:, 2 * n:]
+    c += a[2]
     np.tanh(c, out=c)
     new = h - c
     new *= z
@@ -169,9 +173,9 @@ def _softmax(z, at, small, probs):
     row = np.arange(len(z))
     out = z[row, at]
     np.exp(z, out=z)
-    total = z.sum(axis=1)
+    total = z @ np.ones(z.shape[1], z.dtype)
     if probs:
-        z /= total[:, None]
+        z *= (1 / total)[:, None]
     return out - np.log(total)
 
 
@@ -272,34 +276,41 @@ def train_on(w0, seqs: list[np.ndarray], k: int, end_id: int, rate: float = 0.02
             start += WINDOW
             xs = [prev[:m] if t == 0 else y[t - 1, :m] for t, m in enumerate(live)]
             rows, ends = np.concatenate(xs), np.cumsum(live)
-            inputs = (w["in"] + w["gate"])[rows]
+            inputs, rec = _by_gate((w["in"] + w["gate"])[rows]), _by_gate(w["rec"])
             states, kept = [h], []
             for t, m in enumerate(live):
-                new, parts = _step(inputs[ends[t] - m:ends[t]], w["rec"], states[-1][:m])
+                new, parts = _step(inputs[:, ends[t] - m:ends[t]], rec, states[-1][:m])
                 kept.append(parts)
                 states.append(new)
             grads = {name: np.zeros_like(v) for name, v in w.items()}
             flat_h = np.concatenate(states[1:])
             flat_y = np.concatenate([y[t, :m] for t, m in enumerate(live)])
             _, back = window_log_probs(w, flat_h, flat_y, k, grads)
-            dh, da_all = np.zeros((0, n), np.float32), np.empty((len(rows), 3 * n), np.float32)
+            dh, da_all, du_all = np.zeros((0, n), np.float32), np.empty_like(inputs), np.empty_like(inputs)
+            back_rec = np.ascontiguousarray(rec.transpose(0, 2, 1))
             for t in range(len(live) - 1, -1, -1):
-                m = live[t]
-                full = back[ends[t] - m:ends[t]]
+                m, part = live[t], slice(ends[t] - live[t], ends[t])
+                full = back[part]
                 full[:len(dh)] += dh
                 r, z, c, uc = kept[t]
-                hp = states[t][:m]
-                da, keep = da_all[ends[t] - m:ends[t]], 1 - z
-                dac = full * keep
+                da, du, keep = da_all[:, part], du_all[:, part], 1 - z
+                dac = np.multiply(full, keep, out=da[2])
                 dac *= 1 - c * c
-                da[:, 2 * n:] = dac
-                da[:, :n] = dac * uc * r * (1 - r)
-                da[:, n:2 * n] = full * (hp - c) * z * keep
-                du = da.copy()
-                du[:, 2 * n:] *= r
-                grads["rec"] += hp.T @ du
+                np.multiply(dac, r, out=du[2])
+                np.multiply(dac, uc, out=da[0])
+                da[0] *= r
+                da[0] *= 1 - r
+                np.subtract(states[t][:m], c, out=da[1])
+                da[1] *= full
+                da[1] *= z
+                da[1] *= keep
+                du[:2] = da[:2]
                 dh = full * z
-                dh += du @ w["rec"].T
+                for gate in range(3):
+                    dh += du[gate] @ back_rec[gate]
+            before_step = np.concatenate([states[t][:m] for t, m in enumerate(live)])
+            grads["rec"] += np.concatenate(before_step.T @ du_all, axis=1)
+            da_all = da_all.transpose(1, 0, 2).reshape(len(rows), 3 * n)
             grads["gate"] += da_all.sum(axis=0)
             turn = np.argsort(rows.astype(np.uint16) if len(w["in"]) <= 1 << 16 else rows, kind="stable")
             first = np.flatnonzero(np.diff(rows[turn], prepend=-1))
@@ -318,7 +329,7 @@ def train_on(w0, seqs: list[np.ndarray], k: int, end_id: int, rate: float = 0.02
 
 def score_sequences(w, seqs: list[np.ndarray], k: int, end_id: int, window: int = 64, lanes: int = 1024) -> np.ndarray:
     """Natural log-probability of each whole sequence, states carried from window to window."""
-    total, w_in = np.zeros(len(seqs)), w["in"] + w["gate"]
+    total, w_in, rec = np.zeros(len(seqs)), _by_gate(w["in"] + w["gate"]), _by_gate(w["rec"])
     by_length = np.argsort([-len(s) for s in seqs], kind="stable")
     for g in range(0, len(seqs), lanes):
         order = by_length[g:g + lanes]
@@ -332,7 +343,7 @@ def score_sequences(w, seqs: list[np.ndarray], k: int, end_id: int, window: int
             start += window
             states, lane = [], []
             for t, m in enumerate(live):
-                h, _ = _step(w_in[prev[:m]], w["rec"], h[:m])
+                h, _ = _step(w_in.take(prev[:m], axis=1), rec, h[:m])
                 prev = y[t, :m]
                 states.append(h)
                 lane.append(order[:m])

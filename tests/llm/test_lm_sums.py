@@ -36,3 +36,35 @@ def test_softmax_with_and_without_shift():
         z = (h @ w + b).astype(float)
         want = z[np.arange(50), at] - np.log(np.exp(z - z.max(axis=1, keepdims=True)).sum(axis=1)) - z.max(axis=1)
         np.testing.assert_allclose(lm._softmax(h @ w + b, at, small, True), want, atol=1e-4)
+
+
+def test_gate_values_lie_in_unbroken_blocks_and_steps_are_right():
+    rng = np.random.default_rng(5)
+    a, rec = rng.normal(size=(30, 48)).astype(np.float32), rng.normal(size=(16, 48)).astype(np.float32)
+    h = rng.uniform(-1, 1, (30, 16)).astype(np.float32)
+    new, parts = lm._step(lm._by_gate(a), lm._by_gate(rec), h)
+    assert all(p.flags["C_CONTIGUOUS"] for p in parts)
+    u = h @ rec
+    r, z = (1 / (1 + np.exp(-(a + u)[:, i:i + 16])) for i in (0, 16))
+    c = np.tanh(a[:, 32:] + r * u[:, 32:])
+    for got, want in zip((new, *parts), (c + z * (h - c), r, z, c, u[:, 32:])):
+        np.testing.assert_allclose(got, want, atol=1e-5)
+
+
+def test_training_gradient_matches_differences():
+    """The first AdaGrad update shows the sign of each weight's gradient; where that is clear it is the sign of the loss's slope."""
+    rng = np.random.default_rng(6)
+    vocab = lm.Vocab({f"w{i}": i for i in range(64)}, rng.integers(1, 50, 64), 64, rng.integers(1, 50, lm.N_REST).astype(float), 900, 90)
+    w = {n: x.astype(np.float64) for n, x in lm.initial(vocab).items()}
+    seqs = [rng.integers(0, 64 + lm.N_REST, n) for n in (20, 13, 7)]
+    new, seen = lm.train_on(w, seqs, 64, 3)
+    assert seen == 40
+    for name in ("rec", "gate", "in"):
+        step = (new[name] - w[name]).ravel()
+        for i in np.argsort(-np.abs(step))[:6]:
+            sides = []
+            for d in (1e-2, -1e-2):
+                moved = {n: x.copy() for n, x in w.items()}
+                moved[name].ravel()[i] += d
+                sides.append(lm.score_sequences(moved, seqs, 64, 3).sum())
+            assert np.sign(sides[0] - sides[1]) == np.sign(step[i])
