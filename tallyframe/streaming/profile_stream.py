@@ -61,7 +61,7 @@ def profile_stream(stream: DataFrame, name: str, time_column: str, grain: str =
     plan = wide_plan(fields, options)
     wide = (plan.derive(s.withWatermark(time_column, watermark))
             .groupBy(F.window(F.col(quote(time_column)), grain).alias("__window"),
-                     _tags_column(list(tags), None).alias("__tags"))
+                     _tags_column({t: F.col(quote(t)) for t in tags}, None).alias("__tags"))
             .agg(*plan.aggs))
     return StreamProfile(wide, plan.to_long, name)
 

@@ -1,11 +1,14 @@
 """Forest scoring: the trees walked in Arrow batches predict what the fitted model predicts, and a sample is drawn once."""
 
+import datetime as dt
 import random
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from tallyframe.operators import profile as P
 from tallyframe.operators import scoring as M
+from tallyframe.operators import shaping as S
 
 SCHEMA = "a double, b int, c double, kind string"
 
@@ -67,3 +70,51 @@ def test_forest_with_too_many_cells_is_walked(spark, monkeypatch):
     by_cell = {r["id"]: r["prediction"] for r in M.score(model, df).collect()}
     monkeypatch.setattr(M, "CELLS", 0)
     assert {r["id"]: r["prediction"] for r in M.score(model, df).collect()} == by_cell
+
+
+def test_small_samples_hash_their_table_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rows = [(float(i), i, 0.0, "x") for i in range(2000)]
+    df = _counted(spark, rows, seen)
+    got = S.exact_sample(df, ["b"], size=20)
+    assert got.rows.count() == 20
+    assert seen.value == 2 * 2000       # counted, then hashed
+    want = spark.createDataFrame(rows, SCHEMA).withColumn("h", S.row_hash(["b"], 123)).orderBy("h").limit(20)
+    picked = {r["b"] for r in want.collect()}
+    assert {r["b"] for r in got.rows.collect()} == picked
+    assert {r["b"] for r in got.complement.collect()} == set(range(2000)) - picked
+    # one key in all rows: every row is as low as the others
+    same = S.exact_sample(spark.createDataFrame([(float(i), 1, 0.0, "x") for i in range(500)], SCHEMA), ["b"], size=7)
+    a, b = ([r["a"] for r in part.collect()] for part in (same.rows, same.complement))
+    assert len(a) == 7 and sorted(a + b) == [float(i) for i in range(500)]
+
+
+def test_evenly_filled_scans_are_not_spread(spark, tmp_path):
+    even, uneven = str(tmp_path / "even"), str(tmp_path / "uneven")
+    spark.range(0, 3000, 1, 3).write.parquet(even)          # 3 tasks of 1,000 rows on 4 cores
+    spark.range(0, 3000, 1, 1).write.parquet(uneven)
+    for path, moved in ((even, False), (uneven, True)):
+        df, parts = P.spread_input(spark.read.parquet(path), P.ProfileOptions())
+        assert ("Exchange" in df._jdf.queryExecution().executedPlan().toString()) == moved
+        assert parts == spark.sparkContext.defaultParallelism
+        assert df.count() == 3000
+
+
+def test_batches_are_scored_in_one_scan(spark, tmp_path):
+    from __spark_entry__ import queries
+    days = [dt.datetime(1995 + i % 3, 5, 1) if i % 10 else None for i in range(60)]
+    rows = [(i, 5, 6, 1, float(i % 7), 0.01 * (i % 5), 0.02, "NAR"[i % 3], d) for i, d in enumerate(days)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                "l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = queries()["score_batches"](spark, str(tmp_path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    want = {(str(y), c, sum(d is not None and d.year == y for d in days), dt.datetime(2024, 2, 1) - dt.timedelta(days=2001 - y))
+            for y in (1995, 1996, 1997) for c in ("l_quantity", "l_discount", "l_tax", "prediction")}
+    assert {(r["batch"], r["column"], r["count"], r["dataset_timestamp"]) for r in got.collect()} == want
+
+
+def test_tags_of_any_type_keep_their_texts(spark):
+    df = spark.createDataFrame([(0.0, None, 1), (-0.0, "x", 2), (0.0, None, 3)], "f double, s string, v int")
+    got = P.profile(df, tags=["s", "f"], static_tags={"k": "c"}, options=P.ProfileOptions(sketches=False))
+    assert {(tuple((t["key"], t["value"]) for t in r["tags"]), r["count"]) for r in got.collect()} == {
+        ((("f", "0.0"), ("k", "c"), ("s", None)), 2), ((("f", "-0.0"), ("k", "c"), ("s", "x")), 1)}
