@@ -371,24 +371,6 @@ def _rest_id(word: bytes, k: int) -> int:
     return k + zlib.crc32(word[:3]) % N_REST
 
 
-def _network_ids(vocab: Vocab) -> dict[bytes, int]:
-    """Network id of each kept word: rank of a frequent word, else the rest class."""
-    k = vocab.n_frequent
-    out = {}
-    for w, i in vocab.ids.items():
-        b = w.encode("utf-8")
-        out[b] = i if i < k else _rest_id(b, k)
-    return out
-
-
-def _targets(words: list[bytes], known: dict[bytes, int], k: int) -> np.ndarray:
-    """Network ids of any words, given those of the kept ones."""
-    y = np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-    at = np.flatnonzero(y < 0)
-    y[at] = [_rest_id(words[i], k) for i in at.tolist()]
-    return y
-
-
 def _end_id(vocab: Vocab) -> int:
     i = vocab.ids.get(END, vocab.n_frequent)
     return i if i < vocab.n_frequent else vocab.n_frequent + rest_class(END)
@@ -420,35 +402,78 @@ def weighted_mean(trained: DataFrame, parts: int) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(g["total"], np.float64) / g["seen"] for g in sorted(got, key=lambda g: g["chunk"])])
 
 
+def _id_kind(vocab: Vocab):
+    return np.uint16 if vocab.n_frequent + N_REST <= 1 << 16 else np.uint32
+
+
+def network_rows(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab) -> DataFrame:
+    """Every row's network ids and what its score needs beside them, written once, for training and scoring alike.
+
+    (_id, _held, h, chars, n_tokens, known, logs, rest, _rare, y, _row): ``y`` the ids, ``logs`` the logarithms of
+    the kept words' counts, ``rest`` the shares of kept words within the rest classes, ``_rare`` words that are not kept.
+    """
+    kind, shared = _id_kind(vocab), docs.sparkSession.sparkContext.broadcast(vocab)
+    names = ["_id", "_held", "h", "chars", "n_tokens", "known", "logs", "rest", "_rare", "y"]
+
+    def run(batches):
+        voc = shared.value
+        k = voc.n_frequent
+        get = {x.encode("utf-8"): i for x, i in voc.ids.items()}.get
+        ids = np.append(np.arange(len(voc.counts)), -1)    # network id of a rank
+        ids[k:-1] = [_rest_id(x.encode("utf-8"), k) for x, i in voc.ids.items() if i >= k]
+        log_c = np.log10(np.append(voc.counts, 0) + 1.0)
+        log_z = np.log10(voc.rest_total + 1)
+        unkept = len(voc.counts)
+        for b in batches:
+            seqs, tokens, known, logs, rest, rare = [], [], [], [], [], []
+            for t in b.column("t").cast(pa.binary()):
+                words = _words(t.as_py()) + [END.encode()]
+                i = np.fromiter(map(get, words, repeat(unkept)), dtype=np.int64, count=len(words))
+                y = ids[i]
+                new = np.flatnonzero(i == unkept)
+                y[new] = [_rest_id(words[j], k) for j in new.tolist()]
+                out = np.flatnonzero(i >= k)
+                cls = y[out] - k
+                seqs.append(y.astype(kind).tobytes())
+                tokens.append(len(words))
+                known.append(len(words) - len(new))
+                logs.append(float(log_c[i].sum()))
+                rest.append(float(log_c[i[out]].sum() - log_z[cls].sum()))
+                rare.append([words[j].decode("utf-8") for j in new.tolist()])
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in names[:4]), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
+                 pa.array(logs, pa.float64()), pa.array(rest, pa.float64()), pa.array(rare, pa.list_(pa.string())),
+                 pa.array(seqs, pa.binary())], names=names)
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    src = docs.select(F.col(id_col).alias("_id"), held_out(id_col).alias("_held"), text.alias("t"),
+                      F.xxhash64(text, F.col(id_col), F.lit(21)).alias("h"), F.length(text).alias("chars"))
+    kind_of_id = dict(src.dtypes)["_id"]
+    rows = src.mapInArrow(run, f"_id {kind_of_id}, _held boolean, h long, chars int, n_tokens long, known long, "
+                               "logs double, rest double, _rare array<string>, y binary")
+    rows = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "lm-rows")
+    shared.unpersist()
+    return rows
+
+
 def fit(docs: DataFrame, id_col: str, text_col: str, vocab: Vocab, share: int = 1, trainers: int = 12,
         rounds: int = 2, trainer_chars: int = TRAINER_CHARS) -> dict:
+    """Weights after one pass over every row of ``docs``, see ``fit_rows``."""
+    return fit_rows(network_rows(docs, id_col, text_col, vocab), vocab, share, trainers, rounds, trainer_chars)
+
+
+def fit_rows(rows: DataFrame, vocab: Vocab, share: int = 1, trainers: int = 12, rounds: int = 2,
+             trainer_chars: int = TRAINER_CHARS) -> dict:
     """Weights after one pass over every training row, dealt by hash to ``rounds`` rounds of parallel training;
     ``share`` > 1 keeps one row in so many by hash.
 
-    Rows are turned into network ids once and stay so on disk and in the rounds' exchanges.  What is trained
+    Rows are network ids, on disk and in the rounds' exchanges.  What is trained
     on grows with the input, batch by batch in each task.  There are at least ``trainers`` tasks, and
     one more per ``trainer_chars`` characters beyond them; the driver gets one set of weights a round.
     """
-    sc = docs.sparkSession.sparkContext
-    w = initial(vocab)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    pick = F.xxhash64(text, F.col(id_col), F.lit(21))
-    kind = np.uint16 if vocab.n_frequent + N_REST <= 1 << 16 else np.uint32
-    words = sc.broadcast(vocab)
-
-    def ids(batches):
-        voc = words.value
-        end, known, k = _end_id(voc), _network_ids(voc), voc.n_frequent
-        for b in batches:
-            y = [np.append(_targets(_words(t.as_py()), known, k), end).astype(kind).tobytes()
-                 for t in b.column("t").cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array(y, pa.binary()), b.column("h"), b.column("chars")],
-                                             names=["y", "h", "chars"])
-
-    rows = docs.select(text.alias("t"), pick.alias("h")).where(F.pmod("h", F.lit(share)) == 0)
-    chosen = materialise(rows.select("t", "h", F.length("t").alias("chars"))
-                         .mapInArrow(ids, "y binary, h long, chars int"), "lm-train")
-    words.unpersist()
+    sc = rows.sparkSession.sparkContext
+    w, kind = initial(vocab), _id_kind(vocab)
+    chosen = rows.where(F.pmod("h", F.lit(share)) == 0)
     chars = chosen.agg(F.sum("chars")).first()[0] or 0
     trainers = max(trainers, math.ceil(chars / trainer_chars))
     for r in range(rounds):
@@ -492,54 +517,30 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     train_docs = docs.where(~held_out(id_col))
     counts = materialise(count_words(train_docs, text_col), "lm-counts")
     vocab = build_vocab(counts, n_frequent, kept)
-    weights = fit(train_docs, id_col, text_col, vocab, share, trainers)
-    shared = spark.sparkContext.broadcast((weights, vocab))
+    rows = network_rows(docs, id_col, text_col, vocab)
+    weights = fit_rows(rows.where(~F.col("_held")), vocab, share, trainers)
+    shared = spark.sparkContext.broadcast((weights, vocab.n_frequent, _end_id(vocab), _id_kind(vocab)))
     log_all = math.log10(vocab.n + vocab.v + 1)
-    names = ["_id", "_held", "n_tokens", "known", "logs", "score", "_rare"]
+    passed = ["_row", "_id", "_held", "n_tokens", "known", "logs"]
 
     def run(batches):
-        w, voc = shared.value
-        k, end = voc.n_frequent, _end_id(voc)
-        get = {x.encode("utf-8"): i for x, i in voc.ids.items()}.get
-        ids = np.append(np.arange(len(voc.counts)), -1)    # network id of a rank
-        ids[k:-1] = [_rest_id(x.encode("utf-8"), k) for x, i in voc.ids.items() if i >= k]
-        log_c = np.log10(np.append(voc.counts, 0) + 1.0)
-        log_z = np.log10(voc.rest_total + 1)
-        unkept = len(voc.counts)
+        w, k, end, id_kind = shared.value
         for b in batches:
-            seqs, tokens, known, logs, rest, rare = [], [], [], [], [], []
-            for t in b.column("_text").cast(pa.binary()):
-                words = _words(t.as_py() or b"") + [END.encode()]
-                i = np.fromiter(map(get, words, repeat(unkept)), dtype=np.int64, count=len(words))
-                y = ids[i]
-                new = np.flatnonzero(i == unkept)
-                y[new] = [_rest_id(words[j], k) for j in new.tolist()]
-                out = np.flatnonzero(i >= k)
-                cls = y[out] - k
-                seqs.append(y)
-                tokens.append(len(words))
-                known.append(int((i < unkept).sum()))
-                logs.append(float(log_c[i].sum()))
-                rest.append(float(log_c[i[out]].sum() - log_z[cls].sum()))
-                rare.append([words[j].decode("utf-8") for j in new.tolist()])
-            lp = score_sequences(w, seqs, k, end) / math.log(10) + np.array(rest)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("_id"), b.column("_held"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(logs, pa.float64()), pa.array(lp, pa.float64()), pa.array(rare, pa.list_(pa.string()))],
-                names=names)
-
-    src = docs.select(F.col(id_col).alias("_id"), held_out(id_col).alias("_held"),
-                      F.col(text_col).cast("string").alias("_text"))
-    kind = dict(src.dtypes)["_id"]
-    scored = src.mapInArrow(run, f"_id {kind}, _held boolean, n_tokens long, known long, logs double, "
-                                 "score double, _rare array<string>")
-    scored = materialise(scored.withColumn("_row", F.monotonically_increasing_id()), "lm-scored")
+            seqs = [np.frombuffer(y, id_kind).astype(np.int64) for y in b.column("y").to_pylist()]
+            lp = score_sequences(w, seqs, k, end) / math.log(10) + b.column("rest").to_numpy()
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in passed), pa.array(lp, pa.float64())],
+                                             names=[*passed, "score"])
+
+    kind = dict(rows.dtypes)["_id"]
+    scored = rows.select(*passed, "rest", "y").mapInArrow(
+        run, f"_row long, _id {kind}, _held boolean, n_tokens long, known long, logs double, score double")
+    scored = materialise(scored, "lm-scored")
     # words beyond the kept ones: their counts come by a join, whatever their number
-    rare = scored.select("_row", F.explode("_rare").alias("word")).groupBy("_row", "word").agg(F.count("*").alias("m"))
+    rare = rows.select("_row", F.explode("_rare").alias("word")).groupBy("_row", "word").agg(F.count("*").alias("m"))
     known = (rare.join(counts, "word").groupBy("_row")
              .agg(F.sum("m").alias("more"), F.sum(F.col("m") * F.log10(F.col("n") + 1)).alias("more_logs")))
     more_logs = F.coalesce("more_logs", F.lit(0.0))
-    return scored.drop("_rare").join(known, "_row", "left").select(
+    return scored.join(known, "_row", "left").select(
         F.col("_id").alias(id_col), F.col("_held").alias("held_out"), "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(vocab.n).cast("long").alias("train_tokens"),

@@ -68,3 +68,19 @@ def test_training_gradient_matches_differences():
                 moved[name].ravel()[i] += d
                 sides.append(lm.score_sequences(moved, seqs, 64, 3).sum())
             assert np.sign(sides[0] - sides[1]) == np.sign(step[i])
+
+
+def test_texts_are_split_for_counts_and_once_for_training_and_scores(spark):
+    seen, n = spark.sparkContext.accumulator(0), 60
+
+    def tell(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(i, None if i == 7 else " ".join(f"w{(i * j) % 90}" for j in range(i))) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(tell, "doc_id long, text string")
+    got = lm.lm_scores(docs, n_frequent=64, trainers=2).collect()
+    assert seen.value == 2 * n
+    assert {(r["doc_id"], r["n_tokens"]) for r in got} == {(i, 1 if i == 7 else i + 1) for i in range(n)}
+    assert all(r["score"] < 0 and r["n_known"] <= r["n_tokens"] for r in got)
